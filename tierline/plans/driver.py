@@ -45,25 +45,27 @@ LINE_CONTRACT = [
 # ---------------------------------------------------------------- inputs
 def lineitem_envelopes(li: DataFrame) -> DataFrame:
     """Stand-in landing: lineitem rows packed as column-store envelopes, one
-    per (order, ship date) capture, headers rotated by the ship date's day of
-    week so that decoding by position would be wrong.  Gives rows in the
-    envelope schema only; decoding is the job's work."""
+    capture per order stamped with the order's latest ship date, headers
+    rotated by that date's day of week so that decoding by position would be
+    wrong.  Gives rows in the envelope schema only; decoding is the job's
+    work.  Rows travel the shuffle typed and become text after it."""
     names = [n for n, _ in LINE_CONTRACT]
     n = len(names)
-    shift = F.dayofweek("l_shipdate") - 1
-    canon_h = F.array(*[F.lit(x) for x in names])
-    canon_c = F.array(*[F.col(x.lower()).cast("string") for x in names])
+    grouped = li.groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("__cap"),
+        F.collect_list(F.struct(*[F.col(x.lower()) for x in names])).alias("__rows"))
+    shift = F.dayofweek("__cap") - 1
 
     def rotate(arr):
         return F.concat(F.slice(arr, shift + 1, F.lit(n) - shift), F.slice(arr, F.lit(1), shift))
 
-    rows = li.select("l_orderkey", timestamp_to_stamp("l_shipdate").alias("capture"),
-                     rotate(canon_h).alias("headers"), rotate(canon_c).alias("cells"))
-    env = rows.groupBy("l_orderkey", "capture").agg(
-        F.first("headers").alias("headers"), F.collect_list("cells").alias("rowSet"))
-    return env.select(
-        F.lit("line").alias("grain"), "capture",
-        F.array(F.struct(F.lit("LineItems").alias("name"), F.col("headers"), F.col("rowSet"))).alias("resultSets"))
+    headers = rotate(F.array(*[F.lit(x) for x in names]))
+    row_set = F.transform("__rows", lambda r: rotate(F.array(*[r[x.lower()].cast("string") for x in names])))
+    return grouped.select(
+        F.concat(F.lit("lineitem/order="), F.col("l_orderkey").cast("string")).alias("source_file"),
+        F.lit("line").alias("grain"), timestamp_to_stamp("__cap").alias("capture"),
+        F.array(F.struct(F.lit("LineItems").alias("name"), headers.alias("headers"), row_set.alias("rowSet")))
+        .alias("resultSets"))
 
 
 def line_winners(t: Tables) -> DataFrame:
@@ -96,10 +98,9 @@ def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def header_drift_q(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    env = envelope_parts(lineitem_envelopes(t.lineitem)).withColumn(
-        "l_orderkey", F.col("rows")[0][F.array_position("headers", "L_ORDERKEY").cast("int") - 1].cast("bigint"))
-    d = header_drift(env, [n for n, _ in LINE_CONTRACT], carry=["l_orderkey", "capture"])
-    return d.select("l_orderkey", "capture", F.size("missing").cast("bigint").alias("n_missing"),
+    env = envelope_parts(lineitem_envelopes(t.lineitem))
+    d = header_drift(env, [n for n, _ in LINE_CONTRACT], carry=["source_file", "capture"])
+    return d.select("source_file", "capture", F.size("missing").cast("bigint").alias("n_missing"),
                     F.size("extra").cast("bigint").alias("n_extra"), F.col("width").cast("bigint").alias("width"),
                     "same_order")
 

@@ -130,11 +130,12 @@ def _fk_orphans() -> str:
 
 
 ORACLE = {
-    "envelope_roundtrip": f"select {', '.join(LINE_COLS)}, l_shipdate as captured_at from lineitem",
+    "envelope_roundtrip": f"""
+select {', '.join(LINE_COLS)}, max(l_shipdate) over (partition by l_orderkey) as captured_at from lineitem""",
     "header_drift": """
-select l_orderkey, strftime(l_shipdate, '%Y%m%dT%H%M%SZ') as capture, cast(0 as bigint) as n_missing,
+select 'lineitem/order=' || l_orderkey as source_file, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture, cast(0 as bigint) as n_missing,
        cast(0 as bigint) as n_extra, cast(11 as bigint) as width, false as same_order
-from lineitem where dayofweek(l_shipdate) <> 0 group by l_orderkey, l_shipdate""",
+from lineitem group by l_orderkey having dayofweek(max(l_shipdate)) <> 0""",
     "json_unwrap": "select event_id, user_id, cast(props ->> '$.k' as bigint) as k from events",
     "latest_wins": W_LINE,
     "landed_vs_built": f"""
