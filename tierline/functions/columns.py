@@ -43,7 +43,7 @@ def numeric_text(v: str | Column) -> Column:
     """Text form used to compare a typed value with its raw cell: numbers are
     normalised through DOUBLE so ``'5'`` and ``'5.0'`` agree; other text
     stays as is."""
-    return F.coalesce(F.try_cast(_c(v), "double").cast("string"), _c(v).cast("string"))
+    return F.coalesce(_c(v).try_cast("double").cast("string"), _c(v).cast("string"))
 
 
 def strict_cell(cells: str | Column, pos: str | Column, name: str, where: Column | None = None) -> Column:

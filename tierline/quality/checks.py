@@ -134,24 +134,25 @@ def parent_below_children(parent: DataFrame, sums: DataFrame, keys: Sequence[str
 
 
 # ---------------------------------------------------------------- Q-05
-def grain_sentry(parent: DataFrame, child: DataFrame, key: str, parent_name: str = "parent",
+def grain_sentry(parent: DataFrame, child: DataFrame, key: str | Sequence[str], parent_name: str = "parent",
                  child_name: str = "child") -> DataFrame:
     """No silent loss: every parent key has children and every child key a
     parent, and the parent row count equals the distinct child keys.
-    Returns (violation, key)."""
-    pk = parent.select(key)
-    ck = child.select(key).distinct()
-    miss_c = pk.join(ck, key, "left_anti").select(F.lit(f"missing_in_{child_name}").alias("violation"), key)
-    miss_p = ck.join(pk, key, "left_anti").select(F.lit(f"missing_in_{parent_name}").alias("violation"), key)
+    Returns (violation, key…)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    pk = parent.select(*keys)
+    ck = child.select(*keys).distinct()
+    miss_c = pk.join(ck, keys, "left_anti").select(F.lit(f"missing_in_{child_name}").alias("violation"), *keys)
+    miss_p = ck.join(pk, keys, "left_anti").select(F.lit(f"missing_in_{parent_name}").alias("violation"), *keys)
     tagged = pk.select(F.lit(1).alias("__p"), F.lit(0).alias("__c")).unionByName(
         ck.select(F.lit(0).alias("__p"), F.lit(1).alias("__c")))
     counts = tagged.agg(F.sum("__p").alias("np"), F.sum("__c").alias("nc"))
-    kt = parent.schema[key].dataType
+    np_, nc_ = F.coalesce(F.col("np"), F.lit(0)), F.coalesce(F.col("nc"), F.lit(0))
     count_rows = counts.select(F.explode(F.array_compact(F.array(
-        F.when(F.coalesce(F.col("np"), F.lit(0)) != F.coalesce(F.col("nc"), F.lit(0)), F.lit("row_count_mismatch")),
-        F.when(F.coalesce(F.col("np"), F.lit(0)) == 0, F.lit(f"floor_empty_{parent_name}")),
-        F.when(F.coalesce(F.col("nc"), F.lit(0)) == 0, F.lit(f"floor_empty_{child_name}")),
-    ))).alias("violation"), F.lit(None).cast(kt).alias(key))
+        F.when(np_ != nc_, F.lit("row_count_mismatch")),
+        F.when(np_ == 0, F.lit(f"floor_empty_{parent_name}")),
+        F.when(nc_ == 0, F.lit(f"floor_empty_{child_name}")),
+    ))).alias("violation"), *[F.lit(None).cast(parent.schema[k].dataType).alias(k) for k in keys])
     return miss_c.unionByName(miss_p).unionByName(count_rows)
 
 
@@ -263,10 +264,13 @@ def residue_violations(df: DataFrame, column: str, base: float, step: float) ->
 
 
 # ---------------------------------------------------------------- Q-12
-def pairwise_bound(df: DataFrame, lower: str, upper: str) -> DataFrame:
-    """``lower <= upper``; a non-null ``upper`` beside a NULL ``lower`` is
-    also a violation (the reverse is legal: nothing made, nothing bounded)."""
-    return df.where((F.col(upper) < F.col(lower)) | (F.col(upper).isNotNull() & F.col(lower).isNull()))
+def pairwise_bound(df: DataFrame, lower: str, upper: str, bounded: str | None = None) -> DataFrame:
+    """``lower <= upper``.  The *bounded* column (default ``upper``) being
+    non-null beside a NULL bound is also a violation — made shots beside
+    missing attempts; the reverse is legal."""
+    bounded = bounded or upper
+    other = lower if bounded == upper else upper
+    return df.where((F.col(upper) < F.col(lower)) | (F.col(bounded).isNotNull() & F.col(other).isNull()))
 
 
 # ---------------------------------------------------------------- Q-13
