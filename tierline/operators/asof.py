@@ -25,21 +25,23 @@ def asof_join(left: DataFrame, intervals: DataFrame, on: Sequence[str], at: str,
               bucket: str | None = "month", extra_keys: Sequence[str] = ()) -> DataFrame:
     """``left`` ⋈ ``intervals`` on ``on`` (+ ``extra_keys``) and
     ``left.at between lower and upper``.  Interval columns other than the
-    keys are appended; with ``how='left'`` unmatched rows keep NULLs."""
-    on = list(on)
-    keys = on + list(extra_keys)
+    keys are appended; with ``how='left'`` unmatched rows keep NULLs.
+    Columns are addressed by (prefixed) name only, so both inputs may share
+    lineage (checkpoints, self-joins) without ambiguity."""
+    keys = list(on) + list(extra_keys)
     iv_cols = [c for c in intervals.columns if c not in keys]
-    iv = intervals.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in intervals.columns])
-    cond = [left[k] == iv[f"__r_{k}"] for k in keys]
+    iv = intervals.select(*[F.col(c).alias(f"__r_{c}") for c in intervals.columns])
+    lft = left.select(*[F.col(c).alias(f"__l_{c}") for c in left.columns])
+    cond = [F.col(f"__l_{k}") == F.col(f"__r_{k}") for k in keys]
     if bucket:
         if bucket not in _STEP:
             raise ValueError(f"bucket must be one of {sorted(_STEP)}")
-        iv = iv.withColumn("__bucket", F.explode(F.sequence(
-            F.trunc(F.col(lower), bucket), F.trunc(F.col(upper), bucket), F.expr(f"interval {_STEP[bucket]}"))))
-        lft = left.withColumn("__lbucket", F.trunc(F.col(at).cast("date"), bucket))
-        cond = [lft[k] == iv[f"__r_{k}"] for k in keys] + [lft["__lbucket"] == iv["__bucket"]]
-    else:
-        lft = left
-    cond.append(lft[at].between(iv[lower], iv[upper]))
+        iv = iv.withColumn("__r_bucket", F.explode(F.sequence(
+            F.trunc(F.col(f"__r_{lower}"), bucket), F.trunc(F.col(f"__r_{upper}"), bucket),
+            F.expr(f"interval {_STEP[bucket]}"))))
+        lft = lft.withColumn("__l_bucket", F.trunc(F.col(f"__l_{at}").cast("date"), bucket))
+        cond.append(F.col("__l_bucket") == F.col("__r_bucket"))
+    cond.append(F.col(f"__l_{at}").between(F.col(f"__r_{lower}"), F.col(f"__r_{upper}")))
     joined = lft.join(iv, cond, how)
-    return joined.select(*[lft[c] for c in left.columns], *[iv[c] for c in iv_cols])
+    return joined.select(*[F.col(f"__l_{c}").alias(c) for c in left.columns],
+                         *[F.col(f"__r_{c}").alias(c) for c in iv_cols])
