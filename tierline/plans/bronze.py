@@ -17,7 +17,7 @@ from tierline.contracts import CONTRACTS, NATURAL_KEYS, PARTITIONS
 from tierline.functions.columns import stamp_to_timestamp
 from tierline.operators.decode import decode_envelope, envelope_parts
 from tierline.operators.latest import latest_per_key
-from tierline.sources.landing import complete_captures, read_envelopes, read_manifests
+from tierline.sources.landing import complete_captures, read_envelopes
 
 
 def decoded(envelopes: DataFrame, grain: str, strict: bool = True) -> DataFrame:
@@ -43,7 +43,9 @@ def landed_envelopes(spark: SparkSession, root: str, source: str = "nba_stats",
                      require_manifest: bool = True) -> DataFrame:
     env = read_envelopes(spark, root, source, endpoint, grain)
     if require_manifest:
-        env = complete_captures(env, read_manifests(spark, root, source, endpoint, grain))
+        from tierline.plans.landing import landed_partitions
+
+        env = complete_captures(env, landed_partitions(spark, root, source, endpoint))
     return env
 
 

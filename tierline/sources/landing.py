@@ -18,10 +18,36 @@ from tierline.contracts import ENVELOPE, MANIFEST, PARTITIONS, RUN_MANIFEST, SEE
 PAYLOAD_FILES = "{payload.json,part-*.json}"
 
 
+def _has_metadata(df: DataFrame) -> bool:
+    """File scans expose the hidden ``_metadata`` column; an empty local
+    frame (nothing landed yet) does not."""
+    try:
+        df.select("_metadata.file_path")
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def endpoint_root(root: str, source: str, endpoint: str) -> str:
     return f"{root.rstrip('/')}/{source}/{endpoint}"
 
 
+def _json(spark: SparkSession, schema, path: str, **options) -> DataFrame:
+    """JSON scan that yields an empty frame (same schema) when nothing has
+    landed yet, instead of failing on a glob without matches."""
+    from pyspark.errors import AnalysisException
+
+    r = spark.read.schema(schema).option("mode", "FAILFAST")
+    for k, v in options.items():
+        r = r.option(k, v)
+    try:
+        return r.json(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _glob(base: str, grain: str | None) -> str:
     return f"{base}/season=*/grain={grain or '*'}/season_type=*/capture=*/"
 
@@ -31,17 +57,17 @@ def read_envelopes(spark: SparkSession, root: str, source: str, endpoint: str,
     """One row per landed payload file, with partition columns and the
     file path.  ``grain`` selects one grain by path (pruned at listing)."""
     base = endpoint_root(root, source, endpoint)
-    df = (spark.read.schema(ENVELOPE).option("basePath", base).option("pathGlobFilter", PAYLOAD_FILES)
-          .option("mode", "FAILFAST").json(_glob(base, grain)))
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    df = _json(spark, ENVELOPE, _glob(base, grain), basePath=base, pathGlobFilter=PAYLOAD_FILES)
+    return df.withColumn("source_file", F.col("_metadata.file_path") if _has_metadata(df)
+                         else F.lit(None).cast("string"))
 
 
 def read_manifests(spark: SparkSession, root: str, source: str, endpoint: str,
                    grain: str | None = None) -> DataFrame:
     base = endpoint_root(root, source, endpoint)
-    df = (spark.read.schema(MANIFEST).option("basePath", base).option("pathGlobFilter", "manifest.json")
-          .option("mode", "FAILFAST").json(_glob(base, grain)))
-    return df.withColumn("manifest_file", F.col("_metadata.file_path"))
+    df = _json(spark, MANIFEST, _glob(base, grain), basePath=base, pathGlobFilter="manifest.json")
+    return df.withColumn("manifest_file", F.col("_metadata.file_path") if _has_metadata(df)
+                         else F.lit(None).cast("string"))
 
 
 def complete_captures(envelopes: DataFrame, manifests: DataFrame) -> DataFrame:
