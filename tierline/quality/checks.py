@@ -95,35 +95,43 @@ def change_pins(obs: DataFrame, entity: str, period: str, at: str, value: str) -
     any interval model: at every change of value inside a period, the last
     date of the old value, the first date of the new one, and — when the
     dates are not adjacent — the day before the change, which must still
-    resolve to the old value (``interpolated``)."""
+    resolve to the old value (``interpolated``).  One pass: each change
+    row emits its pins through ``inline``."""
     w = Window.partitionBy(entity, period).orderBy(at)
     b = obs.select(entity, at, value, F.lag(at).over(w).alias("__prev_at"),
                    F.lag(value).over(w).alias("__prev_value"))
     ch = b.where(F.col("__prev_value").isNotNull() & distinct_from(value, "__prev_value"))
-    before = ch.select(entity, F.col("__prev_at").alias("as_of_date"), F.col("__prev_value").alias("expected_value"),
-                       F.lit("observed_before").alias("kind"))
-    after = ch.select(entity, F.col(at).alias("as_of_date"), F.col(value).alias("expected_value"),
-                      F.lit("observed_after").alias("kind"))
-    gap = ch.where(F.datediff(at, "__prev_at") > 1).select(
-        entity, F.date_sub(at, 1).alias("as_of_date"), F.col("__prev_value").alias("expected_value"),
-        F.lit("interpolated").alias("kind"))
-    return before.unionByName(after).unionByName(gap)
+
+    def pin(date, val, kind):
+        return F.struct(date.alias("as_of_date"), val.alias("expected_value"), F.lit(kind).alias("kind"))
+
+    pins = F.array_compact(F.array(
+        pin(F.col("__prev_at"), F.col("__prev_value"), "observed_before"),
+        pin(F.col(at), F.col(value), "observed_after"),
+        F.when(F.datediff(at, "__prev_at") > 1,
+               pin(F.date_sub(at, 1), F.col("__prev_value"), "interpolated"))))
+    return ch.select(entity, F.inline(pins))
 
 
 def pinned_expectations(pins: DataFrame, intervals: DataFrame, entity: str, at: str, expected: str,
                         interval_value: str, bucket: str | None = "month") -> DataFrame:
     """Each pin must resolve to exactly one interval naming the expected
     value.  Two floors: no pins at all, and no interpolated pin (the rule
-    that matters most would go untested)."""
+    that matters most would go untested), both from one count over the pins."""
     j = asof_join(pins, intervals, on=[entity], at=at, bucket=bucket)
     g = j.groupBy(*pins.columns).agg(
         F.count("valid_from").alias("n_containing"),
         F.count_if(F.col(interval_value) == F.col(expected)).alias("n_agreeing"))
     res = g.withColumn("violates", ~((F.col("n_containing") == 1) & (F.col("n_agreeing") == 1)))
-    fl_all = _floor(pins, "floor_no_pins", "kind", res)
-    fl_int = _floor(pins.where(F.col("kind") == "interpolated"), "floor_no_interpolated_pin", "kind", res)
-    fix = lambda d: d.withColumn("violates", F.lit(True))
-    return res.unionByName(fix(fl_all)).unionByName(fix(fl_int))
+    # Floors count the pins (cheap: observations only), not the joined result.
+    counts = pins.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "interpolated").alias("ni"))
+    kinds = F.array_compact(F.array(F.when(F.col("n") == 0, F.lit("floor_no_pins")),
+                                    F.when(F.col("ni") == 0, F.lit("floor_no_interpolated_pin"))))
+    floors = counts.select(F.explode(kinds).alias("kind")).select(
+        *[F.col("kind") if f.name == "kind" else (F.lit(True) if f.name == "violates" else
+                                                  F.lit(None).cast(f.dataType)).alias(f.name)
+          for f in res.schema.fields])
+    return res.unionByName(floors)
 
 
 # ---------------------------------------------------------------- Q-10
