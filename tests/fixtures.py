@@ -37,6 +37,8 @@ GAMES = [
     ("0021900004", "2019-10-25", 3, 1, False, 0, "2019-20", "22019"),
 ]
 DNP = (1000, "0021900001")  # player 1000 dressed but did not play in this game
+RENAMED_TEAM = {("22019", 2): "Team 02 Renamed"}
+SHORTER_NAME = {("22019", 1000): "P1000"}
 
 
 def roster(team: int, game_id: str) -> list[int]:
@@ -99,6 +101,7 @@ def game_rows(game) -> tuple[list[dict], list[dict]]:
     diff = totals[home]["PTS"] - totals[away]["PTS"]
     for t, o in sides:
         tid, abbr, name = TEAMS[t]
+        name = RENAMED_TEAM.get((season_id, t), name)
         oabbr = TEAMS[o][1]
         is_home = t == home and not neutral
         matchup = f"{abbr} vs. {oabbr}" if is_home else f"{abbr} @ {oabbr}"
@@ -112,7 +115,8 @@ def game_rows(game) -> tuple[list[dict], list[dict]]:
             FT_PCT=_pct(tot["FTM"], tot["FTA"]), PLUS_MINUS=pm, VIDEO_AVAILABLE=0))
         for (pt, _po, p, s) in [x for x in players if x[0] == t]:
             players_row = dict(
-                SEASON_ID=season_id, PLAYER_ID=p, PLAYER_NAME=f"Player {p}", TEAM_ID=tid, TEAM_ABBREVIATION=abbr,
+                SEASON_ID=season_id, PLAYER_ID=p, PLAYER_NAME=SHORTER_NAME.get((season_id, p), f"Player {p}"),
+                TEAM_ID=tid, TEAM_ABBREVIATION=abbr,
                 TEAM_NAME=name, GAME_ID=gid, GAME_DATE=date, MATCHUP=matchup, WL=wl, VIDEO_AVAILABLE=1, **s)
             players_row["_out"] = True
             teams[-1].setdefault("_players", []).append(players_row)

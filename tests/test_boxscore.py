@@ -118,6 +118,16 @@ def test_dim_game_neutral_and_home_away(silver_tables):
     assert g["0020300001"].season_type == "Regular Season"
 
 
+def test_latest_name_wins_and_drift_population(bronze_tables, silver_tables):
+    t = {r.team_id: r.team_name for r in silver_tables["dim_team"].collect()}
+    assert t[TEAMS[2][0]] == "Team 02 Renamed" and t[TEAMS[0][0]] == "Team 00"
+    assert silver_tables["dim_player"].where("player_id = 1000").first().player_name == "P1000"
+    assert suite.name_drift_population(bronze_tables["team"], "team_id", "team_name").count() == 0
+    assert suite.name_drift_population(bronze_tables["team"].where("season_id = '22003'"), "team_id",
+                                       "team_name").count() == 1
+    assert suite.unequal_team_game_counts(silver_tables["fact_team_game"], silver_tables["dim_game"]).count() == 2
+
+
 def test_dim_player_span(silver_tables):
     p = silver_tables["dim_player"].where(f"player_id = {TRADED}").first()
     assert (p.first_observed_game_date.isoformat(), p.last_observed_game_date.isoformat()) == ("2003-11-01",

@@ -85,3 +85,26 @@ def test_capture_pair_diff_finds_restated_cell(spark, landing):
     d = L.capture_pair_diff(rows.where("game_id = '0020300003'"), ["game_id", "team_id"],
                             ["video_available", "pts"], "20260815T120000Z", "20260815T120030Z").collect()
     assert [(r.column_name, r.value_before, r.value_after) for r in d] == [("video_available", "0", "99")]
+
+
+def test_superseded_captures_on_fixture(spark, landing):
+    rows = decoded(landed_envelopes(spark, landing["root"]), "team")
+    # add a capture whose only rows are beaten by the base capture's later restatement
+    old = rows.where("capture = '20260815T120000Z' and game_id = '0020300003'").withColumn(
+        "capture", F.lit("20260815T110000Z")).withColumn("captured_at", F.to_timestamp_ntz(F.lit("2026-08-15 11:00:00")))
+    sup = L.superseded_captures(rows.unionByName(old), ["game_id", "team_id"], ["season", "grain", "capture"],
+                                ["captured_at", "capture"]).collect()
+    assert [(r.season, r.capture) for r in sup] == [("2003-04", "20260815T110000Z")]
+
+
+def test_docs_metadata_survives_parquet(spark, landing):
+    from tierline.plans.docs import MODEL_DOCS, document
+    from tierline.plans.gold import publish_compact
+
+    rows = decoded(landed_envelopes(spark, landing["root"]), "team").select("game_id", "team_id", "pts")
+    out = tempfile.mkdtemp(prefix="tierline-docs-") + "/t"
+    files = publish_compact(document(rows, {"game_id": MODEL_DOCS["dim_game"]["game_id"]}, "team rows"), out,
+                            ["game_id"], rows_per_file=10)
+    back = spark.read.parquet(out)
+    assert back.schema["game_id"].metadata["comment"].startswith("10-digit")
+    assert files == 3 and back.count() == rows.count()

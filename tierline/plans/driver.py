@@ -342,9 +342,17 @@ def completeness(spark: SparkSession, sf: str) -> DataFrame:
     return qc.plan_vs_landed(expected, landed, ["n_nationkey", "year"])
 
 
+def superseded_captures_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Ship dates (captures) that are the surviving version of no key."""
+    from tierline.plans.landing import superseded_captures
+
+    li = Tables(spark, sf).lineitem
+    return superseded_captures(li, LINE_KEYS, ["l_shipdate"], LINE_VERSION)
+
+
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     ev = Tables(spark, sf).events.select(F.col("ts").cast("date").alias("day"), "ts")
-    return consecutive_gaps(ev, ["day"], "ts", split="hour")
+    return consecutive_gaps(ev, ["day"], "ts", split="minute")
 
 
 def upsert_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -412,6 +420,7 @@ QUERIES = {
     "capture_diff": capture_diff_q,
     "completeness": completeness,
     "run_metrics": run_metrics,
+    "superseded_captures": superseded_captures_q,
     "upsert": upsert_q,
     "league_context": league_context,
 }

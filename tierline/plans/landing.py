@@ -9,7 +9,8 @@
   sha256 of the written bytes) is appended afterwards to ``_audit`` and is
   the completeness marker.
 * ``existing_captures`` (J-02), ``plan`` (J-03), ``row_maps`` (J-07),
-  ``run_metrics`` (J-08), ``capture_pair_diff`` (J-09).
+  ``run_metrics`` (J-08), ``capture_pair_diff`` (J-09),
+  ``superseded_captures`` (D-15).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from tierline.contracts import PARTITIONS
 from tierline.functions.columns import distinct_from
 from tierline.operators.gaps import consecutive_gaps
+from tierline.operators.latest import latest_per_key
 from tierline.quality.checks import plan_vs_landed
 from tierline.sources.landing import endpoint_root, payload_digests, read_manifests
 
@@ -125,3 +127,14 @@ def capture_pair_diff(rows: DataFrame, keys: Sequence[str], columns: Sequence[st
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"__a_{c}").alias("value_before"),
                       F.col(f"__b_{c}").alias("value_after")) for c in columns]
     return j.select(*keys, F.inline(F.array(*pairs))).where(distinct_from("value_before", "value_after"))
+
+
+def superseded_captures(rows: DataFrame, keys: Sequence[str], capture: Sequence[str],
+                        order: Sequence[str]) -> DataFrame:
+    """D-15: captures that win no key — every row they hold is beaten by a
+    later capture — listed as candidates for retirement.  One latest-wins
+    pass over narrow columns, then an anti join of the (small) capture
+    list against the winning captures."""
+    narrow = rows.select(*keys, *dict.fromkeys([*order, *capture]))
+    won = latest_per_key(narrow, keys, list(order)).select(*capture).distinct()
+    return rows.select(*capture).distinct().join(won, list(capture), "left_anti")

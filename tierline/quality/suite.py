@@ -241,6 +241,22 @@ def two_rows_per_game(fact_team: DataFrame, fact_player: DataFrame) -> DataFrame
     return per.unionByName(orphan)
 
 
+def name_drift_population(bronze_rows: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """Q-22 (inverted): the corpus must contain an id observed under two or
+    more names, or the latest-name logic goes untested; floor row otherwise."""
+    pop = bronze_rows.groupBy(id_col).agg(F.count_distinct(name_col).alias("n_names")).where("n_names > 1")
+    return floor_rows(pop, f"no_{id_col}_with_two_names")
+
+
+def unequal_team_game_counts(fact_team: DataFrame, games: DataFrame) -> DataFrame:
+    """D-14: seasons whose teams played different numbers of games (a
+    shortened or truncated season); reported, not fatal."""
+    per = fact_team.join(games.select("game_id", "season_id"), "game_id").groupBy("season_id", "team_id").agg(
+        F.count(F.lit(1)).alias("n_games"))
+    return per.groupBy("season_id").agg(F.min("n_games").alias("min_games"), F.max("n_games").alias("max_games")) \
+        .where("min_games <> max_games")
+
+
 def plus_minus_negates(fact_team: DataFrame) -> DataFrame:
     """D-13: the two sides' plus_minus sum to zero per game."""
     return fact_team.groupBy("game_id").agg(F.sum("plus_minus").alias("plus_minus_sum")).where(
@@ -290,6 +306,11 @@ def silver_checks(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFram
         Check("rel.stint.player_id", relationships(st, "player_id", dp, "player_id")),
         Check("rel.stint.team_id", relationships(st, "team_id", dt, "team_id")),
         Check("plus_minus_negates", plus_minus_negates(ft), severity="warn"),
+        Check("team_name_drift_population", name_drift_population(bronze["team"], "team_id", "team_name"),
+              severity="warn"),
+        Check("player_name_drift_population", name_drift_population(bronze["player"], "player_id", "player_name"),
+              severity="warn"),
+        Check("unequal_team_game_counts", unequal_team_game_counts(ft, g), severity="warn"),
     ]
     if seed is not None:
         checks.append(Check("known_trades_resolve", known_trades_resolve(seed, st)))
