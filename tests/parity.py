@@ -49,6 +49,23 @@ def rows_of(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return _TYPES.get(t, t.upper())
+
+
+def type_mismatches(sdf, res) -> list[str]:
+    s_types = {f.name: spark_type_as_duck(f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]).replace(" ", "") for d in res.description}
+    return [f"{c}: spark {s_types[c]} vs oracle {d_types.get(c)}" for c in s_types
+            if c in d_types and s_types[c] != d_types[c]]
+
+
 def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -61,6 +78,7 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None) -> dict:
     d_rows = res.fetchall()
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
     out["columns_match"] = sorted(s_cols) == sorted(d_cols)
+    out["type_mismatches"] = type_mismatches(sdf, res)
     if not out["columns_match"]:
         out["detail"] = f"spark {sorted(s_cols)} vs oracle {sorted(d_cols)}"
         out["ok"] = False
@@ -97,7 +115,7 @@ def main(argv):
             r = {"name": name, "ok": False, "detail": repr(ex)[:400]}
         bad += not r["ok"]
         print(f"{name:24s} {'OK ' if r['ok'] else 'BAD'} {r.get('spark_rows')}/{r.get('oracle_rows')} "
-              f"{r.get('spark_sec', '')}s {r.get('detail', '')}", flush=True)
+              f"{r.get('spark_sec', '')}s {r.get('detail', '')} {r.get('type_mismatches') or ''}", flush=True)
     print("mismatches:", bad)
     return bad
 

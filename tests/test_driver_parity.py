@@ -24,6 +24,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, SF, name, QUERIES[name], ORACLE[name], con)
     assert r["ok"], r.get("detail")
+    assert not r["type_mismatches"], r["type_mismatches"]
 
 
 def test_entry_runs(spark):
