@@ -226,6 +226,7 @@ def test_build_publishes_when_green(spark, landing):
     res = build_mod.build(spark, landing["root"], wh, seed_path=landing["seed"], corpus_season="2019")
     assert spark.read.parquet(res.tables["dim_player_team_stint"]).count() == 12 * 2 + 2 + 3
     assert spark.read.parquet(res.tables["bronze_team"]).count() == len(landing["teams"])
+    assert spark.read.parquet(res.tables["player_season_context"]).where("pts_rank = 1").count() >= 2
 
 
 def test_build_refuses_to_publish_red_layer(spark, landing):
@@ -247,3 +248,50 @@ def test_gold_season_context(silver_tables):
     assert abs(sum(r.z_score for r in rows)) < 1e-6
     eb = era_bounded(ctx, "season_id", "pts_per_100", "22019")
     assert eb.where("season_id = '22003' and pts_per_100 is not null").count() == 0
+
+
+# ---------------------------------------------------------------- FIXTURES §7 edge cases
+def _env_rows(spark, rows):
+    from tierline.contracts import ENVELOPE
+
+    return spark.createDataFrame(rows, ENVELOPE).withColumn("source_file", F.lit("mem"))
+
+
+def _team_env(landing, season, capture, game_ids, season_text, edit=None):
+    from tests.fixtures import envelope
+    from tierline.contracts import TEAM_COLUMNS
+
+    rows = [dict(r) for r in landing["teams"] if r["GAME_ID"] in game_ids]
+    for r in rows:
+        (edit or (lambda x: None))(r)
+    return {**envelope(TEAM_COLUMNS, rows), "season": season_text, "grain": "team", "season_type": "regular",
+            "capture": capture}
+
+
+def test_duplicate_key_inside_one_capture_is_reported(spark, landing):
+    env = _team_env(landing, "2003-04", "20260815T120000Z", ["0020300001"], "2003-04")
+    env["resultSets"][0]["rowSet"] = env["resultSets"][0]["rowSet"] * 2
+    df = _env_rows(spark, [env])
+    assert suite.duplicate_key_in_capture(df, "team").count() == 2
+    assert bronze(df, "team").count() == 2  # dedup hides it — which is why the check exists
+
+
+def test_same_stamp_in_two_partitions_resolves_deterministically(spark, landing):
+    def bump(r):
+        r["PTS"] += 1
+
+    a = _team_env(landing, "2003-04", "20260815T120000Z", ["0020300001"], "2003-04")
+    b = _team_env(landing, "2003-04", "20260815T120000Z", ["0020300001"], "2019-20", bump)
+    for order in ([a, b], [b, a]):
+        got = {r.team_id: r.pts for r in bronze(_env_rows(spark, order), "team").collect()}
+        exp = {r["TEAM_ID"]: r["PTS"] + 1 for r in landing["teams"] if r["GAME_ID"] == "0020300001"}
+        assert got == exp  # the greater partition value wins the tie, whatever the file order
+
+
+def test_measure_null_on_both_grains_is_reported(silver_tables):
+    fp = silver_tables["fact_player_game"].withColumn(
+        "blk", F.when(F.col("game_id") == "0020300001", F.lit(None).cast("bigint")).otherwise(F.col("blk")))
+    ft = silver_tables["fact_team_game"].withColumn(
+        "blk", F.when(F.col("game_id") == "0020300001", F.lit(None).cast("bigint")).otherwise(F.col("blk")))
+    bad = suite.points_reconcile(fp, ft).collect()
+    assert {(r.game_id, r.measure) for r in bad} == {("0020300001", "blk")} and len(bad) == 2

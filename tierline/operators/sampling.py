@@ -17,7 +17,8 @@ def first_groups(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataF
     """First ``n`` distinct ``key`` values in first-seen order (the minimum
     of ``order`` per key, ties by key).  Map-side partial aggregation, then
     a bounded top-N (``TakeOrderedAndProject``)."""
-    firsts = df.groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
+    first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))  # fixed-width → hash aggregate
+    firsts = df.groupBy(key).agg(first.alias("__first"))
     return firsts.orderBy("__first", key).limit(n).select(key)
 
 

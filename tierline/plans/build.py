@@ -1,8 +1,9 @@
 """Layer runner with a promotion gate.
 
 bronze → checks → publish → silver (read back from the published bronze)
-→ checks → publish.  Each layer is first materialised with a reliable
-``checkpoint()`` into the shared folder named by ``spark.checkpoint.dir``
+→ checks → publish → gold (season context marts, compact sorted files).
+Each layer is first materialised with a reliable ``checkpoint()`` into the
+shared folder named by ``spark.checkpoint.dir``
 (lineage cut; an executor lost later re-reads the checkpoint instead of the
 landing), the checks run over the checkpointed data, and the layer is
 written to ``<warehouse>/<layer>/<table>`` only when every error-severity
@@ -17,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.plans.bronze import bronze, landed_envelopes
+from tierline.plans.gold import player_season_context, publish_compact
 from tierline.plans.silver import build_silver
 from tierline.quality.core import CheckResult, run_checks
 from tierline.quality.suite import bronze_checks, silver_checks
@@ -74,4 +76,9 @@ def build(spark: SparkSession, root: str, warehouse: str, seed_path: str | None
         path = f"{warehouse}/silver/{name}"
         _publish(df, path)
         res.tables[name] = path
+    fact = spark.read.parquet(res.tables["fact_player_game"])
+    games = spark.read.parquet(res.tables["dim_game"])
+    path = f"{warehouse}/gold/player_season_context"
+    publish_compact(player_season_context(fact, games), path, ["season_id", "pts_rank"])
+    res.tables["player_season_context"] = path
     return res
