@@ -113,16 +113,13 @@ def game_rows(game) -> tuple[list[dict], list[dict]]:
             MATCHUP=matchup, WL=wl, MIN=240 + 25 * ot, **{k: tot[k] for k in SUMMED if k != "TOV"},
             TOV=tot["TOV"] + 1, FG_PCT=_pct(tot["FGM"], tot["FGA"]), FG3_PCT=_pct(tot["FG3M"], tot["FG3A"]),
             FT_PCT=_pct(tot["FTM"], tot["FTA"]), PLUS_MINUS=pm, VIDEO_AVAILABLE=0))
-        for (pt, _po, p, s) in [x for x in players if x[0] == t]:
+        for (_t, _o, p, s) in [x for x in players if x[0] == t]:
             players_row = dict(
                 SEASON_ID=season_id, PLAYER_ID=p, PLAYER_NAME=SHORTER_NAME.get((season_id, p), f"Player {p}"),
                 TEAM_ID=tid, TEAM_ABBREVIATION=abbr,
                 TEAM_NAME=name, GAME_ID=gid, GAME_DATE=date, MATCHUP=matchup, WL=wl, VIDEO_AVAILABLE=1, **s)
-            players_row["_out"] = True
             teams[-1].setdefault("_players", []).append(players_row)
     player_rows = [r for t in teams for r in t.pop("_players")]
-    for r in player_rows:
-        r.pop("_out")
     return player_rows, teams
 
 

@@ -4,15 +4,10 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import functions as F
-
-from tests.fixtures import PLAYER_COLUMNS, TEAM_COLUMNS, TEAMS, envelope, write_capture
-from tierline.plans.bronze import bronze, landed_envelopes
-from tierline.plans.bronze import decoded
+from tests.fixtures import TEAM_COLUMNS, TEAMS, envelope, write_capture
+from tierline.plans.bronze import bronze, decoded, landed_envelopes
 from tierline.streaming.incremental import recent_captures, streaming_latest, upsert_bronze
 
-_ = PLAYER_COLUMNS
-
 
 def test_stream_upsert_matches_batch_and_applies_restatement(spark, landing):
     root = tempfile.mkdtemp(prefix="tierline-stream-")
@@ -56,4 +51,3 @@ def test_recent_captures_window(spark, landing):
     env = landed_envelopes(spark, landing["root"])
     assert recent_captures(env, "20260816T000000Z", 2).count() == env.count()
     assert recent_captures(env, "20261001T000000Z", 2).count() == 0
-    _ = F

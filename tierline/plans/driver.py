@@ -105,6 +105,15 @@ def header_drift_q(spark: SparkSession, sf: str) -> DataFrame:
                     "same_order")
 
 
+def dup_key_in_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """D-08: natural keys present twice inside one capture, found on the
+    decoded envelopes before any dedup could hide them."""
+    t = Tables(spark, sf)
+    env = envelope_parts(lineitem_envelopes(t.lineitem))
+    rows = decode_envelope(env, LINE_CONTRACT, carry=["source_file", "capture"], where="source_file")
+    return qc.duplicate_keys(rows, ["source_file", "capture", *LINE_KEYS])
+
+
 def json_unwrap(spark: SparkSession, sf: str) -> DataFrame:
     ev = Tables(spark, sf).events
     return ev.select("event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
@@ -386,6 +395,7 @@ def league_context(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "envelope_roundtrip": envelope_roundtrip,
     "header_drift": header_drift_q,
+    "dup_key_in_capture": dup_key_in_capture,
     "json_unwrap": json_unwrap,
     "latest_wins": latest_wins,
     "landed_vs_built": landed_vs_built,

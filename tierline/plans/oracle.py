@@ -136,6 +136,12 @@ select {', '.join(LINE_COLS)}, max(l_shipdate) over (partition by l_orderkey) as
 select 'lineitem/order=' || l_orderkey as source_file, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture, cast(0 as bigint) as n_missing,
        cast(0 as bigint) as n_extra, cast(11 as bigint) as width, false as same_order
 from lineitem group by l_orderkey having dayofweek(max(l_shipdate)) <> 0""",
+    "dup_key_in_capture": """
+with cap as (select l_orderkey, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture from lineitem group by 1)
+select 'lineitem/order=' || l.l_orderkey as source_file, cap.capture, l.l_orderkey, l.l_linenumber,
+       count(*) as n_rows
+from lineitem l join cap on l.l_orderkey = cap.l_orderkey
+group by l.l_orderkey, cap.capture, l.l_linenumber having count(*) > 1""",
     "json_unwrap": "select event_id, user_id, cast(props ->> '$.k' as bigint) as k from events",
     "latest_wins": W_LINE,
     "landed_vs_built": f"""
