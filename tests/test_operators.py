@@ -106,7 +106,7 @@ def test_pair_collapse_and_violations(spark):
     assert (c[1].h_id, c[1].a_id) == (10, 11) and c[2].is_neutral and c[3].h_id is None
     v = {(r.g, r.violation) for r in pair_violations(df, collapse_pair(df, ["g"], h, a, "id", "h", "a"),
                                                      ["g"], h, a, "id", "h", "a").collect()}
-    assert v == {(3, "sided_not_one_and_one"), (4, "same_id_both_sides")}
+    assert v == {(3, "sided_not_one_and_one"), (3, "ids_null_iff_neutral"), (4, "same_id_both_sides")}
 
 
 def test_reconcile_detects_child_change_and_missing_parent(spark):
