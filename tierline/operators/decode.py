@@ -40,8 +40,8 @@ def decode_envelope(envelopes: DataFrame, contract: Contract, carry: Sequence[st
     """Decode ``headers``/``rows`` envelopes into typed columns by header name.
 
     ``strict``: a missing header or a ragged row raises (naming the capture
-    in ``where``) instead of decoding to NULL.  Casts run in ANSI mode, so a
-    cell that does not parse as its contract type also raises.
+    in ``where``) instead of decoding to NULL.  With ANSI mode on (the Spark 4
+    default) a cell that does not parse as its contract type raises too.
     """
     names = [n for n, _ in contract]
     exploded = explode_positions(envelopes, names, carry)

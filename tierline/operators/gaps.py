@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _micros(ts: str):
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+def _gap_us(earlier, later):
+    """Microseconds between two timestamps; zone-free for TIMESTAMP_NTZ (no
+    cast through the session time zone, so DST never shifts a gap)."""
+    return F.timestamp_diff("MICROSECOND", earlier, later)
 
 
 def consecutive_gaps(df: DataFrame, group: Sequence[str], ts: str, split: str = "hour") -> DataFrame:
@@ -26,12 +28,12 @@ def consecutive_gaps(df: DataFrame, group: Sequence[str], ts: str, split: str =
     group = list(group)
     data = df.select(*group, F.col(ts).alias("__ts")).withColumn("__b", F.date_trunc(split, "__ts"))
     w_in = Window.partitionBy(*group, "__b").orderBy("__ts")
-    inner = data.withColumn("__gap", _micros("__ts") - F.lag(_micros("__ts")).over(w_in))
+    inner = data.withColumn("__gap", _gap_us(F.lag("__ts").over(w_in), F.col("__ts")))
     buckets = inner.groupBy(*group, "__b").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__ts").alias("__lo"), F.max("__ts").alias("__hi"),
         F.max("__gap").alias("__inner_max"))
     w_b = Window.partitionBy(*group).orderBy("__b")
-    stitched = buckets.withColumn("__edge", _micros("__lo") - F.lag(_micros("__hi")).over(w_b))
+    stitched = buckets.withColumn("__edge", _gap_us(F.lag("__hi").over(w_b), F.col("__lo")))
     return stitched.groupBy(*group).agg(
         F.sum("__n").alias("n_rows"),
         F.min("__lo").alias("first_ts"),
