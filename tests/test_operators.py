@@ -73,9 +73,11 @@ def test_asof_join_matches_brute_force(spark, bucket):
     assert res == _brute_asof(lp, ivp)
 
 
-def test_consecutive_gaps_match_brute_force(spark):
+@pytest.mark.parametrize("split", ["minute", "hour", "range"])
+def test_consecutive_gaps_match_brute_force(spark, split):
     ev = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("date").alias("day"), "ts")
-    got = {r.day: (r.n_rows, r.max_gap_us) for r in consecutive_gaps(ev, ["day"], "ts", split="hour").collect()}
+    got = {r.day: (r.n_rows, r.max_gap_us) for r in consecutive_gaps(ev, ["day"], "ts", split=split,
+                                                                       partitions=7).collect()}
     pdf = ev.toPandas().sort_values("ts")
     exp = {}
     for day, g in pdf.groupby("day"):
@@ -85,6 +87,20 @@ def test_consecutive_gaps_match_brute_force(spark):
     assert got == exp
 
 
+def test_consecutive_gaps_range_split_handles_a_hot_group(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    hot = ev.select(F.when(F.col("user_id") < 5, F.lit(-1)).otherwise(F.col("user_id")).alias("g"), "ts")
+    got = {r.g: (r.n_rows, r.max_gap_us) for r in consecutive_gaps(hot, ["g"], "ts", split="range",
+                                                                     partitions=16).collect()}
+    pdf = hot.toPandas().sort_values("ts")
+    exp = {}
+    for g, grp in pdf.groupby("g"):
+        us = grp.ts.astype("int64") // 1000
+        gaps = us.diff().dropna()
+        exp[g] = (len(grp), int(gaps.max()) if len(gaps) else None)
+    assert got == exp
+
+
 def test_stints_a_b_a_and_gap_rule(spark):
     d = pd.to_datetime
     obs = pd.DataFrame({

@@ -22,11 +22,24 @@ def _gap_us(earlier, later):
     return F.timestamp_diff("MICROSECOND", earlier, later)
 
 
-def consecutive_gaps(df: DataFrame, group: Sequence[str], ts: str, split: str = "hour") -> DataFrame:
+def consecutive_gaps(df: DataFrame, group: Sequence[str], ts: str, split: str = "minute",
+                     partitions: int | None = None) -> DataFrame:
     """Per group: n_rows, first_ts, last_ts, max_gap_us (NULL for a single
-    row).  ``split`` is the bucket unit of ``date_trunc``."""
+    row).
+
+    ``split`` is a ``date_trunc`` unit (``minute``, ``hour``, …): buckets are
+    calendar slices, one shuffle.  ``split="range"`` is the skew-proof form:
+    rows are range-partitioned by (group, ts) — the sampled bounds cut even a
+    group holding a third of all rows into equal time slices — and the
+    partition id becomes the bucket (within a group, partition order is time
+    order, so the edge stitching stays exact); it costs a second shuffle."""
     group = list(group)
-    data = df.select(*group, F.col(ts).alias("__ts")).withColumn("__b", F.date_trunc(split, "__ts"))
+    data = df.select(*group, F.col(ts).alias("__ts"))
+    if split == "range":
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        data = data.repartitionByRange(n, *group, "__ts").withColumn("__b", F.spark_partition_id())
+    else:
+        data = data.withColumn("__b", F.date_trunc(split, "__ts"))
     w_in = Window.partitionBy(*group, "__b").orderBy("__ts")
     inner = data.withColumn("__gap", _gap_us(F.lag("__ts").over(w_in), F.col("__ts")))
     buckets = inner.groupBy(*group, "__b").agg(
