@@ -17,9 +17,10 @@ import hashlib
 import json
 import os
 
+from tierline.contracts import DEFAULT_ENDPOINT as ENDPOINT
+from tierline.contracts import DEFAULT_SOURCE as SOURCE
 from tierline.contracts import PLAYER_COLUMNS, TEAM_COLUMNS
 
-SOURCE, ENDPOINT = "nba_stats", "league_game_log"
 TEAMS = {i: (1610612737 + i, f"T{i:02d}", f"Team {i:02d}") for i in range(4)}
 TRADED, BOOMERANG = 2032, 3001
 

@@ -10,7 +10,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import BOOMERANG, TEAMS, TRADED
+from tests.fixtures import BOOMERANG, ENDPOINT, SOURCE, TEAMS, TRADED
 from tierline.contracts import NATURAL_KEYS
 from tierline.operators.latest import latest_per_key
 from tierline.plans import build as build_mod
@@ -40,8 +40,8 @@ def silver_tables(bronze_tables):
 def test_partitions_are_strings_and_orphans_excluded(spark, landing, env):
     assert {f.name: f.dataType.simpleString() for f in env.schema.fields}["season"] == "string"
     assert env.count() == 6
-    raw = read_envelopes(spark, landing["root"], "nba_stats", "league_game_log")
-    orphans = orphan_payloads(raw, read_manifests(spark, landing["root"], "nba_stats", "league_game_log"))
+    raw = read_envelopes(spark, landing["root"], SOURCE, ENDPOINT)
+    orphans = orphan_payloads(raw, read_manifests(spark, landing["root"], SOURCE, ENDPOINT))
     assert [r.capture for r in orphans.collect()] == ["20260815T130000Z"]
 
 
@@ -202,19 +202,19 @@ def test_floors_fire_on_empty_input(spark, env, bronze_tables, silver_tables):
 def test_manifest_matches_payload_and_detects_tamper(spark, landing):
     root = tempfile.mkdtemp(prefix="tierline-tamper-")
     shutil.copytree(landing["root"], root, dirs_exist_ok=True)
-    env = read_envelopes(spark, root, "nba_stats", "league_game_log")
-    man = read_manifests(spark, root, "nba_stats", "league_game_log")
-    dig = payload_digests(spark, root, "nba_stats", "league_game_log")
+    env = read_envelopes(spark, root, SOURCE, ENDPOINT)
+    man = read_manifests(spark, root, SOURCE, ENDPOINT)
+    dig = payload_digests(spark, root, SOURCE, ENDPOINT)
     clean = suite.manifest_matches_payload(man, dig, env).collect()
     # only the orphan payload (no manifest) shows up
     assert {r.capture for r in clean} == {"20260815T130000Z"}
-    d = os.path.join(root, "nba_stats", "league_game_log", "season=2003-04", "grain=team", "season_type=regular",
+    d = os.path.join(root, SOURCE, ENDPOINT, "season=2003-04", "grain=team", "season_type=regular",
                      "capture=20260815T120000Z")
     m = json.load(open(os.path.join(d, "manifest.json")))
     m["payload_sha256"] = hashlib.sha256(b"other").hexdigest()
     m["row_count"] = 3
     open(os.path.join(d, "manifest.json"), "w").write(json.dumps(m))
-    man = read_manifests(spark, root, "nba_stats", "league_game_log")
+    man = read_manifests(spark, root, SOURCE, ENDPOINT)
     kinds = {(r.capture, r.violation) for r in suite.manifest_matches_payload(man, dig, env).collect()
              if r.grain == "team" and r.season == "2003-04"}
     assert kinds == {("20260815T120000Z", "sha256_mismatch"), ("20260815T120000Z", "row_count_mismatch")}

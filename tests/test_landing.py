@@ -8,7 +8,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import TEAM_COLUMNS, envelope
+from tests.fixtures import ENDPOINT, SOURCE, TEAM_COLUMNS, envelope
 from tierline.contracts import ENVELOPE
 from tierline.plans import landing as L
 from tierline.plans.bronze import bronze, decoded, landed_envelopes
@@ -34,7 +34,7 @@ def test_land_captures_is_write_once_and_feeds_bronze(spark, landing):
     re = L.land_captures(spark, _captures(spark, landing, "2003-04", "20260903T000000Z", ["0020300001"]), root,
                          recapture=True).collect()
     assert [r.capture for r in re] == ["20260903T000000Z"]
-    landed = L.landed_partitions(spark, root, "nba_stats", "league_game_log")
+    landed = L.landed_partitions(spark, root, SOURCE, ENDPOINT)
     assert landed.count() == 2
     ex = L.existing_captures(landed).first()
     assert (ex.n_captures, ex.latest_capture) == (2, "20260903T000000Z")
@@ -46,7 +46,7 @@ def test_land_captures_is_write_once_and_feeds_bronze(spark, landing):
 
 def test_plan_splits_landed_and_to_issue(spark, landing):
     root = landing["root"]
-    landed = L.landed_partitions(spark, root, "nba_stats", "league_game_log")
+    landed = L.landed_partitions(spark, root, SOURCE, ENDPOINT)
     p = {(r.season, r.grain): r.status for r in
          L.plan(spark, landed, ["2003-04", "2019-20", "2024-25"], ["player", "team"]).collect()}
     assert p[("2003-04", "team")] == "landed" and p[("2024-25", "player")] == "to_issue"
@@ -65,17 +65,17 @@ def test_row_maps_and_duplicate_header(spark, landing):
 
 def test_run_metrics_from_run_manifest(spark):
     root = tempfile.mkdtemp(prefix="tierline-runs-")
-    d = os.path.join(root, "nba_stats", "league_game_log", "_runs", "run=20260815T120000Z")
+    d = os.path.join(root, SOURCE, ENDPOINT, "_runs", "run=20260815T120000Z")
     os.makedirs(d)
     calls = [{"season": "2003-04", "grain": g, "season_type": "regular", "attempts": 1, "http_status": 200,
               "row_count": 10, "elapsed_seconds": 0.1, "capture": "20260815T120000Z", "written": g == "team",
               "issued_at": f"2026-08-15T12:00:0{i}"} for i, g in enumerate(["team", "player", "team"])]
     with open(os.path.join(d, "run_manifest.json"), "w") as f:
-        f.write(json.dumps({"manifest_version": 1, "source": "nba_stats", "endpoint": "league_game_log",
+        f.write(json.dumps({"manifest_version": 1, "source": SOURCE, "endpoint": ENDPOINT,
                             "planned_calls": 3, "calls": calls}) + "\n")
     from tierline.sources.landing import read_run_manifests, run_calls
 
-    m = L.run_metrics(run_calls(read_run_manifests(spark, root, "nba_stats", "league_game_log"))).first()
+    m = L.run_metrics(run_calls(read_run_manifests(spark, root, SOURCE, ENDPOINT))).first()
     assert (m.calls_made, m.captures_written, m.captures_skipped, m.rows_landed) == (3, 2, 1, 30)
     assert m.max_spacing_seconds == 1.0
 

@@ -6,6 +6,7 @@ plan   --root LANDING --seasons 2003-04,2019-20 [--grains player,team] [--recapt
 
 from __future__ import annotations
 
+from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE
 import argparse
 import json
 import sys
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "plan":
         from tierline.plans.landing import landed_partitions, plan
 
-        landed = landed_partitions(spark, a.root, "nba_stats", "league_game_log")
+        landed = landed_partitions(spark, a.root, DEFAULT_SOURCE, DEFAULT_ENDPOINT)
         for r in plan(spark, landed, a.seasons.split(","), a.grains.split(","), recapture=a.recapture).collect():
             print(json.dumps(r.asDict()))
         return 0

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 # Path segments that become partition columns, in path order.
 PARTITIONS = ["season", "grain", "season_type", "capture"]
+# Default source / endpoint directories of the landing root (both are arguments everywhere).
+DEFAULT_SOURCE, DEFAULT_ENDPOINT = "stats_api", "game_log"
 
 # Header lists as published by the endpoint, in order.
 TEAM_COLUMNS = (

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.contracts import CONTRACTS, NATURAL_KEYS, PARTITIONS
+from tierline.contracts import CONTRACTS, DEFAULT_ENDPOINT, DEFAULT_SOURCE, NATURAL_KEYS, PARTITIONS
 from tierline.functions.columns import stamp_to_timestamp
 from tierline.operators.decode import decode_envelope, envelope_parts
 from tierline.operators.latest import latest_per_key
@@ -38,8 +38,8 @@ def bronze(envelopes: DataFrame, grain: str, strict: bool = True) -> DataFrame:
     return winners.select(*cols, "captured_at")
 
 
-def landed_envelopes(spark: SparkSession, root: str, source: str = "nba_stats",
-                     endpoint: str = "league_game_log", grain: str | None = None,
+def landed_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,
+                     endpoint: str = DEFAULT_ENDPOINT, grain: str | None = None,
                      require_manifest: bool = True) -> DataFrame:
     env = read_envelopes(spark, root, source, endpoint, grain)
     if require_manifest:

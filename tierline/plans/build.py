@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE
 from tierline.plans.bronze import bronze, landed_envelopes
 from tierline.plans.gold import player_season_context, publish_compact
 from tierline.plans.silver import build_silver
@@ -54,8 +55,8 @@ def _publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
 
 
 def build(spark: SparkSession, root: str, warehouse: str, seed_path: str | None = None,
-          corpus_season: str | None = None, source: str = "nba_stats",
-          endpoint: str = "league_game_log") -> BuildResult:
+          corpus_season: str | None = None, source: str = DEFAULT_SOURCE,
+          endpoint: str = DEFAULT_ENDPOINT) -> BuildResult:
     ensure_checkpoint_dir(spark)
     res = BuildResult()
     env = landed_envelopes(spark, root, source, endpoint).checkpoint()

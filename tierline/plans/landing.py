@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.contracts import PARTITIONS
+from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, PARTITIONS
 from tierline.functions.columns import distinct_from
 from tierline.operators.gaps import consecutive_gaps
 from tierline.operators.latest import latest_per_key
@@ -48,8 +48,8 @@ def landed_partitions(spark: SparkSession, root: str, source: str, endpoint: str
     return parts.distinct()
 
 
-def land_captures(spark: SparkSession, captures: DataFrame, root: str, source: str = "nba_stats",
-                  endpoint: str = "league_game_log", recapture: bool = False) -> DataFrame:
+def land_captures(spark: SparkSession, captures: DataFrame, root: str, source: str = DEFAULT_SOURCE,
+                  endpoint: str = DEFAULT_ENDPOINT, recapture: bool = False) -> DataFrame:
     """Append new captures; returns the audit rows written (possibly none)."""
     norm = captures.select(*[F.lower(F.trim(F.col(p))).alias(p) if p != "capture" else F.upper(F.trim(F.col(p)))
                              .alias(p) for p in PARTITIONS],

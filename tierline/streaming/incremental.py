@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.contracts import ENVELOPE, NATURAL_KEYS
+from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, ENVELOPE, NATURAL_KEYS
 from tierline.operators.latest import latest_per_key
 from tierline.plans.bronze import bronze as bronze_model
 from tierline.sources.landing import PAYLOAD_FILES, endpoint_root
 
 
-def stream_envelopes(spark: SparkSession, root: str, source: str = "nba_stats", endpoint: str = "league_game_log",
-                     grain: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,
+                     endpoint: str = DEFAULT_ENDPOINT, grain: str | None = None,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
     base = endpoint_root(root, source, endpoint)
     r = (spark.readStream.schema(ENVELOPE).option("basePath", base).option("pathGlobFilter", PAYLOAD_FILES)
          .option("mode", "FAILFAST"))
