@@ -40,6 +40,43 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_settings(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings for a large cluster run, sized from the expected shuffle
+    volume of the heaviest stage (e.g. bronze dedup of the landed rows).
+
+    * shuffle partitions ≈ shuffle bytes / 256 MiB, so one reduce partition
+      fits an executor core's memory share and spills rarely; AQE then
+      coalesces small ones and splits skewed ones (a key holding a third of
+      the rows is cut into advisory-size pieces);
+    * 256 MiB file splits keep scan tasks in the same size class;
+    * broadcasts stay size-checked by AQE's runtime statistics (explicit
+      broadcasts in this library are only for N-bounded key sets).
+
+    The checkpoint folder is never set here: the cluster names a shared
+    one in ``spark.checkpoint.dir``."""
+    parts = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL settings that the deployment has not set already."""
+    for k, v in settings.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``.  Only when it is unset (local runs, tests) a
