@@ -20,22 +20,28 @@ from tierline.operators.latest import latest_per_key
 from tierline.sources.landing import complete_captures, read_envelopes
 
 
-def decoded(envelopes: DataFrame, grain: str, strict: bool = True) -> DataFrame:
+CAPTURE_ORDER = ["captured_at", "capture", "season", "season_type", "source_file"]
+
+
+def decoded(envelopes: DataFrame, grain: str, strict: bool = True,
+            contract: list[tuple[str, str]] | None = None) -> DataFrame:
     """Every landed row decoded (before dedup), with capture provenance."""
     parts = envelope_parts(envelopes.where(F.col("grain") == grain))
     carry = [*PARTITIONS, "source_file"]
-    out = decode_envelope(parts, CONTRACTS[grain], carry=carry, strict=strict, where="source_file")
+    out = decode_envelope(parts, contract or CONTRACTS[grain], carry=carry, strict=strict, where="source_file")
     return out.withColumn("captured_at", stamp_to_timestamp("capture"))
 
 
-def bronze(envelopes: DataFrame, grain: str, strict: bool = True) -> DataFrame:
-    """Model: one row per natural key, 32 (player) or 29 (team) contract
-    columns plus ``captured_at``."""
-    rows = decoded(envelopes, grain, strict)
-    order = ["captured_at", "capture", "season", "season_type", "source_file"]
-    winners = latest_per_key(rows, NATURAL_KEYS[grain], order)
-    cols = [n.lower() for n, _ in CONTRACTS[grain]]
-    return winners.select(*cols, "captured_at")
+def bronze(envelopes: DataFrame, grain: str, strict: bool = True, contract: list[tuple[str, str]] | None = None,
+           keys: list[str] | None = None) -> DataFrame:
+    """Model: one row per natural key, the contract columns (32 player / 29
+    team by default) plus ``captured_at``.  Latest capture wins; a tie on the
+    capture (same stamp, or one key twice inside one capture) falls to the
+    partition columns and then to the row's own values, ascending."""
+    contract = contract or CONTRACTS[grain]
+    rows = decoded(envelopes, grain, strict, contract)
+    winners = latest_per_key(rows, keys or NATURAL_KEYS[grain], CAPTURE_ORDER)
+    return winners.select(*[n.lower() for n, _ in contract], "captured_at")
 
 
 def landed_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,

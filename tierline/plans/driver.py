@@ -68,6 +68,14 @@ def lineitem_envelopes(li: DataFrame) -> DataFrame:
         .alias("resultSets"))
 
 
+def lineitem_landing(li: DataFrame) -> DataFrame:
+    """The packed envelopes with the landing's partition columns (season =
+    capture year), so the bronze model reads them like landed files."""
+    env = lineitem_envelopes(li)
+    return env.select("source_file", F.substring("capture", 1, 4).alias("season"), "grain",
+                      F.lit("regular").alias("season_type"), "capture", "resultSets")
+
+
 def line_winners(t: Tables) -> DataFrame:
     return latest_per_key(t.lineitem, LINE_KEYS, LINE_VERSION)
 
@@ -105,6 +113,15 @@ def header_drift_q(spark: SparkSession, sf: str) -> DataFrame:
                     "same_order")
 
 
+def bronze_model(spark: SparkSession, sf: str) -> DataFrame:
+    """M-1 over whole lineitem: the bronze model itself — decode by header
+    name, latest capture per (l_orderkey, l_linenumber), typed projection."""
+    from tierline.plans.bronze import bronze
+
+    env = lineitem_landing(Tables(spark, sf).lineitem)
+    return bronze(env, "line", contract=LINE_CONTRACT, keys=LINE_KEYS)
+
+
 def dup_key_in_capture(spark: SparkSession, sf: str) -> DataFrame:
     """D-08: natural keys present twice inside one capture, found on the
     decoded envelopes before any dedup could hide them."""
@@ -395,6 +412,7 @@ def league_context(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "envelope_roundtrip": envelope_roundtrip,
     "header_drift": header_drift_q,
+    "bronze_model": bronze_model,
     "dup_key_in_capture": dup_key_in_capture,
     "json_unwrap": json_unwrap,
     "latest_wins": latest_wins,

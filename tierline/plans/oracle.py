@@ -136,6 +136,14 @@ select {', '.join(LINE_COLS)}, max(l_shipdate) over (partition by l_orderkey) as
 select 'lineitem/order=' || l_orderkey as source_file, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture, cast(0 as bigint) as n_missing,
        cast(0 as bigint) as n_extra, cast(11 as bigint) as width, false as same_order
 from lineitem group by l_orderkey having dayofweek(max(l_shipdate)) <> 0""",
+    "bronze_model": f"""
+with cap as (select l_orderkey, max(l_shipdate) as captured_at from lineitem group by 1),
+r as (select l.*, cap.captured_at,
+             row_number() over (partition by l.l_orderkey, l.l_linenumber
+                                order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                                         l_returnflag, l_linestatus, l_shipdate) as rn
+      from lineitem l join cap on l.l_orderkey = cap.l_orderkey)
+select {', '.join(LINE_COLS)}, captured_at from r where rn = 1""",
     "dup_key_in_capture": """
 with cap as (select l_orderkey, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture from lineitem group by 1)
 select 'lineitem/order=' || l.l_orderkey as source_file, cap.capture, l.l_orderkey, l.l_linenumber,
