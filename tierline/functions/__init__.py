@@ -1,9 +1,12 @@
 """Column-level helpers (all JVM-side built-ins, no Python UDFs)."""
 
-from tierline.functions.columns import (  # noqa: F401
+from tierline.functions.columns import (
     code_label,
     distinct_from,
     numeric_text,
     stamp_to_timestamp,
     strict_cell,
+    timestamp_to_stamp,
 )
+
+__all__ = ["code_label", "distinct_from", "numeric_text", "stamp_to_timestamp", "strict_cell", "timestamp_to_stamp"]
