@@ -27,7 +27,7 @@ from tierline.functions.columns import distinct_from, numeric_text
 from tierline.operators.decode import envelope_parts, header_drift
 from tierline.operators.pairs import pair_violations
 from tierline.operators.reconcile import child_sums, reconcile
-from tierline.operators.reshape import unpivot
+from tierline.operators.reshape import compare_wide
 from tierline.plans.bronze import decoded
 from tierline.plans.silver import away_row, home_row, player_observations
 from tierline.quality import checks as qc
@@ -60,11 +60,11 @@ def latest_capture_wins(envelopes: DataFrame, built: DataFrame, grain: str) -> D
     cols = [n.lower() for n, _ in CONTRACTS[grain] if n.lower() not in keys]
     win_raw = raw.join(rk.select(*keys, F.col("latest_capture").alias("captured_at")), [*keys, "captured_at"],
                        "left_semi")
-    lr = unpivot(win_raw, keys, cols, value="raw_value", as_type="string")
-    lb = unpivot(built.join(rk.select(*keys), keys, "left_semi"), keys, cols, value="built_value", as_type="string")
-    diff = lr.join(lb, [*keys, "column_name"], "full_outer").where(
-        distinct_from(numeric_text("raw_value"), numeric_text("built_value"))).select(
-        F.lit("value_differs_from_winning_capture").alias("violation"), *keys, "column_name")
+    gated = built.join(rk.select(*keys), keys, "left_semi")
+    # one join on the key, then unpivot the pairs (never a join on the column name)
+    cmp = compare_wide(win_raw, gated, keys, cols, "raw_value", "built_value", "full_outer", value_type="string")
+    diff = cmp.where(distinct_from(numeric_text("raw_value"), numeric_text("built_value"))).select(
+        F.lit("value_differs_from_winning_capture").alias("violation"), *keys, F.col("measure").alias("column_name"))
     out = dup.unionByName(stale).unionByName(diff)
     return with_floor(out, built, "floor_empty_model")
 
