@@ -368,6 +368,16 @@ def completeness(spark: SparkSession, sf: str) -> DataFrame:
     return qc.plan_vs_landed(expected, landed, ["n_nationkey", "year"])
 
 
+def existing_captures_q(spark: SparkSession, sf: str) -> DataFrame:
+    """J-02 over the packed lineitem landing: complete captures per
+    partition and the newest one."""
+    from tierline.contracts import PARTITIONS
+    from tierline.plans.landing import existing_captures
+
+    landed = lineitem_landing(Tables(spark, sf).lineitem).select(*PARTITIONS).distinct()
+    return existing_captures(landed)
+
+
 def superseded_captures_q(spark: SparkSession, sf: str) -> DataFrame:
     """Ship dates (captures) that are the surviving version of no key."""
     from tierline.plans.landing import superseded_captures
@@ -449,6 +459,7 @@ QUERIES = {
     "completeness": completeness,
     "run_metrics": run_metrics,
     "superseded_captures": superseded_captures_q,
+    "existing_captures": existing_captures_q,
     "upsert": upsert_q,
     "league_context": league_context,
 }

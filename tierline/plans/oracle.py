@@ -323,6 +323,10 @@ from e left join l on e.n_nationkey = l.n_nationkey and e.year = l.year""",
 select cast(ts as date) as day, count(*) as n_rows, min(ts) as first_ts, max(ts) as last_ts, max(gap) as max_gap_us
 from (select ts, epoch_us(ts) - lag(epoch_us(ts)) over (partition by cast(ts as date) order by ts) as gap
       from events) group by 1""",
+    "existing_captures": """
+select substr(cap, 1, 4) as season, 'line' as grain, 'regular' as season_type, count(distinct cap) as n_captures,
+       max(cap) as latest_capture
+from (select strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as cap from lineitem group by l_orderkey) group by 1""",
     "superseded_captures": f"""
 select distinct l_shipdate from lineitem except select l_shipdate from ({W_LINE})""",
     "upsert": """
