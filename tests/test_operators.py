@@ -155,6 +155,17 @@ def test_whole_group_sample_keeps_every_row(spark):
         bad["orders"].collect()
 
 
+def test_sampling_guards(spark):
+    from tierline.operators.sampling import groups_where
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    with pytest.raises(Exception, match="fewer than"):
+        first_groups(li, "l_orderkey", ["l_shipdate"], 10**7).collect()
+    assert groups_where(li, "l_orderkey", F.col("l_returnflag") == "R", require=True).count() > 0
+    with pytest.raises(Exception, match="no group matches"):
+        groups_where(li, "l_orderkey", F.col("l_returnflag") == "?", require=True).collect()
+
+
 def test_cell_edit_guards(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet")
     edited, log = apply_cell_edit(o, F.col("o_orderkey") == 1, "o_orderstatus", "X", "test")

@@ -13,18 +13,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_groups(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
+def _raise_if(keys: DataFrame, key: str, condition: Column, message: str) -> DataFrame:
+    """``keys`` plus a guard row that raises (lazily, when the result is
+    computed) if ``condition`` holds on the key count."""
+    guard = keys.agg(F.count(F.lit(1)).alias("__n")).where(condition).select(
+        F.raise_error(F.concat(F.lit(message), F.col("__n").cast("string")))
+        .cast(keys.schema[key].dataType).alias(key))
+    return keys.unionByName(guard)
+
+
+def first_groups(df: DataFrame, key: str, order: Sequence[str], n: int, require: bool = True) -> DataFrame:
     """First ``n`` distinct ``key`` values in first-seen order (the minimum
     of ``order`` per key, ties by key).  Map-side partial aggregation, then
-    a bounded top-N (``TakeOrderedAndProject``)."""
+    a bounded top-N (``TakeOrderedAndProject``).  With ``require`` fewer
+    than ``n`` groups raise instead of returning a short sample."""
     first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))  # fixed-width → hash aggregate
     firsts = df.groupBy(key).agg(first.alias("__first"))
-    return firsts.orderBy("__first", key).limit(n).select(key)
+    chosen = firsts.orderBy("__first", key).limit(n).select(key)
+    if require:
+        chosen = _raise_if(chosen, key, F.col("__n") < n, f"fewer than {n} groups: ")
+    return chosen
 
 
-def groups_where(df: DataFrame, key: str, predicate: Column) -> DataFrame:
-    """Distinct keys of groups with at least one row matching ``predicate``."""
-    return df.where(predicate).select(key).distinct()
+def groups_where(df: DataFrame, key: str, predicate: Column, require: bool = False) -> DataFrame:
+    """Distinct keys of groups with at least one row matching ``predicate``;
+    with ``require`` an empty result raises (one extra count over the keys)."""
+    keys = df.where(predicate).select(key).distinct()
+    if require:
+        keys = _raise_if(keys, key, F.col("__n") == 0, "no group matches the predicate: ")
+    return keys
 
 
 def keep_groups(tables: Mapping[str, tuple[DataFrame, str]], chosen: DataFrame, key: str,
