@@ -184,3 +184,14 @@ def test_capture_diff_and_upsert(spark):
     base = spark.createDataFrame([(1, "o", 1), (2, "o", 1)], "k long, s string, version int")
     upd = spark.createDataFrame([(2, "f", 2), (3, "n", 2)], "k long, s string, version int")
     assert _rows(upsert(base, upd, ["k"], ["version"])) == [(1, "o", 1), (2, "f", 2), (3, "n", 2)]
+
+
+def test_cluster_settings_size_partitions_and_never_override(spark):
+    from tierline.session import apply_settings, cluster_settings
+
+    conf = cluster_settings(100 * 2**40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert "spark.checkpoint.dir" not in conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_settings(spark, {"spark.sql.shuffle.partitions": "999"})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
