@@ -295,3 +295,20 @@ def test_measure_null_on_both_grains_is_reported(silver_tables):
         "blk", F.when(F.col("game_id") == "0020300001", F.lit(None).cast("bigint")).otherwise(F.col("blk")))
     bad = suite.points_reconcile(fp, ft).collect()
     assert {(r.game_id, r.measure) for r in bad} == {("0020300001", "blk")} and len(bad) == 2
+
+
+def test_renamed_header_in_landing_is_an_error(spark, landing):
+    from tests.fixtures import envelope, write_capture
+    from tierline.contracts import TEAM_COLUMNS
+
+    root = tempfile.mkdtemp(prefix="tierline-rename-")
+    rows = [r for r in landing["teams"] if r["GAME_ID"] == "0020300001"]
+    renamed = tuple("PTS_TOTAL" if h == "PTS" else h for h in TEAM_COLUMNS)
+    env = envelope(TEAM_COLUMNS, rows)
+    env["resultSets"][0]["headers"] = list(renamed)
+    write_capture(root, "2003-04", "team", "20260815T120000Z", env)
+    e = landed_envelopes(spark, root)
+    drift = suite.header_contract_drift(e, "team").collect()
+    assert drift and drift[0].missing == ["PTS"] and drift[0].extra == ["PTS_TOTAL"]
+    with pytest.raises(Exception, match="missing header PTS in capture"):
+        bronze(e, "team").collect()

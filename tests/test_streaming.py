@@ -51,3 +51,17 @@ def test_recent_captures_window(spark, landing):
     env = landed_envelopes(spark, landing["root"])
     assert recent_captures(env, "20260816T000000Z", 2).count() == env.count()
     assert recent_captures(env, "20261001T000000Z", 2).count() == 0
+
+
+def test_stream_one_file_per_batch_merges_across_batches(spark, landing):
+    root = tempfile.mkdtemp(prefix="tierline-stream1-")
+    shutil.copytree(landing["root"], root, dirs_exist_ok=True,
+                    ignore=lambda d, names: [n for n in names if n == "capture=20260815T130000Z" and "grain=team" in d])
+    target = os.path.join(tempfile.mkdtemp(), "bronze_team")
+    ckpt = os.path.join(tempfile.mkdtemp(), "ckpt")
+    upsert_bronze(spark, root, target, ckpt, "team", max_files_per_trigger=1).awaitTermination()
+    got = spark.read.parquet(target)
+    batch = bronze(landed_envelopes(spark, root), "team")
+    cols = sorted(batch.columns)
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
+    assert got.where(f"team_id = {TEAMS[1][0]} and game_id = '0020300003'").first().video_available == 99
