@@ -51,7 +51,9 @@ def lineitem_envelopes(li: DataFrame) -> DataFrame:
     work.  Rows travel the shuffle typed and become text after it."""
     names = [n for n, _ in LINE_CONTRACT]
     n = len(names)
-    grouped = li.groupBy("l_orderkey").agg(
+    # collect_list gains nothing from a map-side partial aggregate (it keeps every row), so hash-partition by the
+    # envelope key first: the same one shuffle, and the collection runs in the reducers instead of a map-side sort.
+    grouped = li.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("__cap"),
         F.collect_list(F.struct(*[F.col(x.lower()) for x in names])).alias("__rows"))
     shift = F.dayofweek("__cap") - 1
