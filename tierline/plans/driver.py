@@ -12,7 +12,7 @@ whole tables.  Box-score notions map onto the tables as:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import code_label, stamp_to_timestamp, timestamp_to_stamp
@@ -25,6 +25,7 @@ from tierline.operators.pairs import collapse_pair, pair_violations
 from tierline.operators.reconcile import child_sums, reconcile
 from tierline.operators.sampling import first_groups, groups_where, keep_groups
 from tierline.operators.stints import stints as build_stints
+from tierline.plans.gold import season_rankings
 from tierline.quality import checks as qc
 from tierline.sources.tables import Tables
 
@@ -409,16 +410,9 @@ def league_context(spark: SparkSession, sf: str) -> DataFrame:
                                F.col("o_custkey") == F.col("c_custkey")) \
         .groupBy(F.col("c_nationkey").alias("n_nationkey"), "year") \
         .agg(F.sum("rev").cast(MONEY).alias("revenue"), F.sum("n").alias("n_orders"))
-    w = Window.partitionBy("year").orderBy(F.col("revenue").desc())
-    wy = Window.partitionBy("year")
-    rev = F.col("revenue").cast("double")
-    return per_nation.select(
-        "n_nationkey", "year", "revenue", "n_orders",
-        F.rank().over(w).cast("bigint").alias("revenue_rank"),
-        F.percent_rank().over(w).alias("revenue_pct_rank"),
-        F.round(F.avg(rev).over(wy), 2).alias("league_avg"),
-        F.round((rev - F.avg(rev).over(wy)) / F.stddev_pop(rev).over(wy), 6).alias("z_score"),
-    )
+    ranked = season_rankings(per_nation, "year", "revenue", avg_digits=2, z_digits=6)
+    return ranked.select("n_nationkey", "year", "revenue", "n_orders", "revenue_rank", "revenue_pct_rank",
+                         "league_avg", "z_score")
 
 
 QUERIES = {

@@ -20,24 +20,35 @@ def possessions(fga="fga", fta="fta", oreb="oreb", tov="tov"):
     return F.col(fga) + F.lit(FTA_WEIGHT) * F.col(fta) - F.col(oreb) + F.col(tov)
 
 
+def season_rankings(per: DataFrame, season: str, measure: str, avg_digits: int | None = None,
+                    z_digits: int | None = None) -> DataFrame:
+    """Rank (descending), percent rank, league average and within-season
+    z-score of ``measure``.  ``per`` must already hold one row per entity
+    and season (pre-aggregated), so each season window spans a population
+    bounded by the number of entities, not by the data volume."""
+    w = Window.partitionBy(season).orderBy(F.col(measure).desc())
+    ws = Window.partitionBy(season)
+    x = F.col(measure).cast("double")
+    avg = F.avg(x).over(ws)
+    z = (x - avg) / F.stddev_pop(x).over(ws)
+    return per.select(
+        "*",
+        F.rank().over(w).cast("bigint").alias(f"{measure}_rank"),
+        F.percent_rank().over(w).alias(f"{measure}_pct_rank"),
+        (F.round(avg, avg_digits) if avg_digits is not None else avg).alias("league_avg"),
+        (F.round(z, z_digits) if z_digits is not None else z).alias("z_score"),
+    )
+
+
 def player_season_context(fact: DataFrame, games: DataFrame, measure: str = "pts") -> DataFrame:
     per = fact.join(games.select("game_id", "season_id"), "game_id").groupBy("season_id", "player_id").agg(
         F.count(F.lit(1)).alias("games"),
         F.sum(measure).alias(measure),
         F.sum("fga").alias("fga"), F.sum("fta").alias("fta"), F.sum("oreb").alias("oreb"), F.sum("tov").alias("tov"))
     poss = possessions()
-    w = Window.partitionBy("season_id").orderBy(F.col(measure).desc())
-    ws = Window.partitionBy("season_id")
-    x = F.col(measure).cast("double")
-    return per.select(
-        "season_id", "player_id", "games", measure,
-        poss.alias("possessions"),
-        F.when(poss > 0, F.col(measure) * 100 / poss).alias(f"{measure}_per_100"),
-        F.rank().over(w).cast("bigint").alias(f"{measure}_rank"),
-        F.percent_rank().over(w).alias(f"{measure}_pct_rank"),
-        F.avg(x).over(ws).alias("league_avg"),
-        ((x - F.avg(x).over(ws)) / F.stddev_pop(x).over(ws)).alias("z_score"),
-    )
+    rates = per.select("season_id", "player_id", "games", measure, poss.alias("possessions"),
+                       F.when(poss > 0, F.col(measure) * 100 / poss).alias(f"{measure}_per_100"))
+    return season_rankings(rates, "season_id", measure)
 
 
 def era_bounded(df: DataFrame, season: str, column: str, first_season: str) -> DataFrame:
