@@ -153,6 +153,8 @@ GRAINS = ("player", "team")
 SEASON_TYPES = ("regular", "playoffs")
 SEASON_PATTERN = r"^\d{4}-\d{2}$"
 GAME_ID_PATTERN = r"^\d{10}$"
+# Months of the regular window (October through April).
+WINDOW_MONTHS = (10, 11, 12, 1, 2, 3, 4)
 # The 14 measures that must reconcile player → team with zero tolerance.
 RECONCILED_MEASURES = ("pts", "fgm", "fga", "ftm", "fta", "fg3m", "fg3a", "oreb", "dreb", "reb", "ast", "stl",
                        "blk", "pf")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.contracts import WINDOW_MONTHS
 from tierline.functions.columns import code_label, stamp_to_timestamp, timestamp_to_stamp
 from tierline.operators.asof import asof_join
 from tierline.operators.decode import decode_envelope, envelope_parts, header_drift
@@ -321,10 +322,6 @@ def pair_bound(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_shipdate", "o_orderdate")
 
 
-# Months of the regular window (October through April).
-WINDOW_MONTHS = [10, 11, 12, 1, 2, 3, 4]
-
-
 def out_of_window(spark: SparkSession, sf: str) -> DataFrame:
     o = Tables(spark, sf).orders
     return qc.out_of_window(o, "o_orderdate", WINDOW_MONTHS, minimum=3)

@@ -22,6 +22,7 @@ from tierline.contracts import (
     RECONCILED_MEASURES,
     SEASON_PATTERN,
     SEASON_TYPES,
+    WINDOW_MONTHS,
 )
 from tierline.functions.columns import distinct_from, numeric_text
 from tierline.operators.decode import envelope_parts, header_drift
@@ -200,8 +201,6 @@ def made_never_exceeds_attempts(fact_player: DataFrame, fact_team: DataFrame) ->
 def out_of_window_games(games: DataFrame, season_prefix: str, minimum: int = 3) -> DataFrame:
     """Q-13 (inverted): the named season must have ≥ ``minimum`` games
     outside October–April; fails when the property is absent."""
-    from tierline.plans.driver import WINDOW_MONTHS  # fixed month list shared with the driver query
-
     g = games.where(F.substring("season_id", 2, 4) == season_prefix)
     n = g.agg(F.count_if(~F.month("game_date").isin(*WINDOW_MONTHS)).alias("n"))
     return n.where(F.col("n") < minimum).select(F.lit("property_absent").alias("violation"), "n")
