@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bpe_chunks, packing, token_files, warc
+from tierline.llm import bpe_chunks, embed_dedup, ngram_join, packing, quality_rules, site_bayes, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_token_files(spark, sf_dir):
     return token_files.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_collision_counting(spark, sf_dir):
+    return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_warc_chunks(spark, sf_dir):
     return warc.archive(_table(spark, sf_dir, "pages"))
 
@@ -26,9 +30,25 @@ def op4_bpe_chunks(spark, sf_dir):
                                     public_tokenizers.PATTERN)
 
 
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op8_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality_rules.apply_rules(docs, quality_rules.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_mixture_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_warc_chunks, op4_bpe_chunks, op9_mixture_packing)}
+def op10_site_bayes(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    model = site_bayes.fit(docs, _table(spark, sf_dir, "labels"))
+    return site_bayes.classify(docs, model).drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_collision_counting, op3_warc_chunks, op4_bpe_chunks, op7_ngram_join,
+                                   op8_quality_rules, op9_mixture_packing, op10_site_bayes)}
 ORACLE: dict[str, str] = {}
