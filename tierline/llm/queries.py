@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bpe_chunks, embed_dedup, ngram_join, packing, quality_rules, site_bayes, token_files, warc
+from tierline.llm import bpe_chunks, embed_dedup, html_extract, license_scan, ngram_join, packing, quality_rules, site_bayes, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def op4_bpe_chunks(spark, sf_dir):
                                     public_tokenizers.PATTERN)
 
 
+def op5_html_trees(spark, sf_dir):
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -49,6 +57,6 @@ def op10_site_bayes(spark, sf_dir):
     return site_bayes.classify(docs, model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_collision_counting, op3_warc_chunks, op4_bpe_chunks, op7_ngram_join,
-                                   op8_quality_rules, op9_mixture_packing, op10_site_bayes)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_collision_counting, op3_warc_chunks, op4_bpe_chunks, op5_html_trees,
+                                   op6_license_scan, op7_ngram_join, op8_quality_rules, op9_mixture_packing, op10_site_bayes)}
 ORACLE: dict[str, str] = {}
