@@ -112,30 +112,51 @@ def ordered_sets(docs: DataFrame, words: int, table: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, sid long, n long, keys array<long>")
 
 
-def _first_tries(heads: DataFrame) -> DataFrame:
-    """Pairs of each head shingle's documents with its two documents of
-    earliest position; rows come sorted by shingle and position."""
+SHARED = "gram long, sid long, n long, pos long, x1 long, n1 long, x2 long, n2 long"
+
+
+def _shared_heads(heads: DataFrame) -> DataFrame:
+    """The rows of ``heads(gram, pos, sid, n)`` whose shingle several sets
+    have in their heads, with the two sets of earliest position.  Rows come
+    sorted by shingle, position and set; of a repeated (shingle, set) one row
+    stays.  Only the two first rows of a shingle are held."""
 
     def run(batches):
-        key, anchors = None, []
+        names = ["gram", "sid", "n", "pos"]
+        key, first, second = None, None, None
         for b in batches:
-            gram, sid, n = (b.column(c).to_numpy() for c in ("gram", "sid", "n"))
-            new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else []
+            if not b.num_rows:
+                continue
+            cols = [b.column(c).to_numpy() for c in names]
+            gram, sid = cols[0], cols[1]
+            again = np.zeros(len(gram), bool)
+            again[1:] = (gram[1:] == gram[:-1]) & (sid[1:] == sid[:-1])
+            start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            end = np.append(start[1:], len(gram))
+            # runs of one row inside the batch are dropped at once
+            look = np.flatnonzero((end - start > 1) | (start == 0) | (end == len(gram)))
             rows: list[tuple] = []
-            for lo, hi in zip(new, [*new[1:], len(gram)]):
+            for lo, hi in zip(start[look].tolist(), end[look].tolist()):
                 if gram[lo] != key:
-                    key, anchors = gram[lo], []
-                at = lo
-                while len(anchors) < 2 and at < hi:
-                    rows += [(a, sid[at], an, n[at]) for a, an in anchors]
-                    anchors.append((sid[at], n[at]))
-                    at += 1
-                for a, an in anchors if at < hi else []:
-                    rows += zip([a] * (hi - at), sid[at:hi].tolist(), [an] * (hi - at), n[at:hi].tolist())
+                    key, first, second = gram[lo], None, None
+                for i in range(lo, hi):
+                    if again[i]:
+                        continue
+                    r = tuple(int(c[i]) for c in cols)
+                    if first is None:
+                        first = r
+                    elif r[1] == first[1] or second is not None and r[1] == second[1]:
+                        continue
+                    elif second is None:
+                        second = r
+                        pair = (first[1], first[2], second[1], second[2])
+                        rows += [(*first, *pair), (*second, *pair)]
+                    else:
+                        rows.append((*r, *pair))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([int(v) for v in c], pa.int64()) for c in zip(*rows)], ["x", "y", "nx", "ny"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], [x.split()[0] for x in SHARED.split(", ")])
 
-    return heads.select("gram", "sid", "n").mapInArrow(run, "x long, y long, nx long, ny long")
+    return heads.select("gram", "sid", "n", "pos").mapInArrow(run, SHARED)
 
 
 def _oriented(pairs: DataFrame, percent: int) -> DataFrame:
@@ -145,14 +166,40 @@ def _oriented(pairs: DataFrame, percent: int) -> DataFrame:
                     F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct())
 
 
+SLOTS = 1 << 24
+
+
+def _of_sets(sets: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose sid is in ``needed``, once each.  A bitmap
+    of the sids' slots (2 MB at any size) leaves out most others before the
+    join shuffles them; the join is exact."""
+    slot = F.pmod("sid", F.lit(SLOTS))
+    parts = (needed.select(slot.alias("s")).groupBy(F.expr("s div 32768").alias("k"))
+             .agg(F.expr("bitmap_construct_agg(s % 32768)").alias("bits")).collect())
+    bits = np.zeros((SLOTS // 32768, 4096), np.uint8)
+    for r in parts:
+        bits[r.k, :len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    held = sets.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    def may(batches):
+        for b in batches:
+            at = b.column("sid").to_numpy() % SLOTS
+            ok = (held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            if ok.any():
+                yield b.filter(pa.array(ok.astype(bool)))
+
+    return sets.mapInArrow(may, sets.schema).join(needed, "sid", "left_semi").dropDuplicates(["sid"])
+
+
 def verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], percent: int) -> DataFrame:
     """The pairs ``(a, b)`` with ``100 * overlap >= percent * union``; the
     overlap is the sum of the fragments' overlaps."""
+    pairs = staged(pairs, "pairs")
     needed = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-    own = sets.join(needed, "sid", "left_semi")
     edge = [0, *cuts, (1 << 63) - 1]
     part = [F.struct(F.lit(i).alias("fragment"), F.expr(f"filter(keys, k -> k >= {lo} and k < {hi})").alias("keys"))
             for i, (lo, hi) in enumerate(zip(edge, edge[1:]))]
+    own = staged(_of_sets(sets, needed), "needed-sets")
     seg = own.select("sid", F.explode(F.array(*part)).alias("s")).select("sid", "s.fragment", "s.keys").where("size(keys) > 0")
     left, right = (seg.select(F.col("sid").alias(c), "fragment", F.col("keys").alias(f"k{c}")) for c in "ab")
     counted = (pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -177,15 +224,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     rows = staged(ordered_sets(d, words, table), "sets")
     sets = rows.where("keys is not null")
     head = f"cast(n - ceil({percent} * n / 100.0) + 1 as int)"
-    heads = (sets.select("sid", "n", F.posexplode(F.expr(f"slice(keys, 1, {head})")).alias("pos", "gram"))
-             .groupBy("gram", "sid").agg(F.min("n").alias("n"), F.min("pos").alias("pos")))
-    heads = staged(heads, "heads")
-    runs = heads.repartition("gram").sortWithinPartitions("gram", "pos", "sid")
-    # copies of one set in several tasks give its keys several times
-    whole = sets.select("sid", "keys")
-    once = _distinct_sets(whole)
+    heads = sets.select("sid", "n", F.posexplode(F.expr(f"slice(keys, 1, {head})")).alias("pos", "gram"))
+    heads = staged(_shared_heads(heads.repartition("gram").sortWithinPartitions("gram", "pos", "sid")), "shared-heads")
+    tries = heads.select(F.col("sid").alias("x"), F.col("n").alias("nx"), F.explode(F.expr("array(struct(x1 as y, n1 as ny), struct(x2 as y, n2 as ny))")).alias("o"))
+    tries = tries.select("x", "o.y", "nx", "o.ny")
+    once = sets.select("sid", "keys")
     cuts = pivots(table, fragments)
-    links = staged(verified(_oriented(_first_tries(runs), percent), once, cuts, percent), "links")
+    links = staged(verified(_oriented(tries, percent), once, cuts, percent), "links")
     comp = connected_components(links)
     c = heads.join(comp, heads.sid == comp.node, "left").select("gram", "sid", "n", "pos", F.coalesce("component", "sid").alias("c"))
     mixed = c.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
@@ -203,6 +248,3 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     return (rows.select("doc_id", "sid", F.col("n").alias("n_shingles")).join(to, "sid")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
-
-def _distinct_sets(sets: DataFrame) -> DataFrame:
-    return sets.dropDuplicates(["sid"])
