@@ -10,7 +10,7 @@ each candidate the overlap is counted in every fragment by itself and summed
 per pair, which decides the link exactly.
 
 Documents with equal sets are one class.  Within a head shingle's documents
-the pairs with the two of earliest position are tried first; once those links
+the pairs with the one of earliest position are tried first; once those links
 have joined components, only pairs across components remain to be tried, so a
 large group of copies never becomes all its pairs and no link between
 components is missed.
@@ -82,12 +82,13 @@ def pivots(table: np.ndarray, fragments: int) -> list[int]:
     return out
 
 
-def ordered_sets(docs: DataFrame, words: int, table: np.ndarray) -> DataFrame:
-    """``doc_id, sid, n, keys``: the ascending order keys of each document's
-    set.  ``sid`` is a 63-bit digest of the set (equal sets, equal sid).  A
-    task gives the keys of a set once and null keys for its further copies."""
-    spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(_ranks(table).astype(np.uint8))
+def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None) -> DataFrame:
+    """``doc_id, sid, n, keys`` of each document.  ``sid`` is a 63-bit digest
+    of the set (equal sets, equal sid) and ``n`` its size.  ``keys`` are the
+    ascending order keys of the set's head, as long as ``percent`` asks for;
+    with ``wanted``, a bitmap of sids, only those documents are given, with
+    all keys.  A task gives the keys of a set once and null keys for most of
+    its further copies.  ``ranks`` and ``wanted`` are broadcasts."""
 
     def run(batches):
         seen: set[int] = set()
@@ -95,35 +96,42 @@ def ordered_sets(docs: DataFrame, words: int, table: np.ndarray) -> DataFrame:
             for at, n in textstats.slices(b.column("text")):
                 s = textstats.Spans(b.column("text").slice(at, n), lower=True)
                 w = s.words()
-                sid, size, keys = [], [], []
+                ids = b.column("doc_id").slice(at, n).to_pylist()
+                rows = []
                 for i in range(n):
                     g = textstats.shingles(w[s.first[i]:s.first[i + 1]], words)
                     r = ranks.value[(g >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64)
                     k = np.unique((r << np.uint64(56)) | (g & np.uint64(_LOW))).astype(np.int64)
                     d = int.from_bytes(hashlib.blake2b(k.tobytes(), digest_size=8).digest(), "big") >> 1
-                    sid.append(d)
-                    size.append(len(k))
-                    keys.append(None if d in seen or not len(k) else k)
+                    if wanted is not None and not wanted.value[d % SLOTS >> 3] >> (d & 7) & 1:
+                        continue
+                    size = len(k)
+                    if d in seen or not size:
+                        k = None
+                    elif wanted is None:
+                        k = k[:size - -(-percent * size // 100) + 1]
+                    rows.append((ids[i], d, size, k))
                     if len(seen) < 500_000:
                         seen.add(d)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, n), pa.array(sid, pa.int64()), pa.array(size, pa.int64()),
-                                                  pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "sid", "n", "keys"])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:3]),
+                                                      pa.array([r[3] for r in rows], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "keys"])
 
     return docs.mapInArrow(run, "doc_id long, sid long, n long, keys array<long>")
 
 
-SHARED = "gram long, sid long, n long, pos long, x1 long, n1 long, x2 long, n2 long"
+SHARED = "gram long, sid long, n long, pos long, x1 long, n1 long, p1 long"
 
 
 def _shared_heads(heads: DataFrame) -> DataFrame:
     """The rows of ``heads(gram, pos, sid, n)`` whose shingle several sets
-    have in their heads, with the two sets of earliest position.  Rows come
+    have in their heads, with the set of earliest position.  Rows come
     sorted by shingle, position and set; of a repeated (shingle, set) one row
-    stays.  Only the two first rows of a shingle are held."""
+    stays.  Only the first row of a shingle is held."""
 
     def run(batches):
         names = ["gram", "sid", "n", "pos"]
-        key, first, second = None, None, None
+        key, first, shared = None, None, False
         for b in batches:
             if not b.num_rows:
                 continue
@@ -138,21 +146,18 @@ def _shared_heads(heads: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for lo, hi in zip(start[look].tolist(), end[look].tolist()):
                 if gram[lo] != key:
-                    key, first, second = gram[lo], None, None
+                    key, first, shared = gram[lo], None, False
                 for i in range(lo, hi):
                     if again[i]:
                         continue
                     r = tuple(int(c[i]) for c in cols)
                     if first is None:
                         first = r
-                    elif r[1] == first[1] or second is not None and r[1] == second[1]:
-                        continue
-                    elif second is None:
-                        second = r
-                        pair = (first[1], first[2], second[1], second[2])
-                        rows += [(*first, *pair), (*second, *pair)]
-                    else:
-                        rows.append((*r, *pair))
+                    elif r[1] != first[1]:
+                        if not shared:
+                            rows.append((*first, *first[1:]))
+                            shared = True
+                        rows.append((*r, *first[1:]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], [x.split()[0] for x in SHARED.split(", ")])
 
@@ -169,37 +174,27 @@ def _oriented(pairs: DataFrame, percent: int) -> DataFrame:
 SLOTS = 1 << 24
 
 
-def _of_sets(sets: DataFrame, needed: DataFrame) -> DataFrame:
-    """The rows of ``sets`` whose sid is in ``needed``, once each.  A bitmap
-    of the sids' slots (2 MB at any size) leaves out most others before the
-    join shuffles them; the join is exact."""
-    slot = F.pmod("sid", F.lit(SLOTS))
-    parts = (needed.select(slot.alias("s")).groupBy(F.expr("s div 32768").alias("k"))
+def _bitmap(needed: DataFrame) -> np.ndarray:
+    """Slots of the sids as a bitmap, 2 MB at any size."""
+    parts = (needed.select(F.pmod("sid", F.lit(SLOTS)).alias("s")).groupBy(F.expr("s div 32768").alias("k"))
              .agg(F.expr("bitmap_construct_agg(s % 32768)").alias("bits")).collect())
     bits = np.zeros((SLOTS // 32768, 4096), np.uint8)
     for r in parts:
         bits[r.k, :len(r.bits)] = np.frombuffer(r.bits, np.uint8)
-    held = sets.sparkSession.sparkContext.broadcast(bits.ravel())
-
-    def may(batches):
-        for b in batches:
-            at = b.column("sid").to_numpy() % SLOTS
-            ok = (held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            if ok.any():
-                yield b.filter(pa.array(ok.astype(bool)))
-
-    return sets.mapInArrow(may, sets.schema).join(needed, "sid", "left_semi").dropDuplicates(["sid"])
+    return bits.ravel()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets_of, cuts: list[int], percent: int) -> DataFrame:
     """The pairs ``(a, b)`` with ``100 * overlap >= percent * union``; the
-    overlap is the sum of the fragments' overlaps."""
+    overlap is the sum of the fragments' overlaps.  ``sets_of`` gives the
+    sets of the sids in a bitmap (and some others, which the join drops);
+    they are made anew from the texts, which costs less than to keep all."""
     pairs = staged(pairs, "pairs")
     needed = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
     edge = [0, *cuts, (1 << 63) - 1]
     part = [F.struct(F.lit(i).alias("fragment"), F.expr(f"filter(keys, k -> k >= {lo} and k < {hi})").alias("keys"))
             for i, (lo, hi) in enumerate(zip(edge, edge[1:]))]
-    own = staged(_of_sets(sets, needed), "needed-sets")
+    own = staged(sets_of(_bitmap(needed)).where("keys is not null").select("sid", "keys").dropDuplicates(["sid"]), "needed-sets")
     seg = own.select("sid", F.explode(F.array(*part)).alias("s")).select("sid", "s.fragment", "s.keys").where("size(keys) > 0")
     left, right = (seg.select(F.col("sid").alias(c), "fragment", F.col("keys").alias(f"k{c}")) for c in "ab")
     counted = (pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -221,25 +216,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     ship(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = _counting_table(d.select("text"), words)
-    rows = staged(ordered_sets(d, words, table), "sets")
-    sets = rows.where("keys is not null")
-    head = f"cast(n - ceil({percent} * n / 100.0) + 1 as int)"
-    heads = sets.select("sid", "n", F.posexplode(F.expr(f"slice(keys, 1, {head})")).alias("pos", "gram"))
+    ranks = spark.sparkContext.broadcast(_ranks(table).astype(np.uint8))
+    rows = staged(ordered_sets(d, words, ranks, percent), "heads")
+    heads = rows.where("keys is not null").select("sid", "n", F.posexplode("keys").alias("pos", "gram"))
     heads = staged(_shared_heads(heads.repartition("gram").sortWithinPartitions("gram", "pos", "sid")), "shared-heads")
-    tries = heads.select(F.col("sid").alias("x"), F.col("n").alias("nx"), F.explode(F.expr("array(struct(x1 as y, n1 as ny), struct(x2 as y, n2 as ny))")).alias("o"))
-    tries = tries.select("x", "o.y", "nx", "o.ny")
-    once = sets.select("sid", "keys")
+
+    def sets_of(bits):
+        return ordered_sets(d, words, ranks, percent, spark.sparkContext.broadcast(bits))
+
+    # the first shared shingle leaves room for the overlap that the threshold asks for
+    room = (F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy")) * (100 + percent) >= percent * (F.col("nx") + F.col("ny")))
+    tries = heads.select(F.col("sid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("posx"), F.col("x1").alias("y"),
+                         F.col("n1").alias("ny"), F.col("p1").alias("posy")).where(room)
     cuts = pivots(table, fragments)
-    links = staged(verified(_oriented(tries, percent), once, cuts, percent), "links")
+    links = staged(verified(_oriented(tries, percent), sets_of, cuts, percent), "links")
     comp = connected_components(links)
     c = heads.join(comp, heads.sid == comp.node, "left").select("gram", "sid", "n", "pos", F.coalesce("component", "sid").alias("c"))
     mixed = c.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
     m = c.join(mixed, "gram", "left_semi")
     x, y = (m.select("gram", *[F.col(k).alias(f"{k}{s}") for k in ("sid", "n", "pos", "c")]) for s in "xy")
-    # the first shared shingle leaves room for the overlap that the threshold asks for
-    room = (F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy")) * (100 + percent) >= percent * (F.col("nx") + F.col("ny")))
     rest = x.join(y, "gram").where((F.col("cx") < F.col("cy")) & room).select(F.col("sidx").alias("x"), F.col("sidy").alias("y"), "nx", "ny")
-    more = staged(verified(_oriented(rest, percent), once, cuts, percent), "links")
+    more = staged(verified(_oriented(rest, percent), sets_of, cuts, percent), "links")
     comp = connected_components(links.unionAll(more))
     least = rows.groupBy("sid").agg(F.min("doc_id").alias("least"))
     named = (least.join(comp, least.sid == comp.node, "left").select("sid", F.coalesce("component", "sid").alias("c"), "least"))
