@@ -38,7 +38,7 @@ class UnitEncoder:
     """``spaces`` tells whether a leading space is part of a unit's ids (byte
     level) or dropped by the tokenizer (word ends)."""
 
-    def __init__(self, path: str, spaces: bool, cache_units: int = 400_000, unit_chars: int = 64):
+    def __init__(self, path: str, spaces: bool, cache_units: int = 1_000_000, unit_chars: int = 64):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
