@@ -195,3 +195,13 @@ def test_cluster_settings_size_partitions_and_never_override(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     apply_settings(spark, {"spark.sql.shuffle.partitions": "999"})
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_asof_join_takes_inverted_intervals(spark):
+    from tierline.operators.asof import asof_join
+
+    left = spark.sql("select 1 as k, date'2020-01-15' as at union all select 2, date'2020-01-15'")
+    iv = spark.sql("select 1 as k, date'2020-01-01' as valid_from, date'2020-03-01' as valid_to, 'ok' as v "
+                   "union all select 2, date'2020-03-01', date'2020-01-01', 'inverted'")
+    got = {r.k: r.v for r in asof_join(left, iv, ["k"], "at").collect()}
+    assert got == {1: "ok", 2: None}

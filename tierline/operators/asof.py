@@ -36,7 +36,8 @@ def asof_join(left: DataFrame, intervals: DataFrame, on: Sequence[str], at: str,
     if bucket:
         if bucket not in _STEP:
             raise ValueError(f"bucket must be one of {sorted(_STEP)}")
-        iv = iv.withColumn("__r_bucket", F.explode(F.sequence(
+        # an inverted interval holds no value; its buckets would be an error
+        iv = iv.where(F.col(f"__r_{lower}") <= F.col(f"__r_{upper}")).withColumn("__r_bucket", F.explode(F.sequence(
             F.trunc(F.col(f"__r_{lower}"), bucket), F.trunc(F.col(f"__r_{upper}"), bucket),
             F.expr(f"interval {_STEP[bucket]}"))))
         lft = lft.withColumn("__l_bucket", F.trunc(F.col(f"__l_{at}").cast("date"), bucket))

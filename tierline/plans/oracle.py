@@ -24,18 +24,25 @@ select user_id, day, event_type, cast(date_trunc('week', day) as date) as season
 
 STINTS = f"""
 with obs as ({OBS}),
-b as (select *, lag(event_type) over (partition by user_id, season order by day) as prior from obs),
-r as (select *, sum(case when event_type is distinct from prior then 1 else 0 end) over (
-        partition by user_id, season order by day rows between unbounded preceding and current row) as island
-      from b),
-c as (select user_id, season, island, min(event_type) as event_type, min(day) as valid_from, max(day) as last_seen
-      from r group by user_id, season, island),
-i as (select *, lead(valid_from) over (partition by user_id, season order by valid_from) as next_start from c)
-select user_id, event_type, season, valid_from,
-       coalesce(cast(next_start - interval 1 day as date), last_seen) as valid_to,
-       (row_number() over (partition by user_id order by valid_from desc) = 1) as is_current,
-       last_seen, next_start
-from i"""
+starts as (
+  select o.user_id, o.season, o.event_type, o.day as valid_from
+  from obs o
+  where o.event_type is distinct from (
+    select e.event_type from obs e
+    where e.user_id = o.user_id and e.season = o.season and e.day < o.day
+    order by e.day desc limit 1)),
+periods as (
+  select *, min(valid_from) over (partition by user_id, season order by valid_from
+                                  rows between 1 following and 1 following) as next_start
+  from starts)
+select p.user_id, p.event_type, p.season, p.valid_from,
+       coalesce(cast(p.next_start - interval 1 day as date), max(o.day)) as valid_to,
+       p.valid_from = max(p.valid_from) over (partition by p.user_id) as is_current,
+       max(o.day) as last_seen, p.next_start
+from periods p
+join obs o on o.user_id = p.user_id and o.season = p.season and o.day >= p.valid_from
+          and (p.next_start is null or o.day < p.next_start)
+group by p.user_id, p.event_type, p.season, p.valid_from, p.next_start"""
 
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]

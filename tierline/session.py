@@ -85,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
     spark.sparkContext.setCheckpointDir(local)
