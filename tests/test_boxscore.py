@@ -74,6 +74,48 @@ def test_strict_decode_raises_on_missing_header(spark):
     assert lenient.first().c is None
 
 
+@pytest.mark.parametrize("headers,rows", [(["A", "B"], [["1"]]), (["A", "X"], [["1", "2"]])])
+def test_strict_decode_raises_whatever_is_read(spark, headers, rows):
+    from tierline.operators.decode import decode_envelope
+
+    df = spark.createDataFrame([("f1", headers, rows)], "source_file string, headers array<string>, "
+                                                        "rows array<array<string>>")
+    d = decode_envelope(df, [("A", "bigint"), ("B", "bigint")], carry=["source_file"], where="source_file")
+    for read in (d.select("a"), d.select("source_file")):
+        with pytest.raises(Exception, match="ragged row in capture f1|missing header B in capture f1"):
+            read.collect()
+    with pytest.raises(Exception, match="ragged row|missing header"):
+        d.count()
+
+
+@pytest.mark.parametrize("payload", [{}, {"resultSets": []}])
+def test_envelope_without_result_set_is_red_and_named(spark, landing, payload):
+    env = landed_envelopes(spark, landing["root"])
+    lost = env.where("grain = 'team' and season = '2019-20'").withColumn(
+        "resultSets", F.from_json(F.lit(json.dumps(payload)), env.select("resultSets").schema)["resultSets"])
+    drift = suite.header_contract_drift(lost, "team").collect()
+    assert [r.season for r in drift] == ["2019-20"] and "season=2019-20" in drift[0].source_file
+    assert bronze(lost, "team").count() == 0
+
+
+def test_checks_over_empty_facts_have_floors(silver_tables):
+    p, t = silver_tables["fact_player_game"].limit(0), silver_tables["fact_team_game"].limit(0)
+    for check in (suite.points_reconcile, suite.turnovers_never_below, suite.made_never_exceeds_attempts):
+        assert {r.violation for r in check(p, t).collect()} == {"floor_empty_player", "floor_empty_team"}
+    assert {r.violation for r in suite.two_rows_per_game(t, p).collect()} == {"floor_empty_player", "floor_empty_team"}
+
+
+def test_missing_bronze_grain_is_a_violation(env, bronze_tables):
+    failed = _errors(build_mod.run_checks([c for c in suite.bronze_checks(env, {"team": bronze_tables["team"]})
+                                           if c.name == "game_id_fixed_width_bronze"]))
+    assert failed == {"game_id_fixed_width_bronze": 1}
+
+
+def test_build_refuses_a_root_that_does_not_exist(spark):
+    with pytest.raises(FileNotFoundError):
+        build_mod.build(spark, tempfile.mkdtemp() + "/nothing", tempfile.mkdtemp())
+
+
 def test_ragged_row_raises(spark):
     from tierline.operators.decode import decode_envelope
 

@@ -108,3 +108,54 @@ def test_docs_metadata_survives_parquet(spark, landing):
     back = spark.read.parquet(out)
     assert back.schema["game_id"].metadata["comment"].startswith("10-digit")
     assert files == 3 and back.count() == rows.count()
+
+
+def _files(root, capture):
+    base = os.path.join(root, SOURCE, ENDPOINT)
+    return sum(f.endswith(".json") for d, _, names in os.walk(base) for f in names if f"capture={capture}" in d)
+
+
+def test_retry_after_a_crash_before_the_audit_lands_once(spark, landing, monkeypatch):
+    root = tempfile.mkdtemp(prefix="tierline-retry-")
+    cap = _captures(spark, landing, "2003-04", "20260901T000000Z")
+    with monkeypatch.context() as m:
+        m.setattr(L, "payload_digests", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            L.land_captures(spark, cap, root)
+    assert _files(root, "20260901T000000Z") == 1 and L.landed_partitions(spark, root, SOURCE, ENDPOINT).count() == 0
+    audit = L.land_captures(spark, cap, root).collect()
+    assert _files(root, "20260901T000000Z") == 1
+    assert [(r.row_count, len(r.payload_sha256s)) for r in audit] == [(12, 1)]
+
+
+def test_one_capture_per_partition_and_batch(spark, landing):
+    root = tempfile.mkdtemp(prefix="tierline-batch-")
+    a, b = (_captures(spark, landing, "2003-04", f"2026090{i}T000000Z") for i in (1, 2))
+    other = _captures(spark, landing, "2003-04", "20260901T000000Z", ["0020300001"])
+    with pytest.raises(ValueError, match="two different payloads for capture 2003-04/team/regular/20260901T000000Z"):
+        L.land_captures(spark, a.unionByName(other), root)
+    assert [r.capture for r in L.land_captures(spark, b.unionByName(a).unionByName(a), root).collect()] == \
+        ["20260901T000000Z"]
+    assert _files(root, "20260901T000000Z") == 1 and _files(root, "20260902T000000Z") == 0
+    assert [r.capture for r in L.land_captures(spark, b.unionByName(a), root, recapture=True).collect()] == \
+        ["20260902T000000Z"]
+
+
+def test_manifest_check_takes_spark_landed_captures(spark, landing):
+    from tierline.quality.suite import manifest_matches_payload
+    from tierline.sources.landing import payload_digests, read_envelopes, read_manifests
+
+    root = tempfile.mkdtemp(prefix="tierline-audit-")
+    L.land_captures(spark, _captures(spark, landing, "2003-04", "20260901T000000Z"), root)
+
+    def found():
+        return [r.violation for r in manifest_matches_payload(
+            read_manifests(spark, root, SOURCE, ENDPOINT), payload_digests(spark, root, SOURCE, ENDPOINT),
+            read_envelopes(spark, root, SOURCE, ENDPOINT), L.landing_audits(spark, root, SOURCE, ENDPOINT)).collect()]
+
+    assert found() == []
+    d = os.path.join(root, SOURCE, ENDPOINT, "season=2003-04", "grain=team", "season_type=regular",
+                     "capture=20260901T000000Z")
+    with open(os.path.join(d, "part-extra.json"), "w") as f:
+        f.write("{}\n")
+    assert sorted(found()) == ["bytes_mismatch", "sha256_mismatch"]

@@ -34,11 +34,15 @@ def test_latest_per_key_methods_agree(spark):
     assert a.count() == li.select(*keys).distinct().count()
 
 
-def test_latest_per_key_breaks_ties_on_full_row(spark):
-    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (2, 1, "z")], "k long, ts long, v string")
-    a = {r.k: r.v for r in latest_per_key(df, ["k"], ["ts"], method="aggregate").collect()}
-    w = {r.k: r.v for r in latest_per_key(df, ["k"], ["ts"], method="window").collect()}
-    assert a == {1: "b", 2: "z"} and w == {1: "a", 2: "z"}  # deterministic either way
+def test_latest_per_key_breaks_ties_the_same_way_in_every_form(spark):
+    from tierline.streaming.incremental import streaming_latest
+
+    df = spark.createDataFrame([(1, 5, "b", 1), (1, 5, "a", 9), (2, 1, "z", 0), (3, 1, None, 7), (3, 1, "c", 2)],
+                               "k long, ts long, v string, n long")
+    forms = [latest_per_key(df, ["k"], ["ts"], method="aggregate"), latest_per_key(df, ["k"], ["ts"], method="window"),
+             streaming_latest(df, ["k"], ["ts"])]
+    for f in forms:
+        assert _rows(f, ["k", "ts", "v", "n"]) == [(1, 5, "b", 1), (2, 1, "z", 0), (3, 1, "c", 2)]
 
 
 def _brute_asof(left: pd.DataFrame, iv: pd.DataFrame):
@@ -205,3 +209,13 @@ def test_asof_join_takes_inverted_intervals(spark):
                    "union all select 2, date'2020-03-01', date'2020-01-01', 'inverted'")
     got = {r.k: r.v for r in asof_join(left, iv, ["k"], "at").collect()}
     assert got == {1: "ok", 2: None}
+
+
+def test_landed_vs_built_names_a_wrong_group(spark):
+    from tierline.quality.checks import landed_vs_built
+
+    raw = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "a")], "k long, ts long, g string")
+    built = latest_per_key(raw, ["k"], ["ts"])
+    assert landed_vs_built(raw, built, ["k"], ["ts"], ["g"]).where("violates").count() == 0
+    oldest = latest_per_key(raw, ["k"], [("ts", False)])
+    assert landed_vs_built(raw, oldest, ["k"], ["ts"], ["g"]).where("violates").count() == 2

@@ -65,3 +65,46 @@ def test_stream_one_file_per_batch_merges_across_batches(spark, landing):
     cols = sorted(batch.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
     assert got.where(f"team_id = {TEAMS[1][0]} and game_id = '0020300003'").first().video_available == 99
+
+
+def _same(spark, target, root):
+    batch = bronze(landed_envelopes(spark, root), "team")
+    cols = sorted(batch.columns)
+    got = spark.read.parquet(target).select(cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(cols).collect()))
+
+
+def test_merge_equals_refresh_when_a_game_changes_season(spark, landing):
+    root = tempfile.mkdtemp(prefix="tierline-moved-")
+    target = os.path.join(tempfile.mkdtemp(), "bronze_team")
+    ckpt = os.path.join(tempfile.mkdtemp(), "ckpt")
+    old = [r for r in landing["teams"] if r["SEASON_ID"] == "22003"]
+    new = [r for r in landing["teams"] if r["SEASON_ID"] == "22019"]
+    write_capture(root, "2003-04", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, old))
+    write_capture(root, "2019-20", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, new))
+    upsert_bronze(spark, root, target, ckpt, "team").awaitTermination()
+    _same(spark, target, root)
+    # every game of one season moves to a third one: the emptied season must not keep them
+    moved = [{**r, "SEASON_ID": "22004"} for r in old]
+    write_capture(root, "2004-05", "team", "20260902T000000Z", envelope(TEAM_COLUMNS, moved))
+    upsert_bronze(spark, root, target, ckpt, "team").awaitTermination()
+    _same(spark, target, root)
+    assert {r.season_id for r in spark.read.parquet(target).select("season_id").collect()} == {"22004", "22019"}
+    # one capture stamp, two folders: the tie falls as in a refresh, whichever comes first
+    tied = [{**r, "VIDEO_AVAILABLE": 5} for r in new]
+    write_capture(root, "2018-19", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, tied))
+    upsert_bronze(spark, root, target, ckpt, "team").awaitTermination()
+    _same(spark, target, root)
+
+
+def test_merge_into_a_published_build_keeps_other_seasons(spark, landing):
+    from tierline.plans.build import build
+
+    root = tempfile.mkdtemp(prefix="tierline-built-")
+    shutil.copytree(landing["root"], root, dirs_exist_ok=True,
+                    ignore=lambda d, names: [n for n in names if n == "capture=20260815T130000Z" and "grain=team" in d])
+    target = build(spark, root, tempfile.mkdtemp()).tables["bronze_team"]
+    re = [{**r, "VIDEO_AVAILABLE": 7} for r in landing["teams"] if r["SEASON_ID"] == "22003"]
+    write_capture(root, "2003-04", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, re))
+    upsert_bronze(spark, root, target, os.path.join(tempfile.mkdtemp(), "c"), "team").awaitTermination()
+    _same(spark, target, root)

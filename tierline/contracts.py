@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 # Path segments that become partition columns, in path order.
 PARTITIONS = ["season", "grain", "season_type", "capture"]
+# Partition columns of the published bronze tables, for the build and the stream alike.
+BRONZE_PARTITIONS = ["season_id"]
 # Default source / endpoint directories of the landing root (both are arguments everywhere).
 DEFAULT_SOURCE, DEFAULT_ENDPOINT = "stats_api", "game_log"
 

@@ -5,8 +5,7 @@ from tierline.functions.columns import (
     distinct_from,
     numeric_text,
     stamp_to_timestamp,
-    strict_cell,
     timestamp_to_stamp,
 )
 
-__all__ = ["code_label", "distinct_from", "numeric_text", "stamp_to_timestamp", "strict_cell", "timestamp_to_stamp"]
+__all__ = ["code_label", "distinct_from", "numeric_text", "stamp_to_timestamp", "timestamp_to_stamp"]

@@ -44,11 +44,3 @@ def numeric_text(v: str | Column) -> Column:
     normalised through DOUBLE so ``'5'`` and ``'5.0'`` agree; other text
     stays as is."""
     return F.coalesce(_c(v).try_cast("double").cast("string"), _c(v).cast("string"))
-
-
-def strict_cell(cells: str | Column, pos: str | Column, name: str, where: Column | None = None) -> Column:
-    """Cell of ``cells`` at 1-based ``pos``; raises when the header was
-    missing (``pos == 0``) instead of returning a silent NULL."""
-    where = where if where is not None else F.lit("")
-    missing = F.raise_error(F.concat(F.lit(f"missing header {name} in capture "), F.coalesce(where, F.lit("?"))))
-    return F.when(_c(pos) == 0, missing).otherwise(F.try_element_at(_c(cells), _c(pos)))

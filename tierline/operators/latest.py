@@ -11,8 +11,10 @@ most one row per map task:
 * ``aggregate``: ``groupBy(keys).agg(max(struct(order…, rest…)))`` — partial
   + final SortAggregate; only for all-descending orderings.
 
-Either way every remaining column is appended to the ordering, so the
-winner is total and deterministic even when the ordering columns tie.
+Either way every remaining column, greatest first (NULL last), is appended
+to the ordering, so the winner is total and deterministic even when the
+ordering columns tie.  Both shapes and ``streaming.streaming_latest`` follow
+this one rule.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec,
     """One row per ``keys``: the greatest under ``order``.
 
     ``order`` entries are column names (descending, i.e. latest wins) or
-    ``(name, descending)`` tuples.  Remaining columns break any tie, so the
-    result never depends on input order.
+    ``(name, descending)`` tuples.  The remaining columns, greatest first,
+    break any tie, so the result never depends on input order.
     """
     spec = _normalise(order)
     keys = list(keys)
@@ -56,7 +58,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec,
     if method == "window":
         ordering: list[Column] = [F.col(c).desc() if d else F.col(c).asc() for c, d in spec]
         ordered = [c for c, _ in spec]
-        ordering += [F.col(c).asc() for c in df.columns if c not in keys and c not in ordered]
+        ordering += [F.col(c).desc() for c in df.columns if c not in keys and c not in ordered]
         w = Window.partitionBy(*keys).orderBy(*ordering)
         return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     raise ValueError(f"unknown method {method!r}")

@@ -32,16 +32,24 @@ def decoded(envelopes: DataFrame, grain: str, strict: bool = True,
     return out.withColumn("captured_at", stamp_to_timestamp("capture"))
 
 
+def bronze_order(contract: list[tuple[str, str]], keys: list[str]) -> list[str | tuple[str, bool]]:
+    """The whole ordering of bronze winners, for refresh and merge alike."""
+    return [*CAPTURE_ORDER, *[(n.lower(), False) for n, _ in contract if n.lower() not in keys]]
+
+
 def bronze(envelopes: DataFrame, grain: str, strict: bool = True, contract: list[tuple[str, str]] | None = None,
-           keys: list[str] | None = None) -> DataFrame:
+           keys: list[str] | None = None, provenance: bool = False) -> DataFrame:
     """Model: one row per natural key, the contract columns (32 player / 29
     team by default) plus ``captured_at``.  Latest capture wins; a tie on the
     capture (same stamp, or one key twice inside one capture) falls to the
-    partition columns and then to the row's own values, ascending."""
+    partition columns and then to the row's own values, ascending.
+    ``provenance`` adds the other ordering columns, which a later merge needs
+    to pick the same winner as a full refresh."""
     contract = contract or CONTRACTS[grain]
     rows = decoded(envelopes, grain, strict, contract)
-    winners = latest_per_key(rows, keys or NATURAL_KEYS[grain], CAPTURE_ORDER)
-    return winners.select(*[n.lower() for n, _ in contract], "captured_at")
+    keys = keys or NATURAL_KEYS[grain]
+    winners = latest_per_key(rows, keys, bronze_order(contract, keys))
+    return winners.select(*[n.lower() for n, _ in contract], *(CAPTURE_ORDER if provenance else CAPTURE_ORDER[:1]))
 
 
 def landed_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,

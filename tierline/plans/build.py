@@ -17,14 +17,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE
+from tierline.contracts import BRONZE_PARTITIONS, DEFAULT_ENDPOINT, DEFAULT_SOURCE, PARTITIONS
 from tierline.plans.bronze import bronze, landed_envelopes
+from tierline.plans.landing import landing_audits
 from tierline.plans.gold import player_season_context, publish_compact
 from tierline.plans.silver import build_silver
-from tierline.quality.core import CheckResult, run_checks
-from tierline.quality.suite import bronze_checks, silver_checks
+from tierline.quality.core import Check, CheckResult, run_checks
+from tierline.quality.suite import bronze_checks, manifest_matches_payload, silver_checks
 from tierline.session import ensure_checkpoint_dir
-from tierline.sources.landing import read_seed
+from tierline.sources.landing import endpoint_root, path_exists, payload_digests, read_manifests, read_seed
 
 
 class PromotionError(RuntimeError):
@@ -48,7 +49,7 @@ def _gate(layer: str, results: list[CheckResult]) -> None:
 
 
 def _publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -58,17 +59,25 @@ def build(spark: SparkSession, root: str, warehouse: str, seed_path: str | None
           corpus_season: str | None = None, source: str = DEFAULT_SOURCE,
           endpoint: str = DEFAULT_ENDPOINT) -> BuildResult:
     ensure_checkpoint_dir(spark)
+    base = endpoint_root(root, source, endpoint)
+    if not path_exists(spark, base):
+        raise FileNotFoundError(f"no landing at {base}")
     res = BuildResult()
     env = landed_envelopes(spark, root, source, endpoint).checkpoint()
-    staged = {g: bronze(env, g).checkpoint() for g in ("player", "team")}
-    res.checks["bronze"] = run_checks(bronze_checks(env, staged))
+    staged = {g: bronze(env, g, provenance=True).checkpoint() for g in ("player", "team")}
+    provenance = manifest_matches_payload(
+        read_manifests(spark, root, source, endpoint),
+        payload_digests(spark, root, source, endpoint).join(env.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi"),
+        env, landing_audits(spark, root, source, endpoint))
+    res.checks["bronze"] = run_checks([*bronze_checks(env, staged), Check("manifest_matches_payload", provenance)])
     _gate("bronze", res.checks["bronze"])
+    back = {}
     for g, df in staged.items():
         path = f"{warehouse}/bronze/{source}__{endpoint}_{g}"
-        _publish(df, path)
+        _publish(df, path, BRONZE_PARTITIONS)
         res.tables[f"bronze_{g}"] = path
-    bp = spark.read.parquet(res.tables["bronze_player"])
-    bt = spark.read.parquet(res.tables["bronze_team"])
+        back[g] = spark.read.schema(df.schema).parquet(path)
+    bp, bt = back["player"], back["team"]
     silver = {k: v.checkpoint() for k, v in build_silver(bp, bt).items()}
     seed = read_seed(spark, seed_path) if seed_path else None
     res.checks["silver"] = run_checks(silver_checks({"player": bp, "team": bt}, silver, seed, corpus_season))

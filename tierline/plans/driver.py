@@ -144,6 +144,12 @@ def latest_wins(spark: SparkSession, sf: str) -> DataFrame:
     return line_winners(Tables(spark, sf))
 
 
+def latest_tie(spark: SparkSession, sf: str) -> DataFrame:
+    """SO-2: one order per customer by the priority text alone.  Many orders
+    tie; the remaining columns, greatest first, decide."""
+    return latest_per_key(Tables(spark, sf).orders, ["o_custkey"], ["o_orderpriority"])
+
+
 def landed_vs_built(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     cmp = qc.landed_vs_built(raw=t.lineitem, built=line_winners(t), keys=LINE_KEYS, order=LINE_VERSION,
@@ -419,6 +425,7 @@ QUERIES = {
     "dup_key_in_capture": dup_key_in_capture,
     "json_unwrap": json_unwrap,
     "latest_wins": latest_wins,
+    "latest_tie": latest_tie,
     "landed_vs_built": landed_vs_built,
     "recaptured_keys": recaptured_keys,
     "value_mismatch": value_mismatch,

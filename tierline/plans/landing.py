@@ -3,11 +3,12 @@
 * ``land_captures`` (J-01): write-once batch append of new captures.
   Partition components are normalised (trim, lower case); partitions that
   already hold a complete capture are skipped unless ``recapture`` (then a
-  new capture lands *beside* the old one; an existing capture directory is
-  never overwritten).  Payloads are written partitioned by
+  new capture lands *beside* the old one; the directory of a complete capture
+  is never written again).  Payloads are written partitioned by
   season/grain/season_type/capture; one audit row per capture (rows, bytes,
   sha256 of the written bytes) is appended afterwards to ``_audit`` and is
-  the completeness marker.
+  the completeness marker.  A retry after a crash in between replaces the
+  payloads of the captures that have no audit row yet.
 * ``existing_captures`` (J-02), ``plan`` (J-03), ``row_maps`` (J-07),
   ``run_metrics`` (J-08), ``capture_pair_diff`` (J-09),
   ``superseded_captures`` (D-15).
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, PARTITIONS
@@ -25,32 +26,41 @@ from tierline.functions.columns import distinct_from
 from tierline.operators.gaps import consecutive_gaps
 from tierline.operators.latest import latest_per_key
 from tierline.quality.checks import plan_vs_landed
-from tierline.sources.landing import endpoint_root, payload_digests, read_manifests
+from tierline.sources.landing import endpoint_root, path_exists, payload_digests, read_manifests
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+AUDIT = ("season string, grain string, season_type string, capture string, row_count long, payload_bytes long, "
+         "payload_sha256s array<string>, landed_at timestamp")
 
 
 def audit_path(root: str, source: str, endpoint: str) -> str:
     return f"{endpoint_root(root, source, endpoint)}/_audit"
 
 
+def landing_audits(spark: SparkSession, root: str, source: str, endpoint: str) -> DataFrame | None:
+    """The audit rows of captures landed by ``land_captures``; None without any."""
+    ap = audit_path(root, source, endpoint)
+    return spark.read.parquet(ap) if path_exists(spark, ap) else None
+
+
 def landed_partitions(spark: SparkSession, root: str, source: str, endpoint: str) -> DataFrame:
     """(season, grain, season_type, capture) of every complete capture:
     manifest sidecars plus Spark-landed audit rows."""
     parts = read_manifests(spark, root, source, endpoint).select(*PARTITIONS)
-    ap = audit_path(root, source, endpoint)
-    if _exists(spark, ap):
-        parts = parts.unionByName(spark.read.parquet(ap).select(*PARTITIONS))
+    audits = landing_audits(spark, root, source, endpoint)
+    if audits is not None:
+        parts = parts.unionByName(audits.select(*PARTITIONS))
     return parts.distinct()
 
 
 def land_captures(spark: SparkSession, captures: DataFrame, root: str, source: str = DEFAULT_SOURCE,
                   endpoint: str = DEFAULT_ENDPOINT, recapture: bool = False) -> DataFrame:
-    """Append new captures; returns the audit rows written (possibly none)."""
+    """Append new captures; returns the audit rows written (possibly none).
+
+    Without ``recapture`` the earliest capture of each partition in the batch
+    lands and the others are skipped, as they would be in a later batch.  A
+    capture repeated in the batch lands once; two different payloads for one
+    capture are an error and nothing is written."""
     norm = captures.select(*[F.lower(F.trim(F.col(p))).alias(p) if p != "capture" else F.upper(F.trim(F.col(p)))
                              .alias(p) for p in PARTITIONS],
                            *[c for c in captures.columns if c not in PARTITIONS])
@@ -59,12 +69,27 @@ def land_captures(spark: SparkSession, captures: DataFrame, root: str, source: s
         todo = norm.join(existing, PARTITIONS, "left_anti")
     else:
         todo = norm.join(existing.select(*PARTITIONS[:3]).distinct(), PARTITIONS[:3], "left_anti")
-    todo = todo.checkpoint()  # fixed set of captures for both writes below
+        first = todo.groupBy(*PARTITIONS[:3]).agg(F.min("capture").alias("capture"))
+        todo = todo.join(first, PARTITIONS, "left_semi")
+    payload = F.sha2(F.to_json(F.struct(*[c for c in norm.columns if c not in PARTITIONS])), 256)
+    todo = todo.withColumn("__payload", payload).checkpoint()  # fixed set of captures for both writes below
+    clash = todo.groupBy(*PARTITIONS).agg(F.count_distinct("__payload").alias("n")).where("n > 1").first()
+    if clash is not None:
+        raise ValueError("two different payloads for capture " + "/".join(str(clash[p]) for p in PARTITIONS))
+    todo = todo.dropDuplicates([*PARTITIONS, "__payload"]).drop("__payload")
     base = endpoint_root(root, source, endpoint)
-    todo.repartition(*PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).json(base)
-    rows = todo.select(*PARTITIONS, F.coalesce(F.size(F.col("resultSets")[0]["rowSet"]), F.lit(0))
-                       .cast("bigint").alias("row_count"))
-    dig = payload_digests(spark, root, source, endpoint).join(todo.select(*PARTITIONS), PARTITIONS, "left_semi")
+    # no capture in ``todo`` is complete, so the overwrite only replaces what an earlier failed attempt left
+    (todo.repartition(*PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITIONS).json(base))
+    rows = todo.select(*PARTITIONS, _envelope_rows().alias("row_count"))
+    # One entry per folder just written, which the scan below lists on the driver anyway; as literals they prune it.
+    new = todo.select(*PARTITIONS).distinct().collect()
+    if not new:
+        return spark.createDataFrame([], AUDIT)
+    dig = payload_digests(spark, root, source, endpoint)
+    for p in PARTITIONS:
+        dig = dig.where(F.col(p).isin(sorted({r[p] for r in new})))
+    dig = dig.join(todo.select(*PARTITIONS), PARTITIONS, "left_semi")
     audit = rows.join(dig.groupBy(*PARTITIONS).agg(
         F.sum("bytes").alias("payload_bytes"), F.sort_array(F.collect_list("sha256")).alias("payload_sha256s")),
         PARTITIONS).withColumn("landed_at", F.current_timestamp())
@@ -73,6 +98,11 @@ def land_captures(spark: SparkSession, captures: DataFrame, root: str, source: s
     return audit
 
 
+def _envelope_rows() -> Column:
+    """Rows of an envelope's first result set, 0 where it has none."""
+    return F.coalesce(F.size(F.get("resultSets", F.lit(0))["rowSet"]), F.lit(0)).cast("bigint")
+
+
 def existing_captures(landed: DataFrame) -> DataFrame:
     """J-02: per partition, number of complete captures and the newest."""
     return landed.groupBy(*PARTITIONS[:3]).agg(F.count(F.lit(1)).alias("n_captures"),

@@ -159,6 +159,13 @@ from lineitem l join cap on l.l_orderkey = cap.l_orderkey
 group by l.l_orderkey, cap.capture, l.l_linenumber having count(*) > 1""",
     "json_unwrap": "select event_id, user_id, cast(props ->> '$.k' as bigint) as k from events",
     "latest_wins": W_LINE,
+    "latest_tie": """
+select * exclude (rn) from (
+  select *, row_number() over (partition by o_custkey
+                               order by o_orderpriority desc nulls last, o_orderkey desc nulls last,
+                                        o_orderstatus desc nulls last, o_totalprice desc nulls last,
+                                        o_orderdate desc nulls last) as rn
+  from orders) where rn = 1""",
     "landed_vs_built": f"""
 with w as ({W_LINE}),
 l as (select l_returnflag, count(*) as landed_rows from w group by 1),

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tierline.functions.columns import distinct_from
 from tierline.operators.asof import asof_join
-from tierline.operators.latest import latest_per_key
 from tierline.quality.core import floor_rows
 
 
@@ -28,13 +27,14 @@ def _floor(population: DataFrame, label: str, label_col: str, like: DataFrame) -
 # ---------------------------------------------------------------- Q-01
 def landed_vs_built(raw: DataFrame, built: DataFrame, keys: Sequence[str], order: Sequence[str],
                     group: Sequence[str]) -> DataFrame:
-    """Winners re-derived from the raw rows (key and ordering columns only,
-    window method) counted per ``group``, full-outer joined with the built
-    table's counts; ``violates`` is a null-safe inequality.  A floor row
-    (group NULL, ``floor`` true) appears when the raw side is empty."""
-    narrow = raw.select(*keys, *[c for c in order if c not in keys], *[g for g in group if g not in order])
-    landed = latest_per_key(narrow, keys, list(order), method="window") \
-        .groupBy(*group).agg(F.count(F.lit(1)).alias("landed_rows"))
+    """Winners re-derived from the raw rows by a plain ``max`` of the ordering
+    columns (not by the model's ``latest_per_key``) counted per ``group``,
+    full-outer joined with the built table's counts; ``violates`` is a
+    null-safe inequality.  A floor row (group NULL, ``floor`` true) appears
+    when the raw side is empty."""
+    ranked = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *group])])
+    landed = raw.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(F.max(ranked).alias("__w")) \
+        .groupBy(*[F.col(f"__w.{g}").alias(g) for g in group]).agg(F.count(F.lit(1)).alias("landed_rows"))
     built_n = built.groupBy(*group).agg(F.count(F.lit(1)).alias("built_rows"))
     lt, bt = landed.alias("l"), built_n.alias("b")
     j = lt.join(bt, [F.col(f"l.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group], "full_outer")

@@ -118,17 +118,22 @@ def partition_keys_valid(envelopes: DataFrame) -> DataFrame:
     return with_floor(bad.withColumn("violation", F.lit("bad_partition_key")), p, "floor_no_partitions")
 
 
-def manifest_matches_payload(manifests: DataFrame, digests: DataFrame, envelopes: DataFrame) -> DataFrame:
-    """Q-20: per capture, manifest sha256 / bytes / row_count agree with the
-    landed payload (digest from raw bytes, rows from the envelope)."""
-    rows = envelopes.select(*PARTITIONS, F.coalesce(F.size(F.col("resultSets")[0]["rowSet"]), F.lit(0))
-                            .cast("bigint").alias("rows"))
-    rows = rows.where(F.col("rows") >= 0)
-    m = manifests.select(*PARTITIONS, "payload_sha256", "payload_bytes", "row_count")
-    j = m.join(digests.select(*PARTITIONS, "sha256", "bytes"), PARTITIONS, "full_outer").join(
-        rows, PARTITIONS, "full_outer")
+def manifest_matches_payload(manifests: DataFrame, digests: DataFrame, envelopes: DataFrame,
+                             audits: DataFrame | None = None) -> DataFrame:
+    """Q-20: per capture, sha256 / bytes / row_count of its manifest, or of
+    its audit row if Spark landed it, agree with the landed payload (digests
+    from raw bytes, rows from the envelopes, summed over the capture's files)."""
+    size = F.coalesce(F.size(F.get("resultSets", F.lit(0))["rowSet"]), F.lit(0))
+    rows = envelopes.groupBy(*PARTITIONS).agg(F.sum(size).alias("rows"))
+    files = digests.groupBy(*PARTITIONS).agg(F.sort_array(F.collect_list("sha256")).alias("sha256s"),
+                                             F.sum("bytes").alias("bytes"))
+    m = manifests.select(*PARTITIONS, F.array("payload_sha256").alias("payload_sha256s"),
+                         F.col("payload_bytes").cast("long"), F.col("row_count").cast("long"))
+    if audits is not None:
+        m = m.unionByName(audits.select(*m.columns))
+    j = m.join(files, PARTITIONS, "full_outer").join(rows, PARTITIONS, "full_outer")
     kinds = F.array_compact(F.array(
-        F.when(distinct_from("payload_sha256", "sha256"), F.lit("sha256_mismatch")),
+        F.when(distinct_from("payload_sha256s", "sha256s"), F.lit("sha256_mismatch")),
         F.when(distinct_from("payload_bytes", "bytes"), F.lit("bytes_mismatch")),
         F.when(distinct_from("row_count", "rows"), F.lit("row_count_mismatch"))))
     return j.select(*PARTITIONS, F.explode(kinds).alias("violation"))
@@ -147,13 +152,14 @@ def bronze_checks(envelopes: DataFrame, bronze: Mapping[str, DataFrame]) -> list
                   severity="warn"),
             Check(f"{grain}.duplicate_key_in_capture", duplicate_key_in_capture(envelopes, grain), severity="warn"),
             Check(f"{grain}.not_null_keys", with_floor(
-                not_null(built, [*keys, "season_id", "game_date", "captured_at"]), built, "floor_empty_model")),
+                not_null(built, list(dict.fromkeys([*keys, "team_id", "season_id", "game_date", "plus_minus",
+                                                    "captured_at"]))), built, "floor_empty_model")),
             Check(f"{grain}.unique_key", unique(built, keys)),
         ]
     checks.append(Check("partition_keys_valid", partition_keys_valid(envelopes)))
     checks.append(Check("game_id_fixed_width_bronze",
                         game_id_fixed_width({f"bronze_{g}": b for g, b in bronze.items()},
-                                            [f"bronze_{g}" for g in bronze])))
+                                            [f"bronze_{g}" for g in GRAINS])))
     return checks
 
 
@@ -167,20 +173,26 @@ def every_game_has_two_teams(bronze_team: DataFrame, games: DataFrame) -> DataFr
                            b="away")
 
 
+def _floors(violations: DataFrame, fact_player: DataFrame, fact_team: DataFrame) -> DataFrame:
+    """A check over both facts says nothing when one is empty: a row each."""
+    return with_floor(with_floor(violations, fact_player, "floor_empty_player"), fact_team, "floor_empty_team")
+
+
 def points_reconcile(fact_player: DataFrame, fact_team: DataFrame) -> DataFrame:
     """Q-06: 14 measures, player sums = team row, zero tolerance, long form;
     D-11: a measure NULL on both sides is reported too."""
     cmp = reconcile(fact_team, fact_player, ["game_id", "team_id"], list(RECONCILED_MEASURES),
                     parent_name="team_value", child_name="player_sum")
     both_null = F.col("team_value").isNull() & F.col("player_sum").isNull()
-    return cmp.where(F.col("violates") | both_null)
+    return _floors(cmp.where(F.col("violates") | both_null), fact_player, fact_team)
 
 
 def turnovers_never_below(fact_player: DataFrame, fact_team: DataFrame) -> DataFrame:
     """Q-10: team tov ≥ sum of player tov (team-only turnovers exist)."""
     sums = child_sums(fact_player, ["game_id", "team_id"], {"player_tov": "tov"})
-    return qc.parent_below_children(fact_team.select("game_id", "team_id", F.col("tov").alias("team_tov")), sums,
-                                    ["game_id", "team_id"], "team_tov", "player_tov")
+    return _floors(qc.parent_below_children(
+        fact_team.select("game_id", "team_id", F.col("tov").alias("team_tov")), sums, ["game_id", "team_id"],
+        "team_tov", "player_tov"), fact_player, fact_team)
 
 
 def minutes_regulation_plus_overtime(fact_team: DataFrame) -> DataFrame:
@@ -195,7 +207,7 @@ def made_never_exceeds_attempts(fact_player: DataFrame, fact_team: DataFrame) ->
     t = qc.pairwise_bound(fact_team, lower="fgm", upper="fga", bounded="fgm")
     out = p.select(F.lit("player").alias("grain"), "game_id", "team_id", "fgm", "fga").unionByName(
         t.select(F.lit("team").alias("grain"), "game_id", "team_id", "fgm", "fga"))
-    return with_floor(out, fact_player, "floor_empty_player")
+    return _floors(out, fact_player, fact_team)
 
 
 def out_of_window_games(games: DataFrame, season_prefix: str, minimum: int = 3) -> DataFrame:
@@ -237,7 +249,7 @@ def two_rows_per_game(fact_team: DataFrame, fact_player: DataFrame) -> DataFrame
         "game_id", F.lit("team_rows_not_two").alias("violation"))
     orphan = fact_player.select("game_id").distinct().join(fact_team.select("game_id"), "game_id", "left_anti") \
         .select("game_id", F.lit("player_game_without_team_rows").alias("violation"))
-    return per.unionByName(orphan)
+    return _floors(per.unionByName(orphan), fact_player, fact_team)
 
 
 def name_drift_population(bronze_rows: DataFrame, id_col: str, name_col: str) -> DataFrame:
@@ -257,9 +269,9 @@ def unequal_team_game_counts(fact_team: DataFrame, games: DataFrame) -> DataFram
 
 
 def plus_minus_negates(fact_team: DataFrame) -> DataFrame:
-    """D-13: the two sides' plus_minus sum to zero per game."""
+    """D-13: the two sides' plus_minus sum to zero per game; a NULL sum does not."""
     return fact_team.groupBy("game_id").agg(F.sum("plus_minus").alias("plus_minus_sum")).where(
-        F.col("plus_minus_sum") != 0)
+        distinct_from("plus_minus_sum", F.lit(0)))
 
 
 def silver_checks(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame],
@@ -296,7 +308,9 @@ def silver_checks(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFram
                                                   "last_observed_game_date"])),
         Check("dim_team.not_null", not_null(dt, ["team_id", "team_name", "team_abbreviation"])),
         Check("stint.not_null", not_null(st, ["player_id", "team_id", "season_id", "valid_from", "valid_to",
-                                              "is_current"])),
+                                              "is_current", "last_game_prior_team"])),
+        Check("fact_player_game.not_null", not_null(fp, ["game_id", "player_id", "team_id", "plus_minus"])),
+        Check("fact_team_game.not_null", not_null(ft, ["game_id", "team_id"])),
         Check("rel.fact_player_game.game_id", relationships(fp, "game_id", g, "game_id")),
         Check("rel.fact_player_game.player_id", relationships(fp, "player_id", dp, "player_id")),
         Check("rel.fact_player_game.team_id", relationships(fp, "team_id", dt, "team_id")),

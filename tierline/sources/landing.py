@@ -48,6 +48,12 @@ def _json(spark: SparkSession, schema, path: str, **options) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _glob(base: str, grain: str | None) -> str:
     return f"{base}/season=*/grain={grain or '*'}/season_type=*/capture=*/"
 
@@ -102,7 +108,8 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
 
 def payload_digests(spark: SparkSession, root: str, source: str, endpoint: str) -> DataFrame:
     """sha256 and byte length of every payload file, computed on executors
-    from the raw bytes (``binaryFile``), keyed by partition columns."""
+    from the raw bytes (``binaryFile``), keyed by partition columns.  A
+    filter on those columns prunes the folders that are read."""
     base = endpoint_root(root, source, endpoint)
     raw = (spark.read.format("binaryFile").option("basePath", base).option("pathGlobFilter", PAYLOAD_FILES)
            .load(_glob(base, None)))

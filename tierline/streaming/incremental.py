@@ -11,9 +11,9 @@ and restatement roadmap, not built there).
   in the table, not in the stream, so it does not grow with every key ever
   seen; rows absent from a restated capture survive (upsert, never delete).
   A file stream sees a payload as soon as it lands, so there is no manifest
-  gate here: landers must publish the payload last (or land through
-  ``plans.landing.land_captures``, which writes audit rows before payloads
-  become visible to readers of the published prefix).
+  gate here: landers must publish the payload last.  (``land_captures``
+  appends its audit rows after the payloads, so a stream may read a capture
+  whose audit row is still to come.)
 * ``streaming_latest`` — the stateful alternative: latest-wins as a
   streaming aggregation in update mode.  Its state holds one row per key
   forever; use it only where the key space is bounded.
@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, ENVELOPE, NATURAL_KEYS
+from tierline.contracts import BRONZE_PARTITIONS, CONTRACTS, DEFAULT_ENDPOINT, DEFAULT_SOURCE, ENVELOPE, NATURAL_KEYS
 from tierline.operators.latest import latest_per_key
 from tierline.plans.bronze import bronze as bronze_model
-from tierline.sources.landing import PAYLOAD_FILES, endpoint_root
+from tierline.plans.bronze import bronze_order
+from tierline.sources.landing import PAYLOAD_FILES, endpoint_root, path_exists
 
 
 def stream_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,
@@ -45,26 +46,48 @@ def stream_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURC
     return r.json(glob).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _seasons(df: DataFrame) -> set[str | None]:
+    """The distinct season_ids: at most one entry per partition folder."""
+    return {r.season_id for r in df.select("season_id").distinct().collect()}
+
+
+def _drop_partition(spark: SparkSession, target: str, season: str | None) -> None:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    name = "__HIVE_DEFAULT_PARTITION__" if season is None else \
+        jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(season)
+    p = jvm.org.apache.hadoop.fs.Path(f"{target}/season_id={name}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def merge_into_bronze(spark: SparkSession, batch: DataFrame, target: str, grain: str) -> None:
-    """Merge one batch of envelopes into the bronze table at ``target``
-    (partitioned by season_id)."""
-    new = bronze_model(batch, grain)
-    if _exists(spark, target):
-        current = spark.read.parquet(target)
-        touched = new.select("season_id").distinct()
-        old = current.join(touched, "season_id", "left_semi").select(*new.columns)
-        merged = latest_per_key(old.unionByName(new), NATURAL_KEYS[grain], ["captured_at"])
-    else:
-        merged = new
-    merged = merged.checkpoint()  # cut lineage: the write below must not read the path it replaces
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("season_id")
+    """Merge one batch of envelopes into the bronze table at ``target``, laid
+    out as the build publishes it (partitioned by season_id, with the capture
+    ordering columns).  Gives what a full refresh over all captures gives.
+
+    Old versions are found by natural key, so a restated row that moves to
+    another season leaves none behind: the seasons of both versions are
+    written again, and a season left without rows is removed.  Only the key
+    columns of the whole table are read, besides the touched seasons.  A
+    replay of the batch after a failure repeats the same merge."""
+    keys = NATURAL_KEYS[grain]
+    new = bronze_model(batch, grain, provenance=True).checkpoint()  # decoded once
+    seasons = _seasons(new)
+    if not seasons:
+        return
+    if not path_exists(spark, target):
+        new.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(target)
+        return
+    current = spark.read.schema(new.schema).parquet(target)
+    seasons |= _seasons(current.join(new.select(*keys), keys, "left_semi"))
+    within = F.col("season_id").isin([s for s in seasons if s is not None])
+    old = current.where(F.col("season_id").isNull() | within if None in seasons else within)
+    # cut lineage: the write below must not read the path it replaces
+    merged = latest_per_key(old.select(*new.columns).unionByName(new), keys,
+                            bronze_order(CONTRACTS[grain], keys)).checkpoint()
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BRONZE_PARTITIONS)
      .parquet(target))
+    for season in seasons - _seasons(merged):
+        _drop_partition(spark, target, season)
 
 
 def upsert_bronze(spark: SparkSession, root: str, target: str, checkpoint: str, grain: str,
