@@ -267,3 +267,20 @@ def test_pipeline(spark):
     assert once.count() == ngram_join.near_duplicates(docs).select("component_id").distinct().count()
     pieces = corpus_pipeline.run(spark, sf)
     assert pieces.count() and pieces.where("length > 2048").count() == 0
+
+
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_units_encode_as_the_library_does(name, spaces):
+    from tierline.llm.units import UnitEncoder
+
+    rng = random.Random(6)
+    bits = ["a", "Word", "don't", "é", "漢字", "123", " ", " ", " ", "\n", "\t", " ", "\u0085", "!?", "<|endoftext|>", "\x00", "🙂", "ſ", "‍"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(1500)] + ["", " ", "  a", "a  "]
+    enc = UnitEncoder(P.path(name), spaces, cache_units=50)  # the caches turn over many times
+    for _ in range(2):
+        ids, counts = enc.encode(texts)
+        at = 0
+        for t, n in zip(texts, counts.tolist()):
+            assert ids[at:at + n].tolist() == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
+            at += n
+        assert at == len(ids)

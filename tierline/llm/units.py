@@ -12,6 +12,7 @@ the library sees only units that the worker has not met lately.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ import pyarrow.compute as pc
 
 #: White space that may stand before a space (RE2 syntax).
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+#: A space and then neither white space nor control characters.
+_PLAIN = re.compile(r" [^\s\x00-\x1f\x7f-\xa0]+")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -38,27 +41,78 @@ class UnitEncoder:
     """``spaces`` tells whether a leading space is part of a unit's ids (byte
     level) or dropped by the tokenizer (word ends)."""
 
-    def __init__(self, path: str, spaces: bool, cache_units: int = 1_000_000, unit_chars: int = 64):
+    def __init__(self, path: str, spaces: bool, cache_units: int = 250_000, unit_chars: int = 64):
+        # Spark already runs a task per core; the library's own threads only add to the CPU time
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.spaces, self.cache_units, self.unit_chars = spaces, cache_units, unit_chars
+        #: units met lately and those met before them; a unit met again moves up
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: bytes of text that each id stands for, where units can be told apart by them
+        self.id_bytes = self._id_bytes() if spaces else None
+
+    def _id_bytes(self) -> np.ndarray:
+        """A byte-level token has one character per byte it stands for."""
+        out = np.zeros(self.vocab, np.int64)
+        for token, i in self.tok.get_vocab(with_added_tokens=True).items():
+            out[i] = len(token)
+        return out
+
+    def _keep(self, unit: str, ids: bytes) -> None:
+        if len(unit) > self.unit_chars:
+            return
+        if len(self.cache) >= self.cache_units:
+            self.cache, self.older = {}, self.cache
+        self.cache[unit] = ids
+
+    def _joined(self, units: list[str]) -> list[bytes] | None:
+        """Ids of units that each start with their only space, encoded as one
+        text and parted where the bytes of a unit end; None where the ids do
+        not end with the units."""
+        ids = np.array(self.tok.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum([len(u.encode()) for u in units])
+        done = np.cumsum(self.id_bytes[ids])
+        cut = np.searchsorted(done, ends)
+        if not len(ids) or done[-1] != ends[-1] or (done[cut] != ends).any():
+            return None
+        raw, at = ids.tobytes(), [0, *(4 * (cut + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _fresh(self, units: list[str]) -> list[bytes]:
+        """Ids of units that no cache holds."""
+        out: list[bytes | None] = [None] * len(units)
+        if self.id_bytes is not None:
+            plain = [i for i, u in enumerate(units) if _PLAIN.fullmatch(u)]
+            for k in range(0, len(plain), 2000):
+                part = plain[k:k + 2000]
+                for i, r in zip(part, self._joined([units[j] for j in part]) or ()):
+                    out[i] = r
+        rest = [i for i, r in enumerate(out) if r is None]
+        for k in range(0, len(rest), 20_000):
+            part = rest[k:k + 20_000]
+            for i, enc in zip(part, self.tok.encode_batch_fast([units[j] for j in part], add_special_tokens=False)):
+                out[i] = array("I", enc.ids).tobytes()
+        return out
 
     def _runs(self, units: list[str]) -> list[bytes]:
-        cache = self.cache
-        got = [cache.get(u) for u in units]
-        miss = [i for i, r in enumerate(got) if r is None]
-        if len(cache) + len(miss) > self.cache_units:
-            cache.clear()
-        for k in range(0, len(miss), 20_000):
-            part = miss[k:k + 20_000]
-            for i, enc in zip(part, self.tok.encode_batch([units[j] for j in part], add_special_tokens=False)):
-                got[i] = array("I", enc.ids).tobytes()
-                if len(units[i]) <= self.unit_chars and len(cache) < self.cache_units:
-                    cache[units[i]] = got[i]
+        got, miss = [], []
+        for i, u in enumerate(units):
+            r = self.cache.get(u)
+            if r is None:
+                r = self.older.get(u)
+                if r is None:
+                    miss.append(i)
+                else:
+                    self._keep(u, r)
+            got.append(r)
+        for i, r in zip(miss, self._fresh([units[i] for i in miss])):
+            got[i] = r
+            self._keep(units[i], r)
         return got
 
     def _table(self, units: list[str]):
