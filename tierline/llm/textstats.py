@@ -81,13 +81,14 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def slices(texts: pa.Array, most: int = 3_000_000) -> Iterator[tuple[int, int]]:
-    """``(first row, rows)`` of slices of about ``most`` bytes."""
+def slices(texts: pa.Array, most: int = 1_000_000, rows: int = 2_000) -> Iterator[tuple[int, int]]:
+    """``(first row, rows)`` of slices of about ``most`` bytes and at most
+    ``rows`` rows, which bounds arrays over bytes and arrays over rows."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
     while at < len(size):
         end, total = at + 1, size[at]
-        while end < len(size) and total + size[end] <= most:
+        while end < len(size) and end - at < rows and total + size[end] <= most:
             total += size[end]
             end += 1
         yield at, end - at
