@@ -73,24 +73,23 @@ def write_archives(chunks: DataFrame, folder: str, level: int = 1) -> DataFrame:
 
     def run(batches):
         out, path, records, size, sha, gz = None, None, 0, 0, None, None
-        for b in batches:
-            for r in b.to_pylist():
-                if out is None:
-                    path = attempt_file(folder, ".warc.gz")
-                    out = open_output(path)
-                data = r["chunk"]
-                if r["chunk_no"] == 0:
-                    gz, sha = zlib.compressobj(level, zlib.DEFLATED, 31), hashlib.sha256()
-                    data_out = gz.compress(_header(r["record_type"], r["page_id"], r["url"], r["refers_to"], r["payload_bytes"], r["payload_digest"]))
-                    out.write(data_out)
-                sha.update(data)
-                body = gz.compress(data)
-                out.write(body)
-                if r["chunk_no"] == r["n_chunks"] - 1:
-                    if r["record_type"] == "response" and sha.hexdigest() != r["payload_digest"]:
-                        raise ValueError(f"payload of page {r['page_id']} does not have its digest")
-                    out.write(gz.compress(b"\r\n\r\n") + gz.flush())
-                    records += 1
+        for r in (r for b in batches for at in range(0, b.num_rows, 64) for r in b.slice(at, 64).to_pylist()):
+            if out is None:
+                path = attempt_file(folder, ".warc.gz")
+                out = open_output(path)
+            data = r["chunk"]
+            if r["chunk_no"] == 0:
+                gz, sha = zlib.compressobj(level, zlib.DEFLATED, 31), hashlib.sha256()
+                data_out = gz.compress(_header(r["record_type"], r["page_id"], r["url"], r["refers_to"], r["payload_bytes"], r["payload_digest"]))
+                out.write(data_out)
+            sha.update(data)
+            body = gz.compress(data)
+            out.write(body)
+            if r["chunk_no"] == r["n_chunks"] - 1:
+                if r["record_type"] == "response" and sha.hexdigest() != r["payload_digest"]:
+                    raise ValueError(f"payload of page {r['page_id']} does not have its digest")
+                out.write(gz.compress(b"\r\n\r\n") + gz.flush())
+                records += 1
         if out is not None:
             size = out.tell()
             out.close()
