@@ -178,6 +178,19 @@ def test_ngram_join(spark, empty):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_parity_bitmaps_never_overstate_the_difference():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 63, 64, 65, 700, 5000):
+        x = np.unique(rng.integers(0, 1 << 62, size))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.8], rng.integers(0, 1 << 62, max(1, size // 5))]))
+        apart = len(np.setxor1d(x, y))
+        for a, b in ((x, y), (y, x)):
+            assert ngram_join.differing(ngram_join.parity_bits(a), ngram_join.parity_bits(b)) <= apart
+        assert ngram_join.differing(ngram_join.parity_bits(x), ngram_join.parity_bits(x)) == 0
+    x, y = rng.integers(0, 1 << 62, (2, 3000))
+    assert ngram_join.differing(ngram_join.parity_bits(x), ngram_join.parity_bits(y)) > 1000
+
+
 def test_trees_keep_monotone_signs():
     rng = np.random.default_rng(1)
     x = rng.uniform(size=(600, 3))

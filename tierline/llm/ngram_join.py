@@ -5,9 +5,11 @@ key of a shingle is the logarithm of how often its counter of a bounded
 counting table was hit by all documents, then the shingle's hash.  Pivots cut
 that order into fragments of equal mass.  Only the head of a document's
 ordered set can hold the first shingle it shares with a near duplicate, so
-heads give the candidate pairs (prefix, length and position filters).  For
-each candidate the overlap is counted in every fragment by itself and summed
-per pair, which decides the link exactly.
+heads give the candidate pairs (prefix, length and position filters).  A
+parity bitmap of each set, as long as the set is large, bounds the overlap of
+a candidate from above; most candidates fail that bound.  For each of the
+others the overlap is counted in every fragment by itself and summed per pair,
+which decides the link exactly.
 
 Documents with equal sets are one class.  Within a head shingle's documents
 the pairs with the one of earliest position are tried first; once those links
@@ -82,13 +84,33 @@ def pivots(table: np.ndarray, fragments: int) -> list[int]:
     return out
 
 
+def parity_bits(keys: np.ndarray) -> bytes:
+    """A bitmap of 64 bits or more, a power of two not below the number of
+    keys; a bit is set where an odd number of keys falls."""
+    size = max(64, 1 << (len(keys) - 1).bit_length())
+    return np.packbits((np.bincount(keys & (size - 1), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits by which two parity bitmaps differ, at most the number of keys that
+    one of the sets has and the other has not.  The halves of the longer are
+    laid over each other until the lengths agree."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None) -> DataFrame:
     """``doc_id, sid, n, keys`` of each document.  ``sid`` is a 63-bit digest
     of the set (equal sets, equal sid) and ``n`` its size.  ``keys`` are the
     ascending order keys of the set's head, as long as ``percent`` asks for;
     with ``wanted``, a bitmap of sids, only those documents are given, with
     all keys.  A task gives the keys of a set once and null keys for most of
-    its further copies.  ``ranks`` and ``wanted`` are broadcasts."""
+    its further copies.  ``parity`` comes with heads (see ``parity_bits``).
+    ``ranks`` and ``wanted`` are broadcasts."""
 
     def run(batches):
         seen: set[int] = set()
@@ -105,19 +127,21 @@ def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None)
                     d = int.from_bytes(hashlib.blake2b(k.tobytes(), digest_size=8).digest(), "big") >> 1
                     if wanted is not None and not wanted.value[d % SLOTS >> 3] >> (d & 7) & 1:
                         continue
-                    size = len(k)
+                    size, bits = len(k), None
                     if d in seen or not size:
                         k = None
                     elif wanted is None:
+                        bits = parity_bits(k)
                         k = k[:size - -(-percent * size // 100) + 1]
-                    rows.append((ids[i], d, size, k))
+                    rows.append((ids[i], d, size, k, bits))
                     if len(seen) < 500_000:
                         seen.add(d)
                 if rows:
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:3]),
-                                                      pa.array([r[3] for r in rows], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "keys"])
+                                                      pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                                                      pa.array([r[4] for r in rows], pa.binary())], ["doc_id", "sid", "n", "keys", "parity"])
 
-    return docs.mapInArrow(run, "doc_id long, sid long, n long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, sid long, n long, keys array<long>, parity binary")
 
 
 SHARED = "gram long, sid long, n long, pos long, x1 long, n1 long, p1 long"
@@ -184,6 +208,24 @@ def _bitmap(needed: DataFrame) -> np.ndarray:
     return bits.ravel()
 
 
+PAIRS = "a long, b long, na long, nb long"
+
+
+def possible(pairs: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` that the bitmaps of ``parity(sid, parity)`` leave open.
+    With d keys in one set only, the overlap is (na + nb - d) / 2 and the
+    union (na + nb + d) / 2, so no link is lost."""
+
+    def run(batches):
+        for b in batches:
+            na, nb = (b.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+            d = np.fromiter((differing(x, y) for x, y in zip(b.column("pa").to_pylist(), b.column("pb").to_pylist())), np.int64, b.num_rows)
+            yield b.select(["a", "b", "na", "nb"]).filter(pa.array(d * (100 + percent) <= (100 - percent) * (na + nb)))
+
+    left, right = (parity.select(F.col("sid").alias(c), F.col("parity").alias(f"p{c}")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, PAIRS)
+
+
 def verified(pairs: DataFrame, sets_of, cuts: list[int], percent: int) -> DataFrame:
     """The pairs ``(a, b)`` with ``100 * overlap >= percent * union``; the
     overlap is the sum of the fragments' overlaps.  ``sets_of`` gives the
@@ -221,6 +263,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     heads = rows.where("keys is not null").select("sid", "n", F.posexplode("keys").alias("pos", "gram"))
     heads = staged(_shared_heads(heads.repartition("gram").sortWithinPartitions("gram", "pos", "sid")), "shared-heads")
 
+    # one bitmap of each set, and only of those with a shared shingle
+    parity = staged(rows.where("parity is not null").select("sid", "parity").join(heads.select("sid").distinct(), "sid", "left_semi")
+                    .dropDuplicates(["sid"]), "parity")
+
     def sets_of(bits):
         return ordered_sets(d, words, ranks, percent, spark.sparkContext.broadcast(bits))
 
@@ -229,14 +275,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     tries = heads.select(F.col("sid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("posx"), F.col("x1").alias("y"),
                          F.col("n1").alias("ny"), F.col("p1").alias("posy")).where(room)
     cuts = pivots(table, fragments)
-    links = staged(verified(_oriented(tries, percent), sets_of, cuts, percent), "links")
+    links = staged(verified(possible(_oriented(tries, percent), parity, percent), sets_of, cuts, percent), "links")
     comp = connected_components(links)
     c = heads.join(comp, heads.sid == comp.node, "left").select("gram", "sid", "n", "pos", F.coalesce("component", "sid").alias("c"))
     mixed = c.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
     m = c.join(mixed, "gram", "left_semi")
     x, y = (m.select("gram", *[F.col(k).alias(f"{k}{s}") for k in ("sid", "n", "pos", "c")]) for s in "xy")
     rest = x.join(y, "gram").where((F.col("cx") < F.col("cy")) & room).select(F.col("sidx").alias("x"), F.col("sidy").alias("y"), "nx", "ny")
-    more = staged(verified(_oriented(rest, percent), sets_of, cuts, percent), "links")
+    more = staged(verified(possible(_oriented(rest, percent), parity, percent), sets_of, cuts, percent), "links")
     comp = connected_components(links.unionAll(more))
     least = rows.groupBy("sid").agg(F.min("doc_id").alias("least"))
     named = (least.join(comp, least.sid == comp.node, "left").select("sid", F.coalesce("component", "sid").alias("c"), "least"))
