@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm import gbt
 from tierline.llm.shared import ship
+from tierline.llm.textstats import slices
 
 _INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +46,7 @@ _KINDS = [
     set("form login search".split()),
 ]
 _TAGS = ["p", "h", "li", "div", "article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "table", "blockquote", "pre"]
+_TAG_ROWS, _NO_TAG = {t: np.eye(len(_TAGS))[i] for i, t in enumerate(_TAGS)}, np.zeros(len(_TAGS))
 _SPACE = re.compile(r"\s+")
 
 
@@ -134,7 +136,6 @@ def features(nodes: list[Node]) -> np.ndarray:
     n = len(nodes)
     chars, links, marks, subtree, paras = (np.zeros(n) for _ in range(5))
     own = np.zeros(n)
-    rows = []
     for i, d in enumerate(nodes):
         if d.tag in _SILENT:
             continue
@@ -171,25 +172,25 @@ def features(nodes: list[Node]) -> np.ndarray:
         most = max(1.0, max(chars[j] for j in c))
         for k, j in enumerate(c):
             peers[j], place[j], share[j] = len(c), k / len(c), chars[j] / most
-    for i, d in enumerate(nodes):
-        c = max(1.0, chars[i])
-        rows.append([np.log1p(chars[i]), chars[i] / total, links[i] / c, marks[i] / c, np.log1p(subtree[i]), chars[i] / subtree[i] if subtree[i] else 0,
-                     paras[i], own[i] / c, depth[i], peers[i], place[i], share[i], *_kinds(d.attrs), *above[i], *(tag[i] == t for t in _TAGS)])
-    return np.array(rows, float)
+    c = np.maximum(1.0, chars)
+    kind = np.array([_kinds(d.attrs) for d in nodes], float)
+    is_tag = np.array([_TAG_ROWS.get(t, _NO_TAG) for t in tag])
+    base = [np.log1p(chars), chars / total, links / c, marks / c, np.log1p(subtree), chars / subtree, paras, own / c, depth, peers, place, share]
+    return np.column_stack([*base, kind, above, is_tag])
 
 
 def decode(nodes: list[Node], score: np.ndarray) -> np.ndarray:
     """The best consistent labelling: 1 for content nodes.  ``score`` is the
     log-odds that a node is content."""
     n = len(nodes)
-    yes, no = -np.logaddexp(0, -score), -np.logaddexp(0, score)
-    drop, keep, wrap = no.copy(), yes.copy(), no.copy()
+    yes, no = (-np.logaddexp(0, -score)).tolist(), (-np.logaddexp(0, score)).tolist()
+    drop, keep, wrap = list(no), list(yes), list(no)
     for i in range(n - 1, 0, -1):
         p = nodes[i].parent.order
         drop[p] += drop[i]
         keep[p] += max(keep[i], drop[i])
         wrap[p] += max(wrap[i], keep[i], drop[i])
-    state = np.zeros(n, int)  # 0 wrapper, 1 content, 2 boilerplate
+    state = [0] * n  # 0 wrapper, 1 content, 2 boilerplate
     for i, d in enumerate(nodes):
         above = 0 if d.parent is None else state[d.parent.order]
         if above == 2:
@@ -197,10 +198,11 @@ def decode(nodes: list[Node], score: np.ndarray) -> np.ndarray:
         elif above == 1:
             state[i] = 1 if keep[i] >= drop[i] else 2
         else:
-            state[i] = int(np.argmax([wrap[i], keep[i], drop[i]]))
+            best = max(wrap[i], keep[i], drop[i])
+            state[i] = 0 if wrap[i] == best else 1 if keep[i] == best else 2
             if d.parent is None and state[i] != 0 and len(nodes) > 1:
                 state[i] = 0
-    return (state == 1).astype(int)
+    return (np.array(state) == 1).astype(int)
 
 
 def blocks(nodes: list[Node], kept: np.ndarray) -> list[str]:
@@ -232,12 +234,18 @@ def blocks(nodes: list[Node], kept: np.ndarray) -> list[str]:
     return out
 
 
-def extract(html: str, trees: gbt.Trees) -> str:
-    """Main text of one page, empty if none."""
-    if not html.strip():
-        return ""
-    nodes = parse(html)
-    return " ".join(blocks(nodes, decode(nodes, trees.score(features(nodes)))))
+def extract(pages: list[str], trees: gbt.Trees) -> list[str]:
+    """Main text of each page, empty if none; the nodes of all these pages are
+    scored together."""
+    parsed = [parse(html) if html.strip() else [] for html in pages]
+    rows = [features(nodes) for nodes in parsed if nodes]
+    if not rows:
+        return [""] * len(pages)
+    score, at, out = trees.score(np.concatenate(rows)), 0, []
+    for nodes in parsed:
+        out.append(" ".join(blocks(nodes, decode(nodes, score[at:at + len(nodes)]))) if nodes else "")
+        at += len(nodes)
+    return out
 
 
 _WORDS = ["".join(p) for p in zip("lomitarenuso" * 6, "aeiouaeioua" * 7, "nrstlmdkpvb" * 7, "aeuioeauio" * 8)]
@@ -356,7 +364,7 @@ def main_text(pages: DataFrame, trees: gbt.Trees | None = None) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages(page_id, url,
     html)``.  Null and empty html give an empty text.  Repeated rows give
     repeated results; an empty table gives none; extra columns are ignored.
-    Memory is bounded by one page."""
+    Memory is bounded by half a megabyte of pages, or one page if longer."""
     spark = pages.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(trees or fit())
@@ -364,9 +372,9 @@ def main_text(pages: DataFrame, trees: gbt.Trees | None = None) -> DataFrame:
     def run(batches):
         for b in batches:
             html = b.column("html")
-            for at in range(0, len(html), 256):
-                text = [extract(h or "", held.value) for h in html.slice(at, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("page_id").slice(at, 256), b.column("url").slice(at, 256), pa.array(text, pa.string()),
+            for at, n in slices(html, most=500_000, rows=256):
+                text = extract([h or "" for h in html.slice(at, n).to_pylist()], held.value)
+                yield pa.RecordBatch.from_arrays([b.column("page_id").slice(at, n), b.column("url").slice(at, n), pa.array(text, pa.string()),
                                                   pa.array([len(t) for t in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
