@@ -216,6 +216,15 @@ def test_quality_rules_counts(spark, docs, empty):
     assert quality_rules.apply_rules(empty, None).count() == 0
 
 
+def test_lines_of_newline_terminated_texts(spark):
+    texts = ["foo\nbar\nfoo\n", "foo\nbar\nfoo\n\n\n", "foo\nfoo", "\n", "foo\n", "a b\n\na b\n", "", "x\nx \n"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    got = {r.doc_id: r.n_dup_lines for r in quality_rules.apply_rules(d, None).collect()}
+    for i, t in enumerate(texts):
+        lines = [x for x in t.split("\n") if x.strip()]
+        assert got[i] == len(lines) - len(set(lines)), repr(t)
+
+
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 

@@ -144,7 +144,8 @@ def counts(texts: pa.Array) -> np.ndarray:
                 cover[j:len(w) - 2 + j] |= twice
             out[i, 4] = cover.sum()
         a = line_start[np.searchsorted(line_start, lo):np.searchsorted(line_start, hi, "left")]
-        z = np.append(a[1:] - 1, hi)
+        # a line ends before its newline, the last one of the text too
+        z = np.append(a[1:] - 1, hi - (b[hi - 1] == 10))
         has = np.searchsorted(s.start, z) > np.searchsorted(s.start, a)
         out[i, 6] = has.sum()
         h = s.hashes(a[has], z[has])
