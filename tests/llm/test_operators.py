@@ -306,3 +306,21 @@ def test_units_encode_as_the_library_does(name, spaces):
             assert ids[at:at + n].tolist() == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
             at += n
         assert at == len(ids)
+
+
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_tokens_in_texts_as_the_untouched_library(name, spaces):
+    from tokenizers import Tokenizer
+
+    from tierline.llm.units import UnitEncoder
+
+    tok, enc, rng = Tokenizer.from_file(P.path(name)), UnitEncoder(P.path(name), spaces), random.Random(8)
+    bits = ["one", " ", " ", "  ", "\n", "é", "don't", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof"]
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "x<|endoftext|>y <|startoftext|> z"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(1, 20))) for _ in range(800)]
+    ids, counts = enc.encode(texts)
+    at = 0
+    for t, n in zip(texts, counts.tolist()):
+        assert ids[at:at + n].tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+        at += n
+    assert at == len(ids)

@@ -47,12 +47,14 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.spaces, self.cache_units, self.unit_chars = spaces, cache_units, unit_chars
         #: units met lately and those met before them; a unit met again moves up
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: the vocabulary's special tokens, which the library finds in the text; none holds a space
+        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         #: bytes of text that each id stands for, where units can be told apart by them
         self.id_bytes = self._id_bytes() if spaces else None
 
@@ -87,7 +89,8 @@ class UnitEncoder:
         """Ids of units that no cache holds."""
         out: list[bytes | None] = [None] * len(units)
         if self.id_bytes is not None:
-            plain = [i for i, u in enumerate(units) if _PLAIN.fullmatch(u)]
+            # byte counts need not hold for units with a special token
+            plain = [i for i, u in enumerate(units) if _PLAIN.fullmatch(u) and not (self.added and self.added.search(u))]
             for k in range(0, len(plain), 2000):
                 part = plain[k:k + 2000]
                 for i, r in zip(part, self._joined([units[j] for j in part]) or ()):
