@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tierline.llm import ngram_join, packing, quality_rules, site_bayes
 from tierline.llm.shared import staged
@@ -38,12 +37,10 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near
-    duplicates (five-word shingles, similarity 0.8) stays.  Rows without an
-    id stay."""
-    gone = (ngram_join.near_duplicates(docs, words=5, percent=80)
-            .where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row, that with the smallest doc_id, of each group of near
+    duplicates (five-word shingles, similarity 0.8) stays, also where rows
+    repeat a doc_id or have none."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

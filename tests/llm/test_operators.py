@@ -178,6 +178,25 @@ def test_ngram_join(spark, empty):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_dedup_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    def text(c):
+        return " ".join(f"{c}{i}" for i in range(60))
+
+    rows = [(1, text("a"), "x"), (1, text("a"), "x"), (1, text("a"), "y"),  # repeated rows
+            (None, text("b"), "x"), (None, text("b"), "x"), (None, text("b") + " more", "x"),  # copies without an id
+            (2, text("c"), "x"), (3, text("c"), "x"), (3, text("d"), "x"),  # one id, a copy and a text of its own
+            (None, text("c"), "x"), (4, text("e"), "x"), (4, text("e") + " more", "x"),
+            (5, "", "x"), (6, None, "x"), (None, "", "x"), (None, " ", "x"), (None, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = corpus_pipeline.dedup_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r.doc_id, (r.text or "")[:1].strip()) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (None, "b"), (2, "c"), (3, "d"), (4, "e"), (5, ""), (6, ""), (None, ""), (None, ""), (None, "")], key=str)
+    assert corpus_pipeline.dedup_stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_parity_bitmaps_never_overstate_the_difference():
     rng = np.random.default_rng(2)
     for size in (1, 2, 63, 64, 65, 700, 5000):

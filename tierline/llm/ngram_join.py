@@ -25,7 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm import textstats
@@ -104,7 +104,7 @@ def differing(a: bytes, b: bytes) -> int:
 
 
 def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None) -> DataFrame:
-    """``doc_id, sid, n, keys`` of each document.  ``sid`` is a 63-bit digest
+    """``doc_id, text_hash, sid, n, keys`` of each document.  ``sid`` is a 63-bit digest
     of the set (equal sets, equal sid) and ``n`` its size.  ``keys`` are the
     ascending order keys of the set's head, as long as ``percent`` asks for;
     with ``wanted``, a bitmap of sids, only those documents are given, with
@@ -118,7 +118,7 @@ def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None)
             for at, n in textstats.slices(b.column("text")):
                 s = textstats.Spans(b.column("text").slice(at, n), lower=True)
                 w = s.words()
-                ids = b.column("doc_id").slice(at, n).to_pylist()
+                ids, marks = (b.column(c).slice(at, n).to_pylist() for c in ("doc_id", "text_hash"))
                 rows = []
                 for i in range(n):
                     g = textstats.shingles(w[s.first[i]:s.first[i + 1]], words)
@@ -133,15 +133,15 @@ def ordered_sets(docs: DataFrame, words: int, ranks, percent: int, wanted=None)
                     elif wanted is None:
                         bits = parity_bits(k)
                         k = k[:size - -(-percent * size // 100) + 1]
-                    rows.append((ids[i], d, size, k, bits))
+                    rows.append((ids[i], marks[i], d, size, k, bits))
                     if len(seen) < 500_000:
                         seen.add(d)
                 if rows:
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:3]),
-                                                      pa.array([r[3] for r in rows], pa.list_(pa.int64())),
-                                                      pa.array([r[4] for r in rows], pa.binary())], ["doc_id", "sid", "n", "keys", "parity"])
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]),
+                                                      pa.array([r[4] for r in rows], pa.list_(pa.int64())),
+                                                      pa.array([r[5] for r in rows], pa.binary())], ["doc_id", "text_hash", "sid", "n", "keys", "parity"])
 
-    return docs.mapInArrow(run, "doc_id long, sid long, n long, keys array<long>, parity binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, sid long, n long, keys array<long>, parity binary")
 
 
 SHARED = "gram long, sid long, n long, pos long, x1 long, n1 long, p1 long"
@@ -245,18 +245,48 @@ def verified(pairs: DataFrame, sets_of, cuts: list[int], percent: int) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs(doc_id, text)``.
+    """``doc_id, n_shingles, component_id`` per row of ``docs(doc_id, text)``;
+    see ``marked_rows``."""
+    return marked_rows(docs, words, percent, fragments).select("doc_id", "n_shingles", "component_id")
+
+
+def text_hash(col):
+    """Identity of a text beside its row's doc_id."""
+    return F.xxhash64(col.cast("string"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one row of each component of
+    ``marked_rows``: that with the smallest doc_id (ids before nulls), then
+    the smallest text hash.  Of rows that repeat both, one stays, whatever
+    their other columns hold.  Rows without words and without an id are
+    copies of nothing and all stay."""
+    ident = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit(""))
+    gone = (marked_rows(docs, words, percent).where("not first").select(ident("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).distinct())
+    lone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    d = docs.withColumns({"id_": F.when(lone, F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))).otherwise(ident("doc_id")),
+                          "hash_": text_hash(F.col("text")), "order_": F.xxhash64(*rest) if rest else F.lit(0)})
+    once = d.withColumn("nth_", F.row_number().over(Window.partitionBy("id_", "hash_").orderBy("order_"))).where("nth_ = 1")
+    return once.join(gone, ["id_", "hash_"], "left_anti").select(docs.columns)
+
+
+def marked_rows(docs: DataFrame, words: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, first`` per row of
+    ``docs(doc_id, text)``.
 
     Two documents link where the overlap of their sets is at least
     ``percent`` hundredths of the union.  A text with fewer than ``words``
     words is one shingle; null and empty texts have no set and stay alone.
     ``component_id`` is the smallest doc_id reachable; a row with a null
     doc_id has none (null) unless documents with ids are reachable.  Rows that
-    repeat a doc_id are judged each by its own text.  An empty table gives no
-    rows; extra columns are ignored."""
+    repeat a doc_id are judged each by its own text.  ``first`` marks the row
+    that stands for its component, by smallest doc_id (ids before nulls) and
+    then text hash, with all rows that repeat both; a row without a set stands
+    for itself.  An empty table gives no rows; extra columns are ignored."""
     spark = docs.sparkSession
     ship(spark)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash(F.col("text")).alias("text_hash"))
     table = _counting_table(d.select("text"), words)
     ranks = spark.sparkContext.broadcast(_ranks(table))
     rows = staged(ordered_sets(d, words, ranks, percent), "heads")
@@ -284,10 +314,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, fragment
     rest = x.join(y, "gram").where((F.col("cx") < F.col("cy")) & room).select(F.col("sidx").alias("x"), F.col("sidy").alias("y"), "nx", "ny")
     more = staged(verified(possible(_oriented(rest, percent), parity, percent), sets_of, cuts, percent), "links")
     comp = connected_components(links.unionAll(more))
-    least = rows.groupBy("sid").agg(F.min("doc_id").alias("least"))
+    least = rows.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least"))
     named = (least.join(comp, least.sid == comp.node, "left").select("sid", F.coalesce("component", "sid").alias("c"), "least"))
-    low = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    to = named.join(low, "c").select("sid", "component_id")
-    return (rows.select("doc_id", "sid", F.col("n").alias("n_shingles")).join(to, "sid")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
-
+    low = named.groupBy("c").agg(F.min("least").alias("least"))
+    to = named.drop("least").join(low, "c").select("sid", "least")
+    bare = F.col("n_shingles") == 0
+    return (rows.select("doc_id", "text_hash", "sid", F.col("n").alias("n_shingles")).join(to, "sid")
+            .select("doc_id", "text_hash", "n_shingles", F.when(bare, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+                    (bare | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash")))).alias("first")))
