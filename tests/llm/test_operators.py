@@ -145,6 +145,22 @@ def test_license_scan(spark, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def _labels(spark, texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    return {r.doc_id: r.labels for r in license_scan.scan(d).collect()}
+
+
+def test_license_notices_wrapped_over_lines_and_scattered_words(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction.")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+    mpl = ("# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed")
+    fill = " ".join(f"word{i}" for i in range(40))
+    got = _labels(spark, [mit, bsd, mpl, f"{fill} {mit} {fill}".replace("\n", " "), f"{fill}\n{bsd}\n{fill}\n{mpl}",
+                          f" {fill} ".join("licensed under cc by 4 0".split()), "permitted account", "licensed\nunder\ncc\nby\n4.0"])
+    assert [got[i] for i in range(8)] == ["mit-notice", "bsd", "mpl-2.0", "mit-notice", "bsd,mpl-2.0", "", "", "cc-by,cc-by-4.0"]
+
+
 def _shingle_components(texts, k, percent):
     sets = []
     for t in texts:
