@@ -161,6 +161,20 @@ def test_license_notices_wrapped_over_lines_and_scattered_words(spark):
     assert [got[i] for i in range(8)] == ["mit-notice", "bsd", "mpl-2.0", "mit-notice", "bsd,mpl-2.0", "", "", "cc-by,cc-by-4.0"]
 
 
+def test_license_scan_keeps_every_template_met(spark):
+    texts = ["Licensed under the MIT License, and licensed under the Apache License, Version 2.0",
+             "Licensed under the GNU Lesser General Public License version 3",
+             "Licensed under the GNU General Public License version 3",
+             "Licensed under the GNU Affero General Public License, version 3.",
+             "Licensed under CC BY-NC 4.0", "Licensed under CC BY-NC 4.0. Licensed under CC BY-NC 4.0.",
+             "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.", "Licensed under CC BY-NC 4.0, text licensed under CC BY 4.0",
+             "Code is released under the MIT License. This is free and unencumbered software released into the public domain."]
+    want = ["apache,apache-2.0,mit,mit-notice", "lgpl-3.0", "gpl,gpl-3.0", "agpl-3.0", "cc-by,cc-by-nc-4.0", "cc-by,cc-by-nc-4.0",
+            "cc-by,cc-by-4.0,cc-by-nc-4.0", "cc-by,cc-by-4.0,cc-by-nc-4.0", "mit,mit-notice,unlicense"]
+    got = _labels(spark, texts)
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def _shingle_components(texts, k, percent):
     sets = []
     for t in texts:

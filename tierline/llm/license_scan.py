@@ -95,8 +95,9 @@ def scan(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
 
     ``labels`` joins the base labels with those of all templates of which
     some place of the text holds at least ``threshold`` of the distinct
-    tokens; of places that overlap, only the one met better counts, on equal
-    shares the larger.  ``score`` is the best share met, 0 without one.
+    tokens.  Where places of two templates overlap and the tokens of one
+    contain those of the other, only the one met better counts there, on
+    equal shares the larger.  ``score`` is the best share met, 0 without one.
     Null and empty texts have no words and empty labels.  Rows with one doc_id
     are judged each by its own text; an empty table gives no rows; extra
     columns are ignored."""
@@ -112,10 +113,11 @@ def scan(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     for i, (label, s) in enumerate(sets):
         ranked, need = sorted(s, key=place.get), math.ceil(threshold * len(s) - 1e-9)
         first, words = ranked[:len(s) - need + 1], TEMPLATES[i][1].split()
+        rivals = [j for j, (_, o) in enumerate(sets) if j != i and (set(s) <= set(o) or set(o) <= set(s))]
         prefix.update(first)
-        rows += [(t, i, label, ranked, first, words[0], SPAN * len(words), pos, len(s), need) for pos, t in enumerate(first)]
+        rows += [(t, i, label, ranked, first, rivals, words[0], SPAN * len(words), pos, len(s), need) for pos, t in enumerate(first)]
     index = F.broadcast(docs.sparkSession.createDataFrame(
-        rows, "token string, tid int, label string, template array<string>, first array<string>, lead string, width int, pos int, size int, need int"))
+        rows, "token string, tid int, label string, template array<string>, first array<string>, rivals array<int>, lead string, width int, pos int, size int, need int"))
     ordered = F.array(*[F.lit(t) for t in order])
     # a document without any prefix token has no place that can pass
     ink = r"[0-9A-Za-z[^\x00-\x7F]]"
@@ -136,13 +138,13 @@ def scan(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
              .withColumn("p", _place(F.col("zone"), F.col("hit") - F.col("from") + 1, F.col("template"), F.col("width"), F.col("lead"))))
     lo = F.col("from") - F.col("p.early") - 1
     places = (zones.where("p.overlap >= need").groupBy("doc_id", "key")
-              .agg(F.collect_set(F.struct("tid", "label", (F.col("p.overlap") / F.col("size")).alias("share"), "size",
+              .agg(F.collect_set(F.struct("tid", "label", "rivals", (F.col("p.overlap") / F.col("size")).alias("share"), "size",
                                           lo.alias("lo"), (lo - F.col("p.short") - 1).alias("hi"),
                                           F.struct("p.overlap", "p.leads", "p.short").alias("fit"))).alias("all")))
     meet = lambda b, a: (b["lo"] <= a["hi"]) & (a["lo"] <= b["hi"])
     # of overlapping places of one template the best stay: the others reach into a second notice
     places = places.withColumn("all", F.filter("all", lambda a: ~F.exists("all", lambda b: (b["tid"] == a["tid"]) & meet(b, a) & (b["fit"] > a["fit"]))))
-    beats = lambda b, a: (meet(b, a)
+    beats = lambda b, a: (F.array_contains(a["rivals"], b["tid"]) & meet(b, a)
                           & ((b["share"] > a["share"]) | ((b["share"] == a["share"]) & (b["size"] > a["size"]))))
     best = places.select("doc_id", "key", F.array_max(F.transform("all", lambda a: a["share"])).alias("share"), F.array_distinct(F.transform(
         F.filter("all", lambda a: ~F.exists("all", lambda b: beats(b, a))), lambda a: a["label"])).alias("more"))
