@@ -129,6 +129,22 @@ def test_main_text_of_held_out_layouts(spark):
     assert got[2].text == got[3].text == "" and got[2].n_chars == 0
 
 
+def test_main_text_outside_blocks():
+    trees, rng, right = html_extract.fit(), random.Random(78), []
+    for _ in range(80):
+        nodes, y = html_extract.labelled(html_extract.sample_page(rng, loose=True))
+        seen = [i for i, d in enumerate(nodes) if d.tag not in html_extract._SILENT]
+        right.append((html_extract.decode(nodes, trees.score(html_extract.features(nodes)))[seen] == y[seen]).mean())
+    assert np.mean(right) > 0.93
+    one, two = "The first paragraph tells of the river, and of the old mill.", "The second one goes on, with more of the story."
+    page = f"<html><head><title>t</title></head><body><nav><ul><li><a href='/'>Menu</a></li></ul></nav><article><h1>A title</h1><p>{one}</p>"
+    pages = [f"{one}<br><br>{two}<script>x()</script>", f"<html><head><title>t</title>{one}<br>{two}", f"{page}</body></html><p>{two}</p>",
+             f"{page}<p>Take <math><mi>x</mi><mo>+</mo><mn>1</mn></math>, then <video src='v'>see the film</video>.</p></article></body></html>",
+             f"\ufeff\n{page}</article></body></html>\n"]
+    assert html_extract.extract(pages, trees) == [f"{one} {two}", f"{one} {two}", f"A title {one} {two}",
+                                                  f"A title {one} Take x+1, then see the film.", f"A title {one}"]
+
+
 def test_decoding_is_consistent():
     nodes = html_extract.parse("<div><p>a</p><div class='ad'><p>b</p></div></div>")
     kept = html_extract.decode(nodes, np.array([-9.0, 9, 9, -9, 1]))

@@ -28,9 +28,14 @@ from tierline.llm import gbt
 from tierline.llm.shared import ship
 from tierline.llm.textstats import slices
 
-_INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr "
+              # shown or fallback content that belongs to the text around it
+              "audio canvas object video math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt "
+              "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = set("script style noscript template title head textarea select svg math iframe object canvas audio video button".split())
+_SILENT = set("script style noscript template title head textarea select svg iframe button annotation annotation-xml".split())
+#: A head stays open before these.
+_HEAD = set("script style noscript template title".split())
 _CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = set("ul ol dl table body div article section main".split())
@@ -64,8 +69,17 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", "", None)
         self.links = self.silent = 0
+        #: the node that took text outside html and body
+        self.loose: Node | None = None
+
+    def _imply(self) -> None:
+        self.loose = Node("#text", "", self.at)
+        self.at.kids.append(self.loose)
+        self.at = self.loose
 
     def handle_starttag(self, tag, attrs):
+        if tag in ("html", "head", "body") and self.at is self.loose or self.at.tag == "head" and tag not in _HEAD | _VOID:
+            self.at = self.at.parent
         if tag in _VOID or tag in _INLINE:
             if tag in ("br", "img", "wbr", "hr") and tag != "wbr":
                 self.at.kids.append((" ", False))
@@ -101,6 +115,9 @@ class _Tree(HTMLParser):
             self.links = 0
         if tag in _INLINE or tag in _VOID:
             return
+        if tag in ("html", "body"):
+            # what follows still belongs to the page's open nodes
+            return
         n = self.at
         while n.parent is not None:
             if n.tag == tag:
@@ -109,6 +126,10 @@ class _Tree(HTMLParser):
             n = n.parent
 
     def handle_data(self, data):
+        if self.at.tag in ("#root", "html", "head") and data.strip().strip("\ufeff").strip():
+            if self.at.tag == "head":
+                self.at = self.at.parent
+            self._imply()
         self.at.kids.append((data, bool(self.links)))
 
 
@@ -251,8 +272,9 @@ def extract(pages: list[str], trees: gbt.Trees) -> list[str]:
 _WORDS = ["".join(p) for p in zip("lomitarenuso" * 6, "aeiouaeioua" * 7, "nrstlmdkpvb" * 7, "aeuioeauio" * 8)]
 
 
-def sample_page(rng: random.Random) -> str:
-    """A page in a random layout, whose content elements carry ``data-y``."""
+def sample_page(rng: random.Random, loose: bool = False) -> str:
+    """A page in a random layout, whose content elements carry ``data-y``;
+    with ``loose`` one whose content, or part of it, stands outside blocks."""
 
     def sentence(a=4, b=18):
         return " ".join(rng.choice(_WORDS) + rng.choice(["", "", "", ",", "%", "&amp;"]) for _ in range(rng.randint(a, b))).capitalize() + "."
@@ -317,6 +339,13 @@ def sample_page(rng: random.Random) -> str:
     if rng.random() < 0.1:
         body.append(junk("comments"))
     some = lambda kinds, p: "".join(junk(k) for k in kinds if rng.random() < p)
+    if loose:
+        gap = rng.choice(["<br><br>", "<br>\n", "\n\n", "<script>x()</script>"])
+        text = gap.join(" ".join(sentence() for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 7)))
+        text += "".join(para() for _ in range(rng.choice([0, 0, 2])))
+        before, after = some(["notice", "header", "nav"], 0.2), some(["comments", "side", "ad", "footer"], 0.2)
+        return rng.choice([f"{before}{text}{after}", f"{before}{text}{after}", f"<html><head><title>{sentence(1, 5)}</title></head><body data-y>{before}{text}{after}</body></html>",
+                           f"<html><body data-y>{before}{a}{''.join(body)}{z}</body></html>{text}"])
     page = (some(["notice", "header", "nav", "ad", "form"], 0.5) + a + "".join(body) + z + some(["comments", "side", "ad", "form", "notice", "footer"], 0.5))
     wrap = rng.choice(["{}", '<div id="page">{}</div>', '<div class="wrapper"><div class="row">{}</div></div>'])
     return f"<!DOCTYPE html><html><head><title>{sentence(1, 5)}</title><style>p{{}}</style></head><body>{wrap.format(page)}</body></html>"
@@ -328,6 +357,10 @@ class _Marked(_Tree):
         if any(k == "data-y" for k, _ in attrs):
             self.at.attrs += "\x00"
 
+    def _imply(self):
+        super()._imply()
+        self.at.attrs += "\x00"
+
 
 def labelled(html: str) -> tuple[list[Node], np.ndarray]:
     """Nodes of a sample page and which of them are content."""
@@ -346,12 +379,12 @@ def labelled(html: str) -> tuple[list[Node], np.ndarray]:
     return out, y
 
 
-def fit(pages: int = 400, seed: int = 5) -> gbt.Trees:
-    """Trees fitted on ``pages`` generated pages; the same at every size of
-    the input."""
+def fit(pages: int = 400, seed: int = 5, loose: int = 160) -> gbt.Trees:
+    """Trees fitted on ``pages`` generated pages and ``loose`` more with text
+    outside blocks; the same at every size of the input."""
     rng, xs, ys = random.Random(seed), [], []
-    for _ in range(pages):
-        nodes, y = labelled(sample_page(rng))
+    for i in range(pages + loose):
+        nodes, y = labelled(sample_page(rng, i >= pages))
         xs.append(features(nodes))
         ys.append(y)
     return gbt.train(np.concatenate(xs), np.concatenate(ys), trees=30, depth=5, least=5)
