@@ -319,6 +319,31 @@ def test_packing_schedule_serves_all():
         assert seen == list(range(sum(totals.values())))
 
 
+def test_packing_weights_share_one_unit_and_serve_whole_runs():
+    totals = {"a": 40_000, "b": 40_000, **{f"t{i:03}": 900 for i in range(400)}}
+    place = packing.Placement(packing.schedule(totals, 2048, {"a": 3.0, "b": 1.0}))
+    runs = [(p, q, run) for q, n in totals.items() for run, p in place.runs(q, 0, n)]
+    at = 0
+    for p, _, run in sorted(runs):
+        assert p == at
+        at += run
+    assert at == sum(totals.values())
+    # a fifth of the tokens: a and b in the ratio 3:1, the others at their own share
+    part = {k: sum(run for p, q, run in runs if p < at // 5 and q[0] == k) for k in "abt"}
+    assert 2.5 < part["a"] / part["b"] < 3.5 and 0.75 < part["t"] * 5 / (400 * 900) < 1.25
+    # runs end with a run's length, a phase or the queue
+    assert sum(run < packing.RUN for _, _, run in runs) <= len(place.phases) * len(totals)
+    plain = packing.Placement(packing.schedule(totals | {"big": 10_000_000}, 2048))
+    assert max(len(list(plain.runs(q, 0, 900))) for q in totals if q[0] == "t") <= 4
+
+
+def test_packing_weight_of_a_source_outside_the_largest(spark):
+    rows = [(i, " ".join(["word"] * 300), f"big{i % 3}") for i in range(12)] + [(100, "one small text", "small")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(d, P.path("word_bpe_49k.json"), 1, length=64, window_sequences=2, weights={"small": 0.0}, max_queues=2).collect()
+    assert max(got, key=lambda r: (r.sequence_id, r.offset)).doc_id == 100
+
+
 def test_site_posteriors_shrink(spark):
     rows = [("h1", "p", 4.0)] * 200 + [("h2", "p", -4.0)] * 200 + [("h3", None, -4.0)]
     got = {r.h_: r for r in site_bayes.site_posteriors(spark.createDataFrame(rows, "host string, path string, doc_logit double")).collect()}

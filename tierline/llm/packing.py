@@ -2,10 +2,12 @@
 
 Each source is a queue of documents.  Deficit round-robin serves the queues
 in rounds of ``window`` tokens: in every round a queue is credited its share
-of the window and is served the whole tokens of its credit; the fraction it
-is owed is carried to the next round.  With shares equal to the queues' own
+of the window and is served as many runs of ``RUN`` tokens as its credit covers; what
+it is owed beyond is carried to the next round.  With shares equal to the queues' own
 totals all queues run dry together, so after ``r`` of ``R`` rounds a queue of
-``T`` tokens has been served ``floor(r*T/R)``.  That closed form gives the
+``T`` tokens has been credited ``floor(r*T/R)``; credit starts at a part of a
+run that depends on the queue, so that small queues do not all wait for the
+same round.  That closed form gives the
 place of any token from the token counts before it, so rounds, windows and
 partitions need no sequential pass and the carried deficits are exact across
 partitions.  With other weights a queue may run dry early; the rounds then
@@ -32,6 +34,8 @@ IDS = "part int, queue string, doc_id long, n long, local_start long, ids binary
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
 REST = "\x00rest"
+#: Fixed value: a queue is served whole runs of so many tokens, its last one excepted.
+RUN = 256
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str = "source") -> DataFrame:
@@ -73,9 +77,13 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def schedule(totals: dict[str, int], window: int, weights: dict[str, float] | None = None) -> list[tuple[int, dict[str, int]]]:
     """Phases ``(rounds, tokens served per queue)`` of the round-robin.  A
     phase ends when a queue with a share is dry; queues without a weight have
-    the share of their total."""
+    the share of their total.  The weighted queues share their totals among
+    them by weight, so both kinds of shares are in tokens; a weight of 0 is
+    served last."""
     left = {q: t for q, t in sorted(totals.items()) if t > 0}
-    share = {q: float((weights or {}).get(q, totals[q])) for q in left}
+    given = {q: float(w) for q, w in (weights or {}).items() if q in left}
+    unit = sum(left[q] for q, w in given.items() if w > 0) / (sum(given.values()) or 1.0)
+    share = {q: given[q] * unit if q in given else float(left[q]) for q in left}
     phases = []
     while left:
         live = {q: share[q] for q in left if share[q] > 0} or {q: float(left[q]) for q in left}
@@ -104,17 +112,24 @@ class Placement:
             pos += sum(served.values())
             for q, n in served.items():
                 seen[q] = seen.get(q, 0) + n
+        #: tokens of a run that a queue is credited at the start of a phase
+        self.lead = {q: zlib.crc32(q.encode()) % RUN for _, served in phases for q in served}
         self.round_at = lru_cache(4096)(self._round_at)
 
+    def _served(self, queue: str, n: int, r: int, rounds: int) -> int:
+        """Tokens served in the first ``r`` rounds of a phase, ``n`` in all."""
+        return n if r >= rounds else min(n, (r * n // rounds + self.lead[queue]) // RUN * RUN)
+
     def _round_at(self, k: int, r: int, queue: str) -> tuple[int, int, int]:
         """(place of the queue's first token in round r, its tokens before
         round r, and before round r+1), all within phase k."""
         rounds, served = self.phases[k]
-        pos = self.at[k] + sum(r * n // rounds for n in served.values())
+        pos = self.at[k] + sum(self._served(q, n, r, rounds) for q, n in served.items())
         for q, n in served.items():
+            lo, hi = self._served(q, n, r, rounds), self._served(q, n, r + 1, rounds)
             if q == queue:
-                return pos, r * n // rounds, (r + 1) * n // rounds
-            pos += (r + 1) * n // rounds - r * n // rounds
+                return pos, lo, hi
+            pos += hi - lo
         raise KeyError(queue)
 
     def runs(self, queue: str, first: int, n: int):
@@ -125,7 +140,8 @@ class Placement:
                 k += 1
             rounds, served = self.phases[k]
             j = first - self.before[k].get(queue, 0)
-            r = -(-(j + 1) * rounds // served[queue]) - 1
+            # the first round by whose end the token's run is credited
+            r = min(rounds, -(-((j // RUN + 1) * RUN - self.lead[queue]) * rounds // served[queue])) - 1
             pos, lo, hi = self.round_at(k, r, queue)
             take = min(n, hi - j)
             yield take, pos + j - lo
@@ -138,21 +154,25 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, wind
 
     A row per piece, with its ids (unsigned 32-bit, little-endian).  Every id
     of every row lies in exactly one piece; ``weights`` are target token
-    shares by source (default: the sources' own).  The largest
-    ``max_queues`` sources have queues of their own and the others share one.
+    shares by source, relative to each other (default: the sources' own).  The
+    sources with weights and the largest ``max_queues`` have queues of their
+    own and the others share one.
     Repeated rows are packed as often as they occur; an empty table gives
-    none.  The totals per queue (at most ``max_queues`` + 1 rows) go to the
+    none.  The totals per queue (at most ``max_queues`` + 1 rows and one per weight) go to the
     driver; ids never leave the part they were written in."""
     spark = docs.sparkSession
     ids = encode_documents(docs, vocab_path, end_id)
     # one small row per part and source
     per = staged(ids.groupBy("part", "queue").agg(F.sum("n").alias("n")), "queue-totals")
-    top = per.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue").limit(max_queues).collect()
+    own = {f"s{q}": w for q, w in (weights or {}).items()} if weights else None
+    sums = per.groupBy("queue").agg(F.sum("n").alias("n"))
+    top = sums.orderBy(F.desc("n"), "queue").limit(max_queues).collect()
+    if own:
+        top += sums.where(F.col("queue").isin(list(own))).collect()
     totals = {r.queue: int(r.n) for r in top}
     rest = int(per.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) - sum(totals.values())
     if rest:
         totals[REST] = rest
-    own = {f"s{q}": w for q, w in (weights or {}).items()} if weights else None
     plan = spark.sparkContext.broadcast(schedule(totals, length * window_sequences, own))
     known = spark.createDataFrame([(q,) for q in totals], "queue string").withColumn("own", F.lit(True))
     q = F.when(F.col("own"), F.col("queue")).otherwise(F.lit(REST))
