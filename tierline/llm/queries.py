@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tierline.llm import bpe_chunks, embed_dedup, html_extract, license_scan, ngram_join, packing, quality_rules, site_bayes, token_files, warc
+from tierline.llm import (bpe_chunks, embed_dedup, html_extract, license_scan, ngram_join, packing, periodic_runs, quality_rules, site_bayes,
+                          sphere_kmeans, token_files, url_reputation, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,19 @@ def op10_site_bayes(spark, sf_dir):
     return site_bayes.classify(docs, model).drop("text")
 
 
+def op11_host_reputation(spark, sf_dir):
+    return url_reputation.judge(_table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.collapse(_table(spark, sf_dir, "documents"))
+
+
+def op13_sphere_kmeans(spark, sf_dir):
+    return sphere_kmeans.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_collision_counting, op3_warc_chunks, op4_bpe_chunks, op5_html_trees,
-                                   op6_license_scan, op7_ngram_join, op8_quality_rules, op9_mixture_packing, op10_site_bayes)}
-ORACLE: dict[str, str] = {}
+                                   op6_license_scan, op7_ngram_join, op8_quality_rules, op9_mixture_packing, op10_site_bayes,
+                                   op11_host_reputation, op12_periodic_runs, op13_sphere_kmeans)}
+ORACLE: dict[str, str] = {"op11_host_reputation": url_reputation.oracle_sql(), "op13_sphere_kmeans": sphere_kmeans.oracle_sql()}
