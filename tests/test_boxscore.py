@@ -19,6 +19,7 @@ from tierline.plans.gold import era_bounded, player_season_context
 from tierline.plans.silver import build_silver
 from tierline.quality import checks as qc
 from tierline.quality import suite
+from tierline.sinks.layers import Layer
 from tierline.sources.landing import orphan_payloads, payload_digests, read_envelopes, read_manifests, read_seed
 
 
@@ -266,9 +267,9 @@ def test_manifest_matches_payload_and_detects_tamper(spark, landing):
 def test_build_publishes_when_green(spark, landing):
     wh = tempfile.mkdtemp(prefix="tierline-wh-")
     res = build_mod.build(spark, landing["root"], wh, seed_path=landing["seed"], corpus_season="2019")
-    assert spark.read.parquet(res.tables["dim_player_team_stint"]).count() == 12 * 2 + 2 + 3
-    assert spark.read.parquet(res.tables["bronze_team"]).count() == len(landing["teams"])
-    assert spark.read.parquet(res.tables["player_season_context"]).where("pts_rank = 1").count() >= 2
+    assert res.read(spark, "dim_player_team_stint").count() == 12 * 2 + 2 + 3
+    assert res.read(spark, "bronze_team").count() == len(landing["teams"])
+    assert res.read(spark, "player_season_context").where("pts_rank = 1").count() >= 2
 
 
 def test_build_refuses_to_publish_red_layer(spark, landing):
@@ -278,8 +279,35 @@ def test_build_refuses_to_publish_red_layer(spark, landing):
         g.write(f.read().replace(",interpolated,", ",observed,"))
     with pytest.raises(build_mod.PromotionError, match="known_trades_resolve"):
         build_mod.build(spark, landing["root"], wh, seed_path=bad_seed, corpus_season="2019")
-    assert os.path.exists(os.path.join(wh, "bronze"))
-    assert not os.path.exists(os.path.join(wh, "silver"))
+    assert Layer(spark, f"{wh}/bronze").version() == 1
+    # nothing is committed, and what was staged is gone
+    silver = Layer(spark, f"{wh}/silver")
+    assert silver.version() == 0 and silver.tables() == []
+    assert not [f for _, _, names in os.walk(f"{wh}/silver") for f in names if f.endswith(".parquet")]
+
+
+def test_gold_checks_redden_on_mutants(silver_tables):
+    fact, games = silver_tables["fact_player_game"], silver_tables["dim_game"]
+    ctx = player_season_context(fact, games)
+    red = lambda c: {r.name for r in build_mod.run_checks(suite.gold_checks(c, fact, games)) if not r.passed}
+    assert red(ctx) == set()
+    assert red(ctx.limit(0)) == {"context.season_totals"}
+    assert "context.unique" in red(ctx.unionByName(ctx.limit(1)))
+    assert red(ctx.withColumn("pts", F.col("pts") + 1)) == {"context.season_totals"}
+    assert red(ctx.withColumn("z_score", F.col("z_score") + 1)) == {"context.season_totals"}
+    assert "context.not_null" in red(ctx.withColumn("games", F.lit(None).cast("long")))
+
+
+def test_published_tables_are_documented(spark, landing):
+    from tierline.plans.docs import MODEL_DOCS
+
+    res = build_mod.build(spark, landing["root"], tempfile.mkdtemp(prefix="tierline-wh-"))
+    assert set(res.tables) == set(MODEL_DOCS)
+    for table in res.tables:
+        schema = res.read(spark, table).schema
+        assert {f.name for f in schema.fields if not f.metadata.get("comment")} == set(), table
+        assert {f.metadata.get("table_comment") for f in schema.fields} == {MODEL_DOCS[table][""]}
+        assert set(MODEL_DOCS[table]) - {""} == set(schema.names)
 
 
 # ---------------------------------------------------------------- gold

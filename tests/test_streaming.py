@@ -6,6 +6,7 @@ import tempfile
 
 from tests.fixtures import TEAM_COLUMNS, TEAMS, envelope, write_capture
 from tierline.plans.bronze import bronze, decoded, landed_envelopes
+from tierline.sinks.layers import Layer
 from tierline.streaming.incremental import recent_captures, streaming_latest, upsert_bronze
 
 
@@ -14,11 +15,11 @@ def test_stream_upsert_matches_batch_and_applies_restatement(spark, landing):
     # the orphan payload has no manifest and a stream has no manifest gate: leave it out of this copy
     shutil.copytree(landing["root"], root, dirs_exist_ok=True,
                     ignore=lambda d, names: [n for n in names if n == "capture=20260815T130000Z" and "grain=team" in d])
-    target = os.path.join(tempfile.mkdtemp(), "bronze_team")
+    target = os.path.join(tempfile.mkdtemp(), "bronze")
     ckpt = os.path.join(tempfile.mkdtemp(), "ckpt")
     q = upsert_bronze(spark, root, target, ckpt, "team")
     q.awaitTermination()
-    got = spark.read.parquet(target)
+    got = Layer(spark, target).read("bronze_team")
     batch = bronze(landed_envelopes(spark, root), "team")
     cols = sorted(batch.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
@@ -30,7 +31,7 @@ def test_stream_upsert_matches_batch_and_applies_restatement(spark, landing):
         r["VIDEO_AVAILABLE"] = 7
     write_capture(root, "2019-20", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, re))
     upsert_bronze(spark, root, target, ckpt, "team").awaitTermination()
-    after = spark.read.parquet(target)
+    after = Layer(spark, target).read("bronze_team")
     assert after.count() == batch.count()
     changed = after.where("video_available = 7").select("game_id").distinct().collect()
     assert [r.game_id for r in changed] == ["0021900001"]
@@ -57,10 +58,10 @@ def test_stream_one_file_per_batch_merges_across_batches(spark, landing):
     root = tempfile.mkdtemp(prefix="tierline-stream1-")
     shutil.copytree(landing["root"], root, dirs_exist_ok=True,
                     ignore=lambda d, names: [n for n in names if n == "capture=20260815T130000Z" and "grain=team" in d])
-    target = os.path.join(tempfile.mkdtemp(), "bronze_team")
+    target = os.path.join(tempfile.mkdtemp(), "bronze")
     ckpt = os.path.join(tempfile.mkdtemp(), "ckpt")
     upsert_bronze(spark, root, target, ckpt, "team", max_files_per_trigger=1).awaitTermination()
-    got = spark.read.parquet(target)
+    got = Layer(spark, target).read("bronze_team")
     batch = bronze(landed_envelopes(spark, root), "team")
     cols = sorted(batch.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
@@ -70,13 +71,13 @@ def test_stream_one_file_per_batch_merges_across_batches(spark, landing):
 def _same(spark, target, root):
     batch = bronze(landed_envelopes(spark, root), "team")
     cols = sorted(batch.columns)
-    got = spark.read.parquet(target).select(cols)
+    got = Layer(spark, target).read("bronze_team").select(cols)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(cols).collect()))
 
 
 def test_merge_equals_refresh_when_a_game_changes_season(spark, landing):
     root = tempfile.mkdtemp(prefix="tierline-moved-")
-    target = os.path.join(tempfile.mkdtemp(), "bronze_team")
+    target = os.path.join(tempfile.mkdtemp(), "bronze")
     ckpt = os.path.join(tempfile.mkdtemp(), "ckpt")
     old = [r for r in landing["teams"] if r["SEASON_ID"] == "22003"]
     new = [r for r in landing["teams"] if r["SEASON_ID"] == "22019"]
@@ -89,7 +90,7 @@ def test_merge_equals_refresh_when_a_game_changes_season(spark, landing):
     write_capture(root, "2004-05", "team", "20260902T000000Z", envelope(TEAM_COLUMNS, moved))
     upsert_bronze(spark, root, target, ckpt, "team").awaitTermination()
     _same(spark, target, root)
-    assert {r.season_id for r in spark.read.parquet(target).select("season_id").collect()} == {"22004", "22019"}
+    assert {r.season_id for r in Layer(spark, target).read("bronze_team").select("season_id").collect()} == {"22004", "22019"}
     # one capture stamp, two folders: the tie falls as in a refresh, whichever comes first
     tied = [{**r, "VIDEO_AVAILABLE": 5} for r in new]
     write_capture(root, "2018-19", "team", "20260901T000000Z", envelope(TEAM_COLUMNS, tied))

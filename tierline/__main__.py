@@ -1,6 +1,7 @@
-"""Command line: ``python -m tierline build|plan|bench``.
+"""Command line: ``python -m tierline build|refresh|plan``.
 
 build  --root LANDING --warehouse OUT [--seed CSV] [--corpus-season 2019]
+refresh --warehouse OUT
 plan   --root LANDING --seasons 2003-04,2019-20 [--grains player,team] [--recapture]
 """
 
@@ -20,6 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--warehouse", required=True)
     b.add_argument("--seed")
     b.add_argument("--corpus-season")
+    f = sub.add_parser("refresh", help="follow the changes of bronze into silver and gold")
+    f.add_argument("--warehouse", required=True)
     p = sub.add_parser("plan", help="expected partitions split into landed / to_issue")
     p.add_argument("--root", required=True)
     p.add_argument("--seasons", required=True)
@@ -39,10 +42,17 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps({"published": False, "layer": e.layer,
                               "failed": {r.name: r.violations for r in e.failed}}))
             return 1
-        print(json.dumps({"published": True, "tables": res.tables,
+        print(json.dumps({"published": True, "tables": res.tables, "versions": res.versions,
                           "warnings": {r.name: r.violations for rs in res.checks.values() for r in rs
                                        if r.severity == "warn" and r.violations}}))
         return 0
+    if a.cmd == "refresh":
+        from tierline.plans.refresh import refresh
+
+        rep = refresh(spark, a.warehouse)
+        print(json.dumps({"full": rep.full, "changed": rep.changed, "versions": rep.result.versions,
+                          "files_read": {t: r.files_read for t, r in rep.files.items()}}))
+        return 0
     if a.cmd == "plan":
         from tierline.plans.landing import landed_partitions, plan
 

@@ -82,6 +82,27 @@ def dim_player_team_stint(fact: DataFrame, games: DataFrame) -> DataFrame:
                      F.col("next_start").alias("first_game_new_team"))
 
 
+def player_history(bronze_player: DataFrame, games: DataFrame) -> DataFrame:
+    """What the player dimension and the stints are made of, a row per game
+    row of the player and row of the game: found by player, so that a refresh
+    reads the changed players' histories only.  ``found`` is null where the
+    game has no row."""
+    g = games.select("game_id", F.col("season_id").alias("game_season"), F.col("game_date").alias("played"), F.lit(True).alias("found"))
+    return bronze_player.select("player_id", "player_name", "team_id", "game_id", "game_date").join(g, "game_id", "left").select(
+        "player_id", "player_name", "team_id", "game_id", "game_date", "game_season", "played", "found")
+
+
+def from_history(history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``dim_player`` and ``dim_player_team_stint`` of the players in it."""
+    fact = history.select("player_id", "team_id", "game_id").distinct()
+    games = history.where("found").select("game_id", F.col("game_season").alias("season_id"), F.col("played").alias("game_date")).distinct()
+    return dim_player(history, fact, games), dim_player_team_stint(fact, games)
+
+
+def team_history(bronze_team: DataFrame) -> DataFrame:
+    return bronze_team.select("team_id", "team_name", "team_abbreviation", "game_date", "game_id")
+
+
 def build_silver(bronze_player: DataFrame, bronze_team: DataFrame) -> dict[str, DataFrame]:
     fpg = fact_player_game(bronze_player)
     ftg = fact_team_game(bronze_team)

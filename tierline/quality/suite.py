@@ -331,3 +331,21 @@ def silver_checks(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFram
         checks.append(Check("out_of_window_games", out_of_window_games(g, corpus_season)))
     return checks
 
+
+# ---------------------------------------------------------------- gold
+def gold_checks(context: DataFrame, fact_player: DataFrame, games: DataFrame) -> list[Check]:
+    """One row per season and player of the facts, whole totals, a first rank
+    in every season, and z-scores that cancel out within it."""
+    played = fact_player.join(games.select("game_id", "season_id"), "game_id")
+    expected = played.groupBy("season_id").agg(F.count_distinct("player_id").alias("players"), F.sum("pts").alias("points"))
+    got = context.groupBy(F.col("season_id").alias("s")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("pts").alias("pts"), F.min("pts_rank").alias("best"), F.max("pts_rank").alias("worst"),
+        F.sum("z_score").alias("z"))
+    totals = expected.join(got, F.col("season_id").eqNullSafe(F.col("s")), "full_outer").where(
+        distinct_from("players", "rows") | distinct_from("points", "pts") | distinct_from("best", F.lit(1))
+        | (F.col("worst") > F.col("rows")) | (F.abs("z") > F.lit(1e-6) * F.col("rows")))
+    return [
+        Check("context.season_totals", with_floor(totals.select("season_id", F.lit("season_differs").alias("violation")), context, "floor_empty_mart")),
+        Check("context.unique", unique(context, ["season_id", "player_id"])),
+        Check("context.not_null", not_null(context, ["season_id", "player_id", "games", "pts", "pts_rank", "league_avg"])),
+    ]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.contracts import ENVELOPE, MANIFEST, PARTITIONS, RUN_MANIFEST, SEED
+from tierline.sinks import storage
 
 PAYLOAD_FILES = "{payload.json,part-*.json}"
 
@@ -49,9 +50,7 @@ def _json(spark: SparkSession, schema, path: str, **options) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return storage.exists(spark, path)
 
 
 def _glob(base: str, grain: str | None) -> str:

@@ -5,11 +5,11 @@ and restatement roadmap, not built there).
   tree with the explicit envelope schema; new capture files are picked up
   exactly once (the stream checkpoint tracks seen files).
 * ``upsert_bronze`` — ``foreachBatch`` sink: decode the micro-batch, merge
-  it with the published bronze rows of the seasons it touches by
-  latest-capture-wins, cut the lineage with a reliable checkpoint, and
-  write those seasons back with dynamic partition overwrite.  State lives
-  in the table, not in the stream, so it does not grow with every key ever
-  seen; rows absent from a restated capture survive (upsert, never delete).
+  it by latest-capture-wins with the published bronze rows in the files that
+  may hold its games, and commit the result as the layer's next version.
+  State lives in the table, not in the stream, so it does not grow with every
+  key ever seen; rows absent from a restated capture survive (upsert, never
+  delete).
   A file stream sees a payload as soon as it lands, so there is no manifest
   gate here: landers must publish the payload last.  (``land_captures``
   appends its audit rows after the payloads, so a stream may read a capture
@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.contracts import BRONZE_PARTITIONS, CONTRACTS, DEFAULT_ENDPOINT, DEFAULT_SOURCE, ENVELOPE, NATURAL_KEYS
-from tierline.operators.latest import latest_per_key
+from tierline.contracts import CONTRACTS, DEFAULT_ENDPOINT, DEFAULT_SOURCE, ENVELOPE, NATURAL_KEYS
 from tierline.plans.bronze import bronze as bronze_model
 from tierline.plans.bronze import bronze_order
-from tierline.sources.landing import PAYLOAD_FILES, endpoint_root, path_exists
+from tierline.plans.build import SPECS
+from tierline.sinks.layers import Layer, MergeReport
+from tierline.sources.landing import PAYLOAD_FILES, endpoint_root
 
 
 def stream_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURCE,
@@ -46,55 +47,44 @@ def stream_envelopes(spark: SparkSession, root: str, source: str = DEFAULT_SOURC
     return r.json(glob).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _seasons(df: DataFrame) -> set[str | None]:
-    """The distinct season_ids: at most one entry per partition folder."""
-    return {r.season_id for r in df.select("season_id").distinct().collect()}
-
-
-def _drop_partition(spark: SparkSession, target: str, season: str | None) -> None:
-    jvm = spark.sparkContext._jvm
-    name = "__HIVE_DEFAULT_PARTITION__" if season is None else \
-        jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(season)
-    p = jvm.org.apache.hadoop.fs.Path(f"{target}/season_id={name}")
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def merge_into_bronze(spark: SparkSession, batch: DataFrame, target: str, grain: str) -> None:
-    """Merge one batch of envelopes into the bronze table at ``target``, laid
-    out as the build publishes it (partitioned by season_id, with the capture
-    ordering columns).  Gives what a full refresh over all captures gives.
-
-    Old versions are found by natural key, so a restated row that moves to
-    another season leaves none behind: the seasons of both versions are
-    written again, and a season left without rows is removed.  Only the key
-    columns of the whole table are read, besides the touched seasons.  A
-    replay of the batch after a failure repeats the same merge."""
-    keys = NATURAL_KEYS[grain]
+def merge_into_bronze(spark: SparkSession, batch: DataFrame, layer: str, grain: str, stream: str | None = None,
+                      epoch: int | None = None, keep: int = 10) -> MergeReport | None:
+    """Merge one batch of envelopes into the bronze layer at ``layer``, laid
+    out as the build publishes it.  Gives what a full refresh over all captures
+    gives, and writes only the files that may hold a game of the batch.
+
+    The merge is one new version of the layer: after a failure at any point
+    readers see the version before it or the one after.  The version notes the
+    last batch of the stream it holds, so a replayed batch that was committed
+    before is left out.  The newest ``keep`` versions stay, so that silver can
+    be refreshed from the one it was made from."""
+    table, note = f"bronze_{grain}", f"stream {stream}"
+    published = Layer(spark, layer)
+    done = published.note(note)
+    if epoch is not None and done is not None and done >= epoch:
+        return None
     new = bronze_model(batch, grain, provenance=True).checkpoint()  # decoded once
-    seasons = _seasons(new)
-    if not seasons:
-        return
-    if not path_exists(spark, target):
-        new.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(target)
-        return
-    current = spark.read.schema(new.schema).parquet(target)
-    seasons |= _seasons(current.join(new.select(*keys), keys, "left_semi"))
-    within = F.col("season_id").isin([s for s in seasons if s is not None])
-    old = current.where(F.col("season_id").isNull() | within if None in seasons else within)
-    # cut lineage: the write below must not read the path it replaces
-    merged = latest_per_key(old.select(*new.columns).unionByName(new), keys,
-                            bronze_order(CONTRACTS[grain], keys)).checkpoint()
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BRONZE_PARTITIONS)
-     .parquet(target))
-    for season in seasons - _seasons(merged):
-        _drop_partition(spark, target, season)
-
-
-def upsert_bronze(spark: SparkSession, root: str, target: str, checkpoint: str, grain: str,
+    if new.isEmpty():
+        return None
+    change, keys = published.begin(), NATURAL_KEYS[grain]
+    if table in change.entries:
+        report = change.merge(table, new, keys, bronze_order(CONTRACTS[grain], keys))
+    else:
+        change.put(table, new, SPECS[table])
+        report = None
+    change.commit(**({note: epoch} if epoch is not None else {}))
+    published.retire(keep)
+    return report
+
+
+def upsert_bronze(spark: SparkSession, root: str, layer: str, checkpoint: str, grain: str,
                   available_now: bool = True, **kw) -> StreamingQuery:
+    """A file stream merged into the bronze layer batch by batch.  The two
+    grains are tables of one layer, which has one writer at a time: run their
+    streams one after the other, or over layers of their own."""
     stream = stream_envelopes(spark, root, grain=grain, **kw)
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, _epoch: merge_into_bronze(spark, df, target, grain))
+        lambda df, epoch: merge_into_bronze(spark, df, layer, grain, checkpoint, epoch) and None)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
