@@ -42,7 +42,6 @@ def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     got = token_files.token_files(docs, P.path("byte_bpe_50k.json")).orderBy("start").collect()
     assert len(got) == docs.count() and got[0].doc_id is None
     at, text = 0, dict(enumerate(TEXTS)) | {None: "no id"}
@@ -295,7 +294,6 @@ def test_packing(spark, docs, empty):
 
     path = P.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     for weights in (None, {"a": 3.0, "b": 1.0}):
         got = packing.pack(docs, path, 1, length=64, window_sequences=2, weights=weights).orderBy("sequence_id", "offset").collect()
         at = 0
@@ -314,36 +312,96 @@ def test_packing_schedule_serves_all():
     for weights in (None, {"a": 1.0, "c": 1.0}, {"a": 0.0}):
         phases = packing.schedule(totals, 128, weights)
         assert {q: sum(s.get(q, 0) for _, s in phases) for q in totals} == totals
-        place = packing.Placement(phases)
-        seen = sorted(p + i for q, n in totals.items() for run, p in place.runs(q, 0, n) for i in range(run))
-        assert seen == list(range(sum(totals.values())))
+        for parts in packing.timetable(phases, totals).values():
+            assert parts[0][0] == 0 and parts[-1][1] == 1 and all(x[1] == y[0] and x[2] + x[3] <= y[2] for x, y in zip(parts, parts[1:]))
+
+
+def _served(spark, totals, window, weights=None):
+    """``(place, queue, tokens)`` of all runs, in order."""
+    from pyspark.sql import functions as F
+
+    groups = {}
+    for q, n in totals.items():
+        groups[q if q in (weights or {}) else packing.REST] = groups.get(q if q in (weights or {}) else packing.REST, 0) + n
+    times = packing.timetable(packing.schedule(groups, window, weights), groups)
+    rows = [(q, n, times[q if q in (weights or {}) else packing.REST]) for q, n in totals.items()]
+    df = spark.createDataFrame(rows, "queue string, total long, times array<struct<start: double, stop: double, first: long, rounds: long>>")
+    runs = df.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(total - 1) div {packing.RUN}"))))
+    runs = runs.select("queue", "run", packing.round_of(runs.run, runs.total, runs.queue, runs.times).alias("round"),
+                       F.least(F.lit(packing.RUN), runs.total - runs.run * packing.RUN).alias("size"))
+    sizes = {(r.queue, r.run): (r["size"], r.round) for r in runs.collect()}
+    placed = sorted((r.place, r.queue, r.run) for r in packing.placed_runs(runs).collect())
+    at, last = 0, {}
+    for place, q, run in placed:
+        assert place == at and run == last.get(q, -1) + 1
+        at, last[q] = at + sizes[q, run][0], run
+    assert at == sum(totals.values())
+    return [(p, q, sizes[q, r][0]) for p, q, r in placed]
 
 
-def test_packing_weights_share_one_unit_and_serve_whole_runs():
+def test_packing_weights_share_one_unit(spark):
     totals = {"a": 40_000, "b": 40_000, **{f"t{i:03}": 900 for i in range(400)}}
-    place = packing.Placement(packing.schedule(totals, 2048, {"a": 3.0, "b": 1.0}))
-    runs = [(p, q, run) for q, n in totals.items() for run, p in place.runs(q, 0, n)]
-    at = 0
-    for p, _, run in sorted(runs):
-        assert p == at
-        at += run
-    assert at == sum(totals.values())
+    runs = _served(spark, totals, 2048, {"a": 3.0, "b": 1.0})
+    at = sum(totals.values())
     # a fifth of the tokens: a and b in the ratio 3:1, the others at their own share
-    part = {k: sum(run for p, q, run in runs if p < at // 5 and q[0] == k) for k in "abt"}
+    part = {k: sum(n for p, q, n in runs if p < at // 5 and q[0] == k) for k in "abt"}
     assert 2.5 < part["a"] / part["b"] < 3.5 and 0.75 < part["t"] * 5 / (400 * 900) < 1.25
-    # runs end with a run's length, a phase or the queue
-    assert sum(run < packing.RUN for _, _, run in runs) <= len(place.phases) * len(totals)
-    plain = packing.Placement(packing.schedule(totals | {"big": 10_000_000}, 2048))
-    assert max(len(list(plain.runs(q, 0, 900))) for q in totals if q[0] == "t") <= 4
 
 
-def test_packing_weight_of_a_source_outside_the_largest(spark):
+def test_packing_keeps_the_proportions_of_5000_sources(spark):
+    """At every tenth of the stream each source has been served its share, a
+    run more or less, and small sources are spread over all rounds."""
+    rng = random.Random(1)
+    totals = {f"s{i}": rng.choice([3, 40, 700, 5000]) for i in range(5000)} | {"hot": 4_000_000}
+    runs, whole = _served(spark, totals, 131_072), sum(totals.values())
+    served, at, k = dict.fromkeys(totals, 0), 0, 0
+    for place, q, n in runs:
+        if place >= (k + 1) * whole / 10:
+            k += 1
+            # a round's window may be served in part
+            late = 131_072 / whole
+            assert all(abs(served[x] - t * place / whole) <= packing.RUN + t * late + 1 for x, t in totals.items())
+            small = [x for x, t in totals.items() if t == 3]
+            assert abs(sum(served[x] > 0 for x in small) / len(small) - place / whole) < 0.1
+        served[q] += n
+    assert k >= 9
+
+
+def test_packing_weight_zero_is_served_last(spark):
     rows = [(i, " ".join(["word"] * 300), f"big{i % 3}") for i in range(12)] + [(100, "one small text", "small")]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = packing.pack(d, P.path("word_bpe_49k.json"), 1, length=64, window_sequences=2, weights={"small": 0.0}, max_queues=2).collect()
+    got = packing.pack(d, P.path("word_bpe_49k.json"), 1, length=64, window_sequences=2, weights={"small": 0.0, "nowhere": 2.0}).collect()
     assert max(got, key=lambda r: (r.sequence_id, r.offset)).doc_id == 100
 
 
+def test_packing_32_bit_ids(spark, docs, monkeypatch):
+    path = P.path("word_bpe_49k.json")
+    narrow = packing.pack(docs, path, 1).collect()
+    monkeypatch.setattr(packing, "id_type", lambda vocab: np.dtype("<u4"))
+    assert sorted(packing.pack(docs, path, 1).collect(), key=str) == sorted(narrow, key=str)
+
+
+WORDS = ["Plain", "word.", "don't", "it's", "'s", "(a)", "x1y22", "naïve", "ÀÉÎ", "straße", "İstanbul", "cafe\u0301", "ﬁn", "µm", "\u00a0a", "a\u2009b", "1,000.50",
+         "<|endoftext|>", "a<|endoftext|>b", "</w>", "</w></w>", "漢字", "🙂🙂", "\u0301", "Ω", "ǅ", "\x7f", "a\x00b", "×÷", "E=mc²", "…", "'", "''", "I'LL", "we'Ll"]
+
+
+@pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_units_as_the_library_encodes(name, spaces):
+    """Joined units and their parting, against whole texts encoded at once."""
+    from tokenizers import Tokenizer
+
+    from tierline.llm.units import UnitEncoder
+
+    rng, tok = random.Random(2), Tokenizer.from_file(P.path(name))
+    enc = UnitEncoder(P.path(name), spaces, cache_units=50)
+    texts = WORDS + [rng.choice([" ", "  ", "\n", " \t"]).join(rng.choice(WORDS) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    for _ in range(2):
+        ids, counts = enc.encode(texts)
+        ends = np.cumsum(counts)
+        for t, a, b in zip(texts, ends - counts, ends):
+            assert ids[a:b].tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_site_posteriors_shrink(spark):
     rows = [("h1", "p", 4.0)] * 200 + [("h2", "p", -4.0)] * 200 + [("h3", None, -4.0)]
     got = {r.h_: r for r in site_bayes.site_posteriors(spark.createDataFrame(rows, "host string, path string, doc_logit double")).collect()}

@@ -1,77 +1,95 @@
 """Mixture-controlled packing (operator 9).
 
-Each source is a queue of documents.  Deficit round-robin serves the queues
-in rounds of ``window`` tokens: in every round a queue is credited its share
-of the window and is served as many runs of ``RUN`` tokens as its credit covers; what
-it is owed beyond is carried to the next round.  With shares equal to the queues' own
-totals all queues run dry together, so after ``r`` of ``R`` rounds a queue of
-``T`` tokens has been credited ``floor(r*T/R)``; credit starts at a part of a
-run that depends on the queue, so that small queues do not all wait for the
-same round.  That closed form gives the
-place of any token from the token counts before it, so rounds, windows and
-partitions need no sequential pass and the carried deficits are exact across
-partitions.  With other weights a queue may run dry early; the rounds then
-fall into phases, each with its own closed form.
-
-The stream of served tokens is cut every ``length`` tokens into sequences.
-Only the last one is short; it is padded to a power of two.
+Each source is a queue of documents, served in runs of ``RUN`` tokens.
+Deficit round-robin credits every queue its share of a round's window of
+tokens, serves a run once the queue's credit covers it, and carries the rest
+to the next round.  With shares equal to the queues' own totals all queues run
+dry together, and a run's round follows from its place in the queue alone: the
+credit reaches token ``t`` of ``T`` after that share of all rounds.  (A queue
+starts with credit for a part of a run that depends on its name, so that small
+queues do not all wait for the same round.)  Other weights make the rounds
+fall into phases, which end as a weighted queue runs dry; sources without a
+weight then share one group's part of the phases, each in proportion to its
+own total.
+
+So every run gets its round by itself, in the task that holds its document,
+whatever the number of sources.  Runs are ordered by round, source and place;
+their places in the packed stream are prefix sums, taken over rounds, over
+blocks of rounds and within a round, so no task sees them all, and the carried
+deficits hold across windows and partitions.
+
+The stream is cut every ``length`` tokens into sequences.  Only the last one
+is short; it is padded to a power of two.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.shared import ship, staged
 from tierline.llm.units import encoder
 
-IDS = "part int, queue string, doc_id long, n long, local_start long, ids binary"
+IDS = "part int, row long, queue string, doc_id long, n long, local_start long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
-REST = "\x00rest"
+#: All sources without a weight, as one queue of the schedule.
+REST = ""
 #: Fixed value: a queue is served whole runs of so many tokens, its last one excepted.
 RUN = 256
+#: Rounds whose starts one task sums up.
+BLOCK = 4096
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str = "source") -> DataFrame:
-    """Token ids (unsigned 32-bit) of each document, kept in the shared
-    folder.  ``local_start`` counts the tokens of the same source before it
-    in the same part.  Null text is empty; a null source is a queue."""
+    """Token ids of each document, kept in the shared folder in 16 bits where
+    the vocabulary allows it and 32 else.  ``row`` numbers the rows of a part;
+    ``local_start`` counts the tokens of the same source before it in the same
+    part.  Null text is empty; a null source is a queue."""
     ship(docs.sparkSession)
 
     def run(batches):
         from pyspark import TaskContext
 
-        enc, part, seen = encoder(vocab_path, False), TaskContext.get().partitionId(), {}
+        enc, part, seen, row = encoder(vocab_path, False), TaskContext.get().partitionId(), {}, 0
+        kind = id_type(enc.vocab)
         for b in batches:
             texts, ids_col, src = b.column("text"), b.column("doc_id").to_pylist(), b.column("queue").to_pylist()
             for at, n, ids, counts in enc.encode_rows(texts):
-                rows, end = [], 0
-                for i in range(n):
-                    own = np.append(ids[end:end + counts[i]], np.uint32(end_id)).astype("<u4")
-                    end += int(counts[i])
-                    q = src[at + i]
-                    rows.append((part, q, ids_col[at + i], len(own), seen.get(q, 0), own.tobytes()))
-                    seen[q] = seen.get(q, 0) + len(own)
-                yield _rows(rows, IDS)
+                ends = np.cumsum(counts)
+                raw = np.insert(ids, ends, end_id).astype(kind).tobytes()
+                sizes = (counts + 1).tolist()
+                stops = (np.cumsum(counts + 1) * kind.itemsize).tolist()
+                starts, names, first = [], src[at:at + n], 0
+                for q, k in zip(names, sizes):
+                    starts.append(seen.get(q, 0))
+                    seen[q] = starts[-1] + k
+                cells = []
+                for stop in stops:
+                    cells.append(raw[first:stop])
+                    first = stop
+                yield _batch([[part] * n, list(range(row, row + n)), names, ids_col[at:at + n], sizes, starts, cells], IDS)
+                row += n
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("queue"))
     return staged(d.mapInArrow(run, IDS), "packed-ids")
 
 
+def id_type(vocab: int) -> np.dtype:
+    return np.dtype("<u2" if vocab <= 1 << 16 else "<u4")
+
+
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
-def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = [f.split() for f in schema.split(", ")]
-    cols = list(zip(*rows)) if rows else [[] for _ in kinds]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), _ARROW[k]) for c, (_, k) in zip(cols, kinds)], [n for n, _ in kinds])
+def _batch(columns: list[list], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(f.split() for f in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, k in zip(columns, kinds)], list(names))
 
 
 def schedule(totals: dict[str, int], window: int, weights: dict[str, float] | None = None) -> list[tuple[int, dict[str, int]]]:
@@ -88,8 +106,9 @@ def schedule(totals: dict[str, int], window: int, weights: dict[str, float] | No
     while left:
         live = {q: share[q] for q in left if share[q] > 0} or {q: float(left[q]) for q in left}
         total = sum(live.values())
-        if weights is None or len(live) == 1:
-            served, rounds = dict(left), max(1, -(-sum(left.values()) // window))
+        if not given or len(live) == 1:
+            served = {q: left[q] for q in live}
+            rounds = max(1, -(-sum(served.values()) // window))
         else:
             rounds = max(1, int(min(left[q] * total / (window * w) for q, w in live.items())))
             served = {q: min(left[q], int(rounds * window * w / total)) for q, w in live.items()}
@@ -100,102 +119,116 @@ def schedule(totals: dict[str, int], window: int, weights: dict[str, float] | No
     return phases
 
 
-class Placement:
-    """Global place of a token by its queue and its number in the queue."""
-
-    def __init__(self, phases: list[tuple[int, dict[str, int]]]):
-        self.phases, self.at, self.before = phases, [], []
-        pos, seen = 0, {}
-        for _, served in phases:
-            self.at.append(pos)
-            self.before.append(dict(seen))
-            pos += sum(served.values())
-            for q, n in served.items():
-                seen[q] = seen.get(q, 0) + n
-        #: tokens of a run that a queue is credited at the start of a phase
-        self.lead = {q: zlib.crc32(q.encode()) % RUN for _, served in phases for q in served}
-        self.round_at = lru_cache(4096)(self._round_at)
-
-    def _served(self, queue: str, n: int, r: int, rounds: int) -> int:
-        """Tokens served in the first ``r`` rounds of a phase, ``n`` in all."""
-        return n if r >= rounds else min(n, (r * n // rounds + self.lead[queue]) // RUN * RUN)
-
-    def _round_at(self, k: int, r: int, queue: str) -> tuple[int, int, int]:
-        """(place of the queue's first token in round r, its tokens before
-        round r, and before round r+1), all within phase k."""
-        rounds, served = self.phases[k]
-        pos = self.at[k] + sum(self._served(q, n, r, rounds) for q, n in served.items())
+def timetable(phases: list[tuple[int, dict[str, int]]], totals: dict[str, int]) -> dict[str, list[tuple[float, float, int, int]]]:
+    """Per queue ``(share of its tokens served before, after, first round,
+    rounds)`` of each phase that serves it."""
+    out: dict[str, list[tuple[float, float, int, int]]] = {q: [] for q in totals}
+    done, at = dict.fromkeys(totals, 0), 0
+    for rounds, served in phases:
         for q, n in served.items():
-            lo, hi = self._served(q, n, r, rounds), self._served(q, n, r + 1, rounds)
-            if q == queue:
-                return pos, lo, hi
-            pos += hi - lo
-        raise KeyError(queue)
-
-    def runs(self, queue: str, first: int, n: int):
-        """``(tokens, global place)`` of consecutive runs of n tokens."""
-        k = 0
-        while n:
-            while queue not in self.phases[k][1] or first >= self.before[k].get(queue, 0) + self.phases[k][1][queue]:
-                k += 1
-            rounds, served = self.phases[k]
-            j = first - self.before[k].get(queue, 0)
-            # the first round by whose end the token's run is credited
-            r = min(rounds, -(-((j // RUN + 1) * RUN - self.lead[queue]) * rounds // served[queue])) - 1
-            pos, lo, hi = self.round_at(k, r, queue)
-            take = min(n, hi - j)
-            yield take, pos + j - lo
-            first, n = first + take, n - take
+            out[q].append((done[q] / totals[q], (done[q] + n) / totals[q], at, rounds))
+            done[q] += n
+        at += rounds
+    return out
+
+
+def round_of(run: Column, total: Column, queue: Column, times: Column) -> Column:
+    """Round of a run of a queue: that in which the credit reaches the run's
+    own part of its tokens.  Doubles are monotonous, so runs of one queue keep
+    their order, and any rounding moves a run by one round at most."""
+    size = F.least(F.lit(RUN), total - run * RUN)
+    # the queue's lead, the same for all its runs
+    lead = F.crc32(queue.cast("binary")) % RUN / F.lit(float(RUN))
+    share = (run * RUN + size * lead) / total
+    phase = F.get(F.filter(times, lambda p: (share < p["stop"]) | (p["stop"] >= 1)), F.lit(0))
+    within = F.greatest(F.lit(0.0), (share - phase["start"]) / (phase["stop"] - phase["start"]))
+    return phase["first"] + F.least(phase["rounds"] - 1, F.floor(within * phase["rounds"]))
+
+
+def placed_runs(runs: DataFrame) -> DataFrame:
+    """``queue, run, place`` of ``runs(queue, run, round, size)``: the tokens
+    of all runs before it, by round, queue and run.  A round holds a window of
+    tokens; a block ``BLOCK`` rounds; blocks are one row each."""
+    runs = staged(runs, "packed-runs")
+    rounds = staged(runs.groupBy("round").agg(F.sum("size").alias("tokens")).withColumn("block", F.expr(f"round div {BLOCK}")), "packed-rounds")
+    up_to = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rounds.groupBy("block").agg(F.sum("tokens").alias("tokens"))
+    blocks = blocks.select("block", F.coalesce(F.sum("tokens").over(up_to(Window.orderBy("block"))), F.lit(0)).alias("block_start"))
+    starts = (rounds.withColumn("before", F.coalesce(F.sum("tokens").over(up_to(Window.partitionBy("block").orderBy("round"))), F.lit(0)))
+              .join(blocks, "block").select("round", (F.col("block_start") + F.col("before")).alias("round_start")))
+    within = F.coalesce(F.sum("size").over(up_to(Window.partitionBy("round").orderBy("queue", "run"))), F.lit(0))
+    return (runs.withColumn("within", within).join(starts, "round")
+            .select("queue", "run", (F.col("round_start") + F.col("within")).alias("place")))
 
 
 def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, window_sequences: int = 64,
-         weights: dict[str, float] | None = None, max_queues: int = 1024) -> DataFrame:
+         weights: dict[str, float] | None = None) -> DataFrame:
     """Pack ``docs(doc_id, text, source)`` into sequences of ``length`` ids.
 
     A row per piece, with its ids (unsigned 32-bit, little-endian).  Every id
     of every row lies in exactly one piece; ``weights`` are target token
-    shares by source, relative to each other (default: the sources' own).  The
-    sources with weights and the largest ``max_queues`` have queues of their
-    own and the others share one.
-    Repeated rows are packed as often as they occur; an empty table gives
-    none.  The totals per queue (at most ``max_queues`` + 1 rows and one per weight) go to the
-    driver; ids never leave the part they were written in."""
+    shares by source, relative to each other (default: the sources' own).
+    Every source has a queue of its own, however many there are.  Repeated
+    rows are packed as often as they occur; an empty table gives none; other
+    columns are ignored.  The driver gets the total, and those of the sources
+    with weights; ids are shuffled once, by document."""
     spark = docs.sparkSession
     ids = encode_documents(docs, vocab_path, end_id)
-    # one small row per part and source
+    # a small row per part and source
     per = staged(ids.groupBy("part", "queue").agg(F.sum("n").alias("n")), "queue-totals")
-    own = {f"s{q}": w for q, w in (weights or {}).items()} if weights else None
-    sums = per.groupBy("queue").agg(F.sum("n").alias("n"))
-    top = sums.orderBy(F.desc("n"), "queue").limit(max_queues).collect()
-    if own:
-        top += sums.where(F.col("queue").isin(list(own))).collect()
-    totals = {r.queue: int(r.n) for r in top}
-    rest = int(per.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) - sum(totals.values())
-    if rest:
-        totals[REST] = rest
-    plan = spark.sparkContext.broadcast(schedule(totals, length * window_sequences, own))
-    known = spark.createDataFrame([(q,) for q in totals], "queue string").withColumn("own", F.lit(True))
-    q = F.when(F.col("own"), F.col("queue")).otherwise(F.lit(REST))
-    before = Window.partitionBy("q").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
-    base = (per.join(F.broadcast(known), "queue", "left").withColumn("q", q)
-            .withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "queue", "q", "base"))
+    own = {f"s{q}": float(w) for q, w in (weights or {}).items()}
+    named = F.col("queue").isin(list(own)) if own else F.lit(False)
+    totals = {r.queue: int(r.n) for r in per.where(named).groupBy("queue").agg(F.sum("n").alias("n")).collect()} if own else {}
+    rest = int(per.where(~named).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    totals |= {REST: rest} if rest else {}
+    kept = {q: w for q, w in own.items() if q in totals}
+    times = timetable(schedule(totals, length * window_sequences, kept or None), totals)
+    table = F.broadcast(spark.createDataFrame([(q, p) for q, p in times.items()],  # a row per weight given, and one
+                                              "own string, times array<struct<start: double, stop: double, first: long, rounds: long>>"))
+    source = Window.partitionBy("queue")
+    before = source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = per.select("part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.sum("n").over(source).alias("total"))
+    first = F.col("base") + F.col("local_start")
+    meta = (ids.select("part", "row", "queue", "n", "local_start").join(base, ["part", "queue"])
+            .select("part", "row", "queue", "n", first.alias("first"), "total"))
+    runs = meta.withColumn("run", F.explode(F.sequence(F.expr(f"first div {RUN}"), F.expr(f"(first + n - 1) div {RUN}"))))
+    # a run belongs to the document with its first token
+    own_runs = runs.where(F.col("run") * RUN >= F.col("first")).join(table, F.when(named, F.col("queue")).otherwise(F.lit(REST)) == F.col("own"))
+    places = placed_runs(own_runs.select("queue", "run", round_of(F.col("run"), F.col("total"), F.col("queue"), F.col("times")).alias("round"),
+                                         F.least(F.lit(RUN), F.col("total") - F.col("run") * RUN).alias("size")))
+    lo, hi = F.greatest(F.col("run") * RUN, F.col("first")), F.least((F.col("run") + 1) * RUN, F.col("first") + F.col("n"))
+    cuts = (runs.join(places, ["queue", "run"])
+            .groupBy("part", "row").agg(F.collect_list(F.struct(
+                (lo - F.col("first")).alias("start"), (hi - lo).alias("size"), (F.col("place") + lo - F.col("run") * RUN).alias("place"))).alias("cuts")))
+    return ids.select("part", "row", "doc_id", "n", "ids").join(cuts, ["part", "row"]).select("doc_id", "n", "ids", "cuts").mapInArrow(_cut(length), PIECES)
+
+
+def _cut(length: int):
+    """Pieces of a document: its cuts, joined where they follow each other in
+    the stream, and divided at the ends of sequences."""
 
     def cut(batches):
-        place = Placement(plan.value)
         for b in batches:
-            rows = []
-            for q, d, n, first, raw in zip(*(b.column(c).to_pylist() for c in ("q", "doc_id", "n", "first", "ids"))):
-                start = 0
-                for run, pos in place.runs(q, first, n):
-                    while run:
-                        take = min(run, length - pos % length)
-                        piece = raw[4 * start:4 * (start + take)]
-                        rows.append((d, start, take, zlib.crc32(piece), n, pos // length, pos % length, piece))
-                        start, pos, run = start + take, pos + take, run - take
-                if len(rows) >= 5000:
-                    yield _rows(rows, PIECES)
-                    rows = []
-            yield _rows(rows, PIECES)
-
-    placed = ids.join(base, ["part", "queue"]).select("q", "doc_id", "n", (F.col("base") + F.col("local_start")).alias("first"), "ids")
-    return placed.mapInArrow(cut, PIECES)
+            out: list[list] = [[] for _ in range(8)]
+            for d, n, raw, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "ids", "cuts"))):
+                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
+                cuts = sorted((c["start"], c["size"], c["place"]) for c in cuts)
+                i = 0
+                while i < len(cuts):
+                    start, size, place = cuts[i]
+                    i += 1
+                    while i < len(cuts) and cuts[i][2] == place + size:
+                        size += cuts[i][1]
+                        i += 1
+                    while size:
+                        take = min(size, length - place % length)
+                        piece = ids[4 * start:4 * (start + take)]
+                        for column, value in zip(out, (d, start, take, zlib.crc32(piece), n, place // length, place % length, piece)):
+                            column.append(value)
+                        start, place, size = start + take, place + take, size - take
+                if len(out[0]) >= 5000:
+                    yield _batch(out, PIECES)
+                    out = [[] for _ in range(8)]
+            yield _batch(out, PIECES)
+
+    return cut

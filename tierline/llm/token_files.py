@@ -176,8 +176,7 @@ def write_token_files(docs: DataFrame, vocab_path: str, folder: str, end_id: int
                 "n_docs": pa.array([writer.n_docs], pa.int64()), "n_tokens": pa.array([writer.n_ids], pa.int64())})
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-               .select("doc_id", "text"))
+               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
     return staged(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 

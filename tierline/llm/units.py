@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 #: A space and then neither white space nor control characters.
 _PLAIN = re.compile(r" [^\s\x00-\x1f\x7f-\xa0]+")
+#: Characters that keep their number of bytes when a word tokenizer normalises them.
+_PLAIN_WORD = re.compile(r"[!-~\xc0-\xff]+")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -55,29 +57,31 @@ class UnitEncoder:
         #: the vocabulary's special tokens, which the library finds in the text; none holds a space
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)) if added else None
-        #: bytes of text that each id stands for, where units can be told apart by them
-        self.id_bytes = self._id_bytes() if spaces else None
+        #: bytes of text that each id stands for, by which the ids of joined units are told apart
+        self.id_bytes = self._id_bytes()
+        self.plain = _PLAIN if spaces else _PLAIN_WORD
 
     def _id_bytes(self) -> np.ndarray:
-        """A byte-level token has one character per byte it stands for."""
+        """A token has one character per byte it stands for, and the mark of a
+        word's end where it ends one."""
+        end = getattr(self.tok.model, "end_of_word_suffix", None) or ""
         out = np.zeros(self.vocab, np.int64)
         for token, i in self.tok.get_vocab(with_added_tokens=True).items():
-            out[i] = len(token)
+            out[i] = len(token.removesuffix(end))
         return out
 
-    def _keep(self, unit: str, ids: bytes) -> None:
-        if len(unit) > self.unit_chars:
-            return
+    def _keep(self, units: list[str], runs: list[bytes]) -> None:
         if len(self.cache) >= self.cache_units:
             self.cache, self.older = {}, self.cache
-        self.cache[unit] = ids
+        self.cache.update((u, r) for u, r in zip(units, runs) if len(u) <= self.unit_chars)
 
     def _joined(self, units: list[str]) -> list[bytes] | None:
-        """Ids of units that each start with their only space, encoded as one
-        text and parted where the bytes of a unit end; None where the ids do
-        not end with the units."""
-        ids = np.array(self.tok.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.cumsum([len(u.encode()) for u in units])
+        """Ids of units without white space, but for the space that a unit of
+        byte level starts with, encoded as one text and parted where the bytes
+        of a unit end; None where the ids do not end with the units."""
+        text = ("" if self.spaces else " ").join(units)
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
         done = np.cumsum(self.id_bytes[ids])
         cut = np.searchsorted(done, ends)
         if not len(ids) or done[-1] != ends[-1] or (done[cut] != ends).any():
@@ -88,13 +92,12 @@ class UnitEncoder:
     def _fresh(self, units: list[str]) -> list[bytes]:
         """Ids of units that no cache holds."""
         out: list[bytes | None] = [None] * len(units)
-        if self.id_bytes is not None:
-            # byte counts need not hold for units with a special token
-            plain = [i for i, u in enumerate(units) if _PLAIN.fullmatch(u) and not (self.added and self.added.search(u))]
-            for k in range(0, len(plain), 2000):
-                part = plain[k:k + 2000]
-                for i, r in zip(part, self._joined([units[j] for j in part]) or ()):
-                    out[i] = r
+        # byte counts need not hold for units with a special token
+        plain = [i for i, u in enumerate(units) if self.plain.fullmatch(u) and not (self.added and self.added.search(u))]
+        for k in range(0, len(plain), 2000):
+            part = plain[k:k + 2000]
+            for i, r in zip(part, self._joined([units[j] for j in part]) or ()):
+                out[i] = r
         rest = [i for i, r in enumerate(out) if r is None]
         for k in range(0, len(rest), 20_000):
             part = rest[k:k + 20_000]
@@ -103,19 +106,19 @@ class UnitEncoder:
         return out
 
     def _runs(self, units: list[str]) -> list[bytes]:
-        got, miss = [], []
-        for i, u in enumerate(units):
-            r = self.cache.get(u)
-            if r is None:
-                r = self.older.get(u)
-                if r is None:
-                    miss.append(i)
-                else:
-                    self._keep(u, r)
-            got.append(r)
-        for i, r in zip(miss, self._fresh([units[i] for i in miss])):
+        got = list(map(self.cache.get, units))
+        miss = [i for i, r in enumerate(got) if r is None]
+        if miss and self.older:
+            again = [(i, r) for i in miss if (r := self.older.get(units[i])) is not None]
+            for i, r in again:
+                got[i] = r
+            self._keep([units[i] for i, _ in again], [r for _, r in again])
+            miss = [i for i in miss if got[i] is None]
+        names = [units[i] for i in miss]
+        runs = self._fresh(names)
+        for i, r in zip(miss, runs):
             got[i] = r
-            self._keep(units[i], r)
+        self._keep(names, runs)
         return got
 
     def _table(self, units: list[str]):
