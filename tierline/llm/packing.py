@@ -37,6 +37,7 @@ from tierline.llm.units import encoder
 IDS = "part int, row long, queue string, doc_id long, n long, local_start long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
+PHASE = [("start", "double"), ("stop", "double"), ("first", "long"), ("rounds", "long")]
 #: All sources without a weight, as one queue of the schedule.
 REST = ""
 #: Fixed value: a queue is served whole runs of so many tokens, its last one excepted.
@@ -183,8 +184,11 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, wind
     totals |= {REST: rest} if rest else {}
     kept = {q: w for q, w in own.items() if q in totals}
     times = timetable(schedule(totals, length * window_sequences, kept or None), totals)
-    table = F.broadcast(spark.createDataFrame([(q, p) for q, p in times.items()],  # a row per weight given, and one
-                                              "own string, times array<struct<start: double, stop: double, first: long, rounds: long>>"))
+    # an entry per weight given, and one
+    entries = {q: F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, (k, t) in zip(p, PHASE)]) for p in parts]) for q, parts in times.items()}
+    phases = entries.get(REST, F.lit(None).cast("array<struct<start: double, stop: double, first: long, rounds: long>>"))
+    for q in kept:
+        phases = F.when(F.col("queue") == q, entries[q]).otherwise(phases)
     source = Window.partitionBy("queue")
     before = source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per.select("part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.sum("n").over(source).alias("total"))
@@ -193,8 +197,8 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, wind
             .select("part", "row", "queue", "n", first.alias("first"), "total"))
     runs = meta.withColumn("run", F.explode(F.sequence(F.expr(f"first div {RUN}"), F.expr(f"(first + n - 1) div {RUN}"))))
     # a run belongs to the document with its first token
-    own_runs = runs.where(F.col("run") * RUN >= F.col("first")).join(table, F.when(named, F.col("queue")).otherwise(F.lit(REST)) == F.col("own"))
-    places = placed_runs(own_runs.select("queue", "run", round_of(F.col("run"), F.col("total"), F.col("queue"), F.col("times")).alias("round"),
+    own_runs = runs.where(F.col("run") * RUN >= F.col("first"))
+    places = placed_runs(own_runs.select("queue", "run", round_of(F.col("run"), F.col("total"), F.col("queue"), phases).alias("round"),
                                          F.least(F.lit(RUN), F.col("total") - F.col("run") * RUN).alias("size")))
     lo, hi = F.greatest(F.col("run") * RUN, F.col("first")), F.least((F.col("run") + 1) * RUN, F.col("first") + F.col("n"))
     cuts = (runs.join(places, ["queue", "run"])
