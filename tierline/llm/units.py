@@ -28,9 +28,11 @@ _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029
 _PLAIN = re.compile(r" [^\s\x00-\x1f\x7f-\xa0]+")
 #: Characters that keep their number of bytes when a word tokenizer normalises them.
 _PLAIN_WORD = re.compile(r"[!-~\xc0-\xff]+")
-#: Letters that both patterns take as one piece; a mark after them is a piece of its own.
-_LETTERS = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: Letters that both patterns take as one piece, and a mark that is a piece of its own (RE2 syntax).
+_PIECE = r"^ [A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+[.,;:!?]?$"
+_MARK = r"[.,;:!?]$"
 _MARKS = frozenset(".,;:!?")
+_NONE, _SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -50,9 +52,13 @@ class UnitEncoder:
     def __init__(self, path: str, spaces: bool, cache_units: int = 250_000, unit_chars: int = 64):
         # Spark already runs a task per core; the library's own threads only add to the CPU time
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        #: the same model for words of letters, which the normaliser and the pattern leave whole
+        self.words = Tokenizer(self.tok.model)
+        cut = pre_tokenizers.Split(" ", "merged_with_next") if spaces else pre_tokenizers.WhitespaceSplit()
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([cut, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.spaces, self.cache_units, self.unit_chars = spaces, cache_units, unit_chars
         #: units met lately and those met before them; a unit met again moves up
@@ -111,19 +117,6 @@ class UnitEncoder:
                 out[i] = array("I", enc.ids).tobytes()
         return out
 
-    def _runs(self, units: list[str]) -> list[bytes]:
-        """Ids of units: a mark after letters counts as a unit, and where the
-        tokenizer lowers words, so do the lower-case letters."""
-        stems, marks = [], []
-        for u in units:
-            mark = u[-1:] if u[-1:] in _MARKS and _LETTERS.fullmatch(u, 0, len(u) - 1) else ""
-            stem = u[:-1] if mark else u
-            stems.append(stem.lower() if self.lowers and (mark or _LETTERS.fullmatch(stem)) else stem)
-            marks.append(mark)
-        names = list(dict.fromkeys(stems + marks))
-        run = dict(zip(names, self._cached(names)))
-        return [run[s] + run[m] if m else run[s] for s, m in zip(stems, marks)]
-
     def _cached(self, units: list[str]) -> list[bytes]:
         got = list(map(self.cache.get, units))
         miss = [i for i, r in enumerate(got) if r is None]
@@ -140,10 +133,61 @@ class UnitEncoder:
         self._keep(names, runs)
         return got
 
-    def _table(self, units: list[str]):
-        runs = self._runs(units)
-        lens = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-        return np.frombuffer(b"".join(runs), np.uint32), np.cumsum(lens) - lens, lens
+    def _stems(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(flat ids, first id, ids) of units of letters alone, each distinct
+        one encoded once: joined, and parted where their bytes end."""
+        sep = "" if self.spaces else " "
+        flat, starts, lens, base = [], [], [], 0
+        for k in range(0, len(units), 4000):
+            part = units.slice(k, 4000)
+            ids = np.array(self.words.encode_batch_fast([sep.join(part.to_pylist())], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False))
+            done = np.cumsum(self.id_bytes[ids])
+            cut = np.searchsorted(done, ends) + 1
+            if not len(ids) or done[-1] != ends[-1] or (done[cut - 1] != ends).any():
+                return None
+            flat.append(ids)
+            first = np.concatenate([[0], cut[:-1]])
+            starts.append(base + first)
+            lens.append(cut - first)
+            base += len(ids)
+        empty = np.zeros(0, np.int64)
+        return np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([empty, *starts]), np.concatenate([empty, *lens])
+
+    def _table(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, first id, ids) per unit.  A unit of letters with or
+        without one mark after them is taken apart in Arrow, and where the
+        tokenizer lowers words, so are its letters; the others go to the
+        library by way of the cache."""
+        n = len(units)
+        plain = pc.match_substring_regex(units, _PIECE if self.spaces else _PIECE.replace("^ ", "^")).to_numpy(zero_copy_only=False)
+        which = np.flatnonzero(plain)
+        part = units.take(pa.array(which))
+        marked = pc.match_substring_regex(part, _MARK).to_numpy(zero_copy_only=False)
+        stems = pc.utf8_rtrim(part, ".,;:!?")
+        stems = (pc.utf8_lower(stems) if self.lowers else stems).dictionary_encode()
+        got = self._stems(stems.dictionary)
+        if got is None:
+            which, marked = which[:0], marked[:0]
+        rest = np.setdiff1d(np.arange(n), which, assume_unique=True)
+        marks = sorted(_MARKS)
+        runs = self._cached(marks + units.take(pa.array(rest)).to_pylist())
+        size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        tail = np.frombuffer(b"".join(runs), np.uint32)
+        at = np.cumsum(size) - size
+        # two runs a unit: its letters or all of it, and its mark or nothing
+        first, count = np.zeros((n, 2), np.int64), np.zeros((n, 2), np.int64)
+        flat = tail
+        if len(which):
+            ids, starts, lens = got
+            flat = np.concatenate([tail, ids])
+            code = stems.indices.to_numpy(zero_copy_only=False)
+            first[which, 0], count[which, 0] = len(tail) + starts[code], lens[code]
+            last = pc.index_in(pc.utf8_slice_codeunits(part.filter(pa.array(marked)), -1), pa.array(marks, pa.large_string())).to_numpy(zero_copy_only=False).astype(np.int64)
+            first[which[marked], 1], count[which[marked], 1] = at[last], size[last]
+        first[rest, 0], count[rest, 0] = at[len(marks):], size[len(marks):]
+        lens = count.sum(1)
+        return gather_runs(flat, first.ravel(), count.ravel()), np.cumsum(lens) - lens, lens
 
     def _split(self, texts: pa.Array):
         """(flat ids, ids per text) of texts that may be cut at every space."""
@@ -151,7 +195,7 @@ class UnitEncoder:
         offsets = lists.offsets.to_numpy().astype(np.int64)
         dic = lists.values.dictionary_encode()
         code = dic.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = dic.dictionary.to_pylist()
+        words = dic.dictionary
         offsets, code = offsets - offsets[0], code[offsets[0]:offsets[-1]]
         if self.spaces:
             first = np.zeros(len(code), bool)
@@ -160,7 +204,7 @@ class UnitEncoder:
             used = np.zeros(2 * len(words), bool)
             used[code] = True
             keys = np.flatnonzero(used)
-            units = [" " + words[k] if k < len(words) else words[k - len(words)] for k in keys.tolist()]
+            units = pa.chunked_array([pc.binary_join_element_wise(_NONE, words, _SPACE), words]).combine_chunks().take(pa.array(keys))
             code = (np.cumsum(used) - 1)[code]
         else:
             units = words
@@ -196,7 +240,7 @@ class UnitEncoder:
             ids, counts[plain] = self._split(arr.take(pa.array(plain)))
             parts.append(ids)
         cut = [_SAFE_CUT.split(t) for t in arr.take(pa.array(rest)).to_pylist()]
-        flat, starts, lens = self._table([u for c in cut for u in c])
+        flat, starts, lens = self._table(pa.array([u for c in cut for u in c], pa.large_string()))
         sizes = np.array([len(c) for c in cut])
         counts[rest] = np.diff(np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(sizes)])])
         parts.append(flat)
@@ -217,7 +261,7 @@ class UnitEncoder:
             at = m.start()
         yield text[at:]
 
-    def encode_rows(self, texts: pa.Array, most: int = 6_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def encode_rows(self, texts: pa.Array, most: int = 12_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(first row, rows, ids, ids per row)`` over slices of about
         ``most`` bytes; a longer text is encoded in pieces."""
         size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
