@@ -420,6 +420,40 @@ def test_classifier(spark, docs, empty):
     assert site_bayes.classify(empty, None).count() == 0
 
 
+CLASH = "kept n_words n_docs text_ id_ hash_ order_ nth_ own0 host path h_ p_ doc_logit score base_failed queue component_id first".split()
+
+
+def test_pipeline_stages_leave_columns_of_any_name_as_they_are(spark, tmp_path):
+    import corpus_pipeline as C
+
+    good = "The quiet river runs past the old mill and on to the sea. "
+    rows = [(i, good * 3 + f"{i} " + " ".join(f"w{i}x{j}" for j in range(60)) if i % 4 else "BUY!! ### $$$ " * 9, f"s{i % 3}", "en", 0) for i in range(60)]
+    rows += [rows[5], (90, rows[6][1], "s0", "en", 0), (None, None, None, None, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(40)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    from pyspark.sql import functions as F
+
+    docs = plain.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASH])
+    for name, stage in C.STAGES[:-1]:
+        a = stage(spark, plain, str(tmp_path))
+        docs_out = stage(spark, docs, str(tmp_path))
+        assert docs_out.columns == docs.columns and a.columns == plain.columns
+        got = docs_out.collect()
+        assert sorted((str(tuple(r[:5])) for r in got)) == sorted(str(tuple(r)) for r in a.collect()), name
+        assert all(r[c] == f"{c} {'-' if r.doc_id is None else r.doc_id}" for r in got for c in CLASH), name
+        plain, docs = spark.createDataFrame(a.collect(), a.schema), spark.createDataFrame(got, docs.schema)
+    assert 30 < docs.count() < 60
+    assert C.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
+
+
+def test_a_repeated_labelled_id_counts_once(spark):
+    good = "The quiet river runs past the old mill and on to the sea. " * 2
+    docs = spark.createDataFrame([(0, "BUY!! ### $$$ " * 9)] * 60 + [(i, good + str(i)) for i in range(1, 7)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 0)) for i in range(7)], "doc_id long, quality int")
+    assert quality_rules.labelled_sample(docs, labels, 8).count() == 7
+    assert quality_rules.fit(docs, labels, rows=8) is not None and site_bayes.fit(docs, labels, rows=8) is not None
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 7), (None, 3), (2, 1)], "a long, b long")
     got = {r.node: r.component for r in connected_components(e).collect()}

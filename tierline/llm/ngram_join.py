@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm import textstats
 from tierline.llm.components import connected_components
-from tierline.llm.shared import ship, staged
+from tierline.llm.shared import ship, staged, veiled
 
 ORDER_BITS, SLICE = 22, 16384
 _LOW = (1 << 56) - 1
@@ -264,11 +264,12 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     ident = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit(""))
     gone = (marked_rows(docs, words, percent).where("not first").select(ident("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).distinct())
     lone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    d = docs.withColumns({"id_": F.when(lone, F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))).otherwise(ident("doc_id")),
-                          "hash_": text_hash(F.col("text")), "order_": F.xxhash64(*rest) if rest else F.lit(0)})
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    hidden, back = veiled(docs, docs.columns)
+    d = docs.select(*hidden, F.when(lone, F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))).otherwise(ident("doc_id")).alias("id_"),
+                    text_hash(F.col("text")).alias("hash_"), (F.xxhash64(*rest) if rest else F.lit(0)).alias("order_"))
     once = d.withColumn("nth_", F.row_number().over(Window.partitionBy("id_", "hash_").orderBy("order_"))).where("nth_ = 1")
-    return once.join(gone, ["id_", "hash_"], "left_anti").select(docs.columns)
+    return once.join(gone, ["id_", "hash_"], "left_anti").select(*back)
 
 
 def marked_rows(docs: DataFrame, words: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm import gbt, textstats
-from tierline.llm.shared import ship
+from tierline.llm.shared import ship, veiled
 
 #: Shares the trees read; the sign says how the score may move with them.
 FEATURES = [("symbols", -1), ("dup_lines", -1), ("repeats", -1), ("upper", -1), ("exclaims", -1), ("pipes", -1), ("digits", 0),
@@ -26,10 +26,13 @@ def features(c: np.ndarray) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """``(y, text)`` of at most ``rows`` labelled documents, those with the
-    smallest hashes of their ids; a document without a 0/1 label is left out."""
+    smallest hashes of their ids; a document without a 0/1 label is left out.
+    An id counts once however many rows repeat it, with the text of the
+    smallest hash."""
     few = (labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("y", "text")
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(few), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("y", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> gbt.Trees | None:
@@ -44,7 +47,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> gbt.Trees | Non
                 yield pa.RecordBatch.from_arrays([b.column("y").slice(at, n).cast(pa.int32()), pa.array(x.tolist(), pa.list_(pa.float64()))], ["y", "x"])
 
     got = labelled_sample(docs, labels, rows).mapInArrow(run, "y int, x array<double>").collect()
-    got = sorted((r.y, tuple(r.x)) for r in got)[:2 * rows]
+    got = sorted((r.y, tuple(r.x)) for r in got)
     y = np.array([r[0] for r in got], float)
     if len(set(y.tolist())) < 2:
         return None
@@ -78,7 +81,8 @@ def apply_rules(docs: DataFrame, trees: gbt.Trees | None, least_words: int = 50,
                 names = [x for x in part.schema.names if x != "text_"]
                 yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *own], [*names, *ADDED])
 
-    d = docs.select("doc_id", *extra, F.col("text").cast("string").alias("text_"))
+    hidden, back = veiled(docs, extra)
+    d = docs.select("doc_id", *hidden, F.col("text").cast("string").alias("text_"))
     kinds = {"base_failed": "boolean", "kept": "boolean", "quality_score": "double"}
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name != "text_"] + [f"{x} {kinds.get(x, 'long')}" for x in ADDED])
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(run, schema).select("doc_id", *back, *ADDED)

@@ -15,7 +15,8 @@ import zipfile
 
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.session import checkpoint_dir
 
@@ -32,6 +33,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def veiled(docs: DataFrame, columns: list[str]) -> tuple[list[Column], list[Column]]:
+    """Columns of ``docs`` under names that no operator uses (``own0``, …),
+    and the way back to their own names."""
+    return ([F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(columns)],
+            [F.col(f"own{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per context, so that Python
     workers import it whatever their working folder is."""

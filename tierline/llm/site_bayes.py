@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm import textstats
 from tierline.llm.quality_rules import features, labelled_sample
-from tierline.llm.shared import ship, staged
+from tierline.llm.shared import ship, staged, veiled
 
 BUCKETS = 1024
 
@@ -47,7 +47,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 5000, steps: int = 150)
                 x = evidence_features(b.column("text").slice(at, n)).astype("<f4")
                 yield pa.RecordBatch.from_arrays([b.column("y").slice(at, n).cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
 
-    got = sorted((r.y, bytes(r.x)) for r in labelled_sample(docs, labels, rows).mapInArrow(run, "y int, x binary").collect())[:2 * rows]
+    got = sorted((r.y, bytes(r.x)) for r in labelled_sample(docs, labels, rows).mapInArrow(run, "y int, x binary").collect())
     y = np.array([g[0] for g in got], float)
     if len(set(y.tolist())) < 2:
         return None
@@ -125,10 +125,12 @@ def classify(docs: DataFrame, model, host: str = "source", path: str = "lang", t
     The texts are scored twice, once for the sums and once for the verdict,
     which is cheaper than writing them with the score in between."""
     own = ["doc_logit", "host_posterior", "path_posterior", "score", "kept"]
-    d = docs.drop(*[c for c in own if c in docs.columns])
-    sites = staged(site_posteriors(evidence(d.select(F.col(host).alias("host"), F.col(path).alias("path"), "text"), model)), "sites")
-    e = evidence(d, model)
-    j = e.join(sites, e[host].eqNullSafe(sites.h_) & e[path].eqNullSafe(sites.p_), "left").drop("h_", "p_", "n_docs")
+    hidden, back = veiled(docs, [c for c in docs.columns if c not in own])
+    d = docs.select(F.col(host).alias("host"), F.col(path).alias("path"), "text")
+    sites = staged(site_posteriors(evidence(d, model)), "sites")
+    e = evidence(docs.select(*hidden, F.col(host).alias("host"), F.col(path).alias("path"), "text"), model)
+    j = e.join(sites, e["host"].eqNullSafe(sites.h_) & e["path"].eqNullSafe(sites.p_), "left")
     prior = model[2] if model is not None else 0.0
     s = 1 / (1 + F.exp(-(F.col("doc_logit") - F.lit(prior) + F.log(F.col("path_posterior") / (1 - F.col("path_posterior"))))))
-    return j.withColumn("score", s).withColumn("kept", F.lit(True) if model is None else F.col("score") >= threshold)
+    j = j.withColumn("score", s).withColumn("kept", F.lit(True) if model is None else F.col("score") >= threshold)
+    return j.select(*back, *own)
