@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.llm import ngram_join, packing, quality_rules, site_bayes
-from tierline.llm.shared import staged
+from tierline.llm.shared import staged, veiled
 
 #: Every stage ends in trained models, text joins or token ids: no SQL form.
 ORACLE_SQL = None
@@ -26,14 +26,16 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules go."""
     trees = quality_rules.fit(docs, _labels(spark, sf_dir))
-    rest = [c for c in docs.columns if c != "doc_id"]
-    return quality_rules.apply_rules(docs, trees, extra=rest).where("kept").select(docs.columns)
+    hidden, back = veiled(docs, docs.columns)
+    judged = quality_rules.apply_rules(docs.select("doc_id", "text", *hidden), trees, extra=[f"own{i}" for i in range(len(back))])
+    return judged.where("kept").select(*back)
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the site-aware classifier rejects go."""
     model = site_bayes.fit(docs, _labels(spark, sf_dir))
-    return site_bayes.classify(docs, model).where("kept").select(docs.columns)
+    hidden, back = veiled(docs, docs.columns)
+    return site_bayes.classify(docs.select(*hidden, "source", "lang", "text"), model).where("kept").select(*back)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
