@@ -5,10 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tierline.plans.driver import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
 
 
 def _plan(df) -> str:
@@ -20,7 +19,7 @@ def _plan(df) -> str:
 def test_no_cartesian_no_python_in_any_query(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-    assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF", plan), name
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|MapInArrow|PythonUDF", plan), name
 
 
 def test_latest_wins_limits_before_the_shuffle(spark):

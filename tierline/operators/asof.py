@@ -8,18 +8,60 @@ buckets (week / month / year) it touches, each left row into its one bucket,
 and the join runs on (entity, bucket) with the range as a residual.  Each
 interval appears once per bucket and each left row has one bucket, so the
 result is exact — no duplicates, no misses.
+
+``dyadic`` serves intervals of any length, such as open ones that end in the
+year 9999.  An interval is cut into aligned blocks of 1, 4, 16, 64, … days,
+at most six of a size, so its number of pieces grows with the logarithm of its
+length.  The distinct (entity, day) pairs of the left side look up the block
+of each size that holds their day; exactly one piece of an interval does.  The
+left rows then meet what their own (entity, day) found, so an entity with a
+very large share of them is spread over its days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _STEP = {"week": "1 week", "month": "1 month", "year": "1 year"}
 
 
+#: Days of a block of one size, as a power of two, per block of the next smaller.
+_BITS = 2
+
+
+def dyadic_pieces(lower: str, upper: str, top: int) -> Column:
+    """``array<struct<level, block>>``: the aligned blocks that make up the
+    days from ``lower`` to ``upper`` (day numbers), no block inside a larger
+    one.  Block ``b`` of level ``k`` starts at day ``b * 4^k``."""
+    size = f"pow({1 << _BITS}, k)"
+    first, last = f"ceil({lower} / {size})", f"floor(({upper} + 1) / {size}) - 1"
+    up_first, up_last = f"ceil({lower} / ({size} * {1 << _BITS}))", f"floor(({upper} + 1) / ({size} * {1 << _BITS})) - 1"
+    run = lambda a, b: f"if({a} <= {b}, sequence(cast({a} as bigint), cast({b} as bigint)), cast(array() as array<bigint>))"
+    whole = f"k = {top} or {up_last} < {up_first}"
+    blocks = (f"if({whole}, {run(first, last)}, concat({run(first, f'({up_first}) * {1 << _BITS} - 1')}, "
+              f"{run(f'({up_last} + 1) * {1 << _BITS}', last)}))")
+    return F.expr(f"flatten(transform(sequence(0, {top}), k -> transform({blocks}, b -> struct(k as level, b as block))))")
+
+
+def _dyadic(left: DataFrame, iv: DataFrame, keys: list[str], at: str, lower: str, upper: str) -> tuple[DataFrame, list[Column]]:
+    """For the distinct keys and days of ``left``, the intervals that touch
+    the day; with the condition by which left rows meet them."""
+    iv = iv.where(F.col(f"__r_{lower}") <= F.col(f"__r_{upper}"))
+    lo, hi = F.unix_date(F.col(f"__r_{lower}").cast("date")), F.unix_date(F.col(f"__r_{upper}").cast("date"))
+    days = iv.agg(F.max(hi - lo + 1)).first()[0] or 1
+    top = max(0, (int(days).bit_length() + _BITS - 1) // _BITS)
+    cut = iv.withColumns({"__lo": lo, "__hi": hi}).withColumn("__piece", F.explode(dyadic_pieces("__lo", "__hi", top))).drop("__lo", "__hi")
+    day = F.unix_date(F.col(f"__l_{at}").cast("date"))
+    probes = left.select(*[F.col(f"__l_{k}").alias(f"__p_{k}") for k in keys], day.alias("__p_day")).where("__p_day is not null").distinct()
+    probes = probes.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+    block = F.floor(F.col("__p_day") / F.pow(F.lit(1 << _BITS), F.col("__level")))
+    met = cut.join(probes, [*[F.col(f"__r_{k}") == F.col(f"__p_{k}") for k in keys], F.col("__piece.level") == F.col("__level"), F.col("__piece.block") == block])
+    return met.drop("__piece", "__level", *[f"__r_{k}" for k in keys]), [*[F.col(f"__l_{k}") == F.col(f"__p_{k}") for k in keys], day == F.col("__p_day")]
+
+
 def asof_join(left: DataFrame, intervals: DataFrame, on: Sequence[str], at: str,
               lower: str = "valid_from", upper: str = "valid_to", how: str = "left",
               bucket: str | None = "month", extra_keys: Sequence[str] = ()) -> DataFrame:
@@ -33,9 +75,11 @@ def asof_join(left: DataFrame, intervals: DataFrame, on: Sequence[str], at: str,
     iv = intervals.select(*[F.col(c).alias(f"__r_{c}") for c in intervals.columns])
     lft = left.select(*[F.col(c).alias(f"__l_{c}") for c in left.columns])
     cond = [F.col(f"__l_{k}") == F.col(f"__r_{k}") for k in keys]
-    if bucket:
+    if bucket == "dyadic":
+        iv, cond = _dyadic(lft, iv, keys, at, lower, upper)
+    elif bucket:
         if bucket not in _STEP:
-            raise ValueError(f"bucket must be one of {sorted(_STEP)}")
+            raise ValueError(f"bucket must be one of {sorted([*_STEP, 'dyadic'])}")
         # an inverted interval holds no value; its buckets would be an error
         iv = iv.where(F.col(f"__r_{lower}") <= F.col(f"__r_{upper}")).withColumn("__r_bucket", F.explode(F.sequence(
             F.trunc(F.col(f"__r_{lower}"), bucket), F.trunc(F.col(f"__r_{upper}"), bucket),

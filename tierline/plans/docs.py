@@ -16,7 +16,7 @@ _COUNTS = {
     "oreb": "offensive rebounds", "dreb": "defensive rebounds", "reb": "rebounds", "ast": "assists", "stl": "steals", "blk": "blocks",
     "tov": "turnovers", "pf": "personal fouls", "pts": "points", "plus_minus": "score margin while on the floor",
 }
-_GAME = {"game_id": "game id, ten digits with leading zeros, text"}
+_GAME = {"game_id": "10-digit zero-padded game id (string)"}
 _CAPTURE = {
     "captured_at": "time of the capture the row won by", "capture": "stamp of that capture", "season": "season folder of that capture",
     "season_type": "season type folder of that capture", "source_file": "file the row was read from",

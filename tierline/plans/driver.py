@@ -385,11 +385,82 @@ def existing_captures_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def superseded_captures_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Ship dates (captures) that are the surviving version of no key."""
+    """Captures (ship date and supplier) that are the surviving version of no key."""
     from tierline.plans.landing import superseded_captures
 
     li = Tables(spark, sf).lineitem
-    return superseded_captures(li, LINE_KEYS, ["l_shipdate"], LINE_VERSION)
+    return superseded_captures(li, LINE_KEYS, ["l_shipdate", "l_suppkey"], LINE_VERSION)
+
+
+def ordered_captures_q(spark: SparkSession, sf: str) -> DataFrame:
+    from tierline.contracts import PARTITIONS
+    from tierline.plans.landing import ordered_captures
+
+    return ordered_captures(lineitem_landing(Tables(spark, sf).lineitem).select(*PARTITIONS))
+
+
+def merge_vs_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """D-02: lineitem up to a ship date published as a layer, everything later
+    merged into it in two batches, the table read back.  Equals the latest
+    version per key over all rows."""
+    import uuid
+
+    from tierline.session import checkpoint_dir
+    from tierline.sinks.layers import Layer, TableSpec
+
+    li = Tables(spark, sf).lineitem
+    layer = Layer(spark, f"{checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}")
+    late = [F.lit(d).cast("timestamp_ntz") for d in ("1998-01-01", "2000-01-01")]
+    base = li.where((F.col("l_shipdate") < late[0]) | F.col("l_shipdate").isNull())
+    change = layer.begin()
+    change.put("line", latest_per_key(base, LINE_KEYS, LINE_VERSION), TableSpec(["l_orderkey"], cell="l_orderkey div 10000"))
+    change.commit()
+    for batch in (li.where((F.col("l_shipdate") >= late[0]) & (F.col("l_shipdate") < late[1])), li.where(F.col("l_shipdate") >= late[1])):
+        change = layer.begin()
+        change.merge("line", latest_per_key(batch, LINE_KEYS, LINE_VERSION).checkpoint(), LINE_KEYS, LINE_VERSION)
+        change.commit()
+    return layer.read("line")
+
+
+def version_diff_q(spark: SparkSession, sf: str) -> DataFrame:
+    """J-09 by digests: the oldest version of every line against the newest."""
+    from tierline.operators.versions import version_diff
+
+    li = Tables(spark, sf).lineitem
+    # the oldest under the order that ``latest_per_key`` completes with all other columns
+    oldest = [(c, False) for c in [*LINE_VERSION, *[c for c in li.columns if c not in LINE_KEYS and c not in LINE_VERSION]]]
+    return version_diff(latest_per_key(li, LINE_KEYS, oldest), line_winners(Tables(spark, sf)), LINE_KEYS, LINE_VALUES)
+
+
+def segmented_stints_q(spark: SparkSession, sf: str) -> DataFrame:
+    from tierline.operators.stints import segmented_stints
+
+    obs = event_observations(Tables(spark, sf))
+    return segmented_stints(obs, entity="user_id", value="event_type", period="season", at="day")
+
+
+def asof_open_ended(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-6 with intervals up to the year 9999: every line beside its
+    customer's latest order on the day it shipped."""
+    from pyspark.sql import Window
+
+    t = Tables(spark, sf)
+    days = t.orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("valid_from")).agg(F.min("o_orderkey").alias("latest_order"))
+    nxt = F.lead("valid_from").over(Window.partitionBy("o_custkey").orderBy("valid_from"))
+    iv = days.withColumn("valid_to", F.coalesce(F.date_sub(nxt, 1), F.to_date(F.lit("9999-12-31"))))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day")).join(
+        t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    j = asof_join(lines, iv, on=["o_custkey"], at="day", bucket="dyadic")
+    return j.select("l_orderkey", "l_linenumber", "day", "latest_order", F.col("valid_from").alias("since"))
+
+
+def distributed_rank_q(spark: SparkSession, sf: str) -> DataFrame:
+    from tierline.operators.rank import distributed_rank
+
+    o = Tables(spark, sf).orders.select("o_orderkey", F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_totalprice").cast(MONEY).alias("price"))
+    r = distributed_rank(o, "year", "price")
+    return r.select("o_orderkey", "year", "price", "price_rank", F.round("price_pct_rank", 9).alias("price_pct_rank"),
+                    F.round("group_avg", 2).alias("year_avg"), F.round("z_score", 6).alias("z_score"))
 
 
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -462,5 +533,11 @@ QUERIES = {
     "existing_captures": existing_captures_q,
     "upsert": upsert_q,
     "league_context": league_context,
+    "ordered_captures": ordered_captures_q,
+    "merge_vs_refresh": merge_vs_refresh,
+    "version_diff": version_diff_q,
+    "segmented_stints": segmented_stints_q,
+    "asof_open_ended": asof_open_ended,
+    "distributed_rank": distributed_rank_q,
 }
 

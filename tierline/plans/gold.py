@@ -30,7 +30,7 @@ def season_rankings(per: DataFrame, season: str, measure: str, avg_digits: int |
     ws = Window.partitionBy(season)
     x = F.col(measure).cast("double")
     avg = F.avg(x).over(ws)
-    z = (x - avg) / F.stddev_pop(x).over(ws)
+    z = F.try_divide(x - avg, F.stddev_pop(x).over(ws))  # null where a season's values are all equal
     return per.select(
         "*",
         F.rank().over(w).cast("bigint").alias(f"{measure}_rank"),

@@ -16,12 +16,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, PARTITIONS
+from tierline.contracts import DEFAULT_ENDPOINT, DEFAULT_SOURCE, GRAINS, PARTITIONS, SEASON_PATTERN, SEASON_TYPES
 from tierline.functions.columns import distinct_from
 from tierline.operators.gaps import consecutive_gaps
 from tierline.operators.latest import latest_per_key
@@ -109,10 +110,24 @@ def existing_captures(landed: DataFrame) -> DataFrame:
                                                F.max("capture").alias("latest_capture"))
 
 
+def ordered_captures(landed: DataFrame) -> DataFrame:
+    """J-02 / SO-3: per partition its complete captures, oldest first, as one
+    comma-joined text.  A partition has as many as it was landed times."""
+    stamps = F.sort_array(F.collect_set("capture"))
+    return landed.groupBy(*PARTITIONS[:3]).agg(F.array_join(stamps, ",").alias("captures"))
+
+
 def plan(spark: SparkSession, landed: DataFrame, seasons: Sequence[str], grains: Sequence[str],
          season_types: Sequence[str] = ("regular",), recapture: bool = False) -> DataFrame:
     """J-03: the expected season × grain × season_type product split into
-    ``landed`` and ``to_issue``; with ``recapture`` everything is issued."""
+    ``landed`` and ``to_issue``; with ``recapture`` everything is issued.  An
+    empty list, a repeated entry and one that no landing could hold are errors."""
+    for name, given, fits in (("seasons", seasons, lambda s: re.fullmatch(SEASON_PATTERN, s)), ("grains", grains, GRAINS.__contains__),
+                              ("season types", season_types, SEASON_TYPES.__contains__)):
+        if isinstance(given, str) or not given or len(set(given)) < len(given):
+            raise ValueError(f"{name} must be a list of different values, got {given!r}")
+        if wrong := [g for g in given if not fits(g)]:
+            raise ValueError(f"{name} cannot be {wrong}")
     expected = spark.range(1).select(
         F.explode(F.array(*[F.lit(s) for s in seasons])).alias("season")).select(
         "season", F.explode(F.array(*[F.lit(g) for g in grains])).alias("grain")).select(
@@ -127,8 +142,15 @@ def row_maps(envelopes: DataFrame, carry: Sequence[str] = ("source_file",)) -> D
     envelopes.  ``map_from_arrays`` raises on a ragged row (size mismatch)
     and on a duplicate header (key dedup policy EXCEPTION) instead of
     silently pairing the wrong cells."""
-    exploded = envelopes.select(*carry, F.col("headers").alias("__h"), F.explode("rows").alias("__cells"))
-    return exploded.select(*carry, F.map_from_arrays("__h", "__cells").alias("row"))
+    # paired before the explode, so that no row carries the header list beside its own map
+    rows = F.transform("rows", lambda cells: F.map_from_arrays(F.col("headers"), cells))
+    return envelopes.select(*carry, F.explode(rows).alias("row"))
+
+
+def padded_pairs(a: Column, b: Column) -> Column:
+    """FN-4: the items of two lists side by side, the shorter one padded with
+    nulls, where a map would raise."""
+    return F.arrays_zip(a.alias("left"), b.alias("right"))
 
 
 def run_metrics(calls: DataFrame) -> DataFrame:
