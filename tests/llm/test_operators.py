@@ -377,10 +377,21 @@ def test_packing_weight_zero_is_served_last(spark):
 def test_packing_32_bit_ids(spark, docs, monkeypatch):
     path = P.path("word_bpe_49k.json")
     narrow = packing.pack(docs, path, 1).collect()
+    assert sorted(packing.pack(docs, path, 1, with_ids=False).collect(), key=str) == sorted((r[:-1] for r in narrow), key=str)
+    monkeypatch.setattr(packing, "SLICE", 100)
+    assert sorted(packing.pack(docs, path, 1).collect(), key=str) == sorted(narrow, key=str)
     monkeypatch.setattr(packing, "id_type", lambda vocab: np.dtype("<u4"))
     assert sorted(packing.pack(docs, path, 1).collect(), key=str) == sorted(narrow, key=str)
 
 
+def test_native_operators_have_no_python_in_their_plans(spark):
+    from tierline.llm.queries import QUERIES
+
+    for name in ("op6_license_scan", "op11_host_reputation"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Python|Pandas|InArrow|CartesianProduct|NestedLoopJoin", plan), name
+
+
 WORDS = ["Plain", "word.", "don't", "it's", "'s", "(a)", "x1y22", "naïve", "ÀÉÎ", "straße", "İstanbul", "cafe\u0301", "ﬁn", "µm", "\u00a0a", "a\u2009b", "1,000.50",
          "<|endoftext|>", "a<|endoftext|>b", "</w>", "</w></w>", "漢字", "🙂🙂", "\u0301", "Ω", "ǅ", "\x7f", "a\x00b", "×÷", "E=mc²", "…", "'", "''", "I'LL", "we'Ll", "Word,", "WORD!", "end.'s", "a.b", "É!", "ÿ;", "ß?", "ªb.", "º,", "x..", ".,", "!", "don't.", "'s.", "a.'ll"]
 

@@ -28,6 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,10 +164,11 @@ def placed_runs(runs: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, window_sequences: int = 64,
-         weights: dict[str, float] | None = None) -> DataFrame:
+         weights: dict[str, float] | None = None, with_ids: bool = True) -> DataFrame:
     """Pack ``docs(doc_id, text, source)`` into sequences of ``length`` ids.
 
-    A row per piece, with its ids (unsigned 32-bit, little-endian).  Every id
+    A row per piece, with its ids (unsigned 32-bit, little-endian) unless
+    ``with_ids`` is off.  Every id
     of every row lies in exactly one piece; ``weights`` are target token
     shares by source, relative to each other (default: the sources' own).
     Every source has a queue of its own, however many there are.  Repeated
@@ -204,35 +206,63 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, wind
     cuts = (runs.join(places, ["queue", "run"])
             .groupBy("part", "row").agg(F.collect_list(F.struct(
                 (lo - F.col("first")).alias("start"), (hi - lo).alias("size"), (F.col("place") + lo - F.col("run") * RUN).alias("place"))).alias("cuts")))
-    return ids.select("part", "row", "doc_id", "n", "ids").join(cuts, ["part", "row"]).select("doc_id", "n", "ids", "cuts").mapInArrow(_cut(length), PIECES)
+    return ids.select("part", "row", "doc_id", "n", "ids").join(cuts, ["part", "row"]).select("doc_id", "n", "ids", "cuts").mapInArrow(
+        _cut(length, with_ids), PIECES if with_ids else PIECES.removesuffix(", ids binary"))
 
 
-def _cut(length: int):
-    """Pieces of a document: its cuts, joined where they follow each other in
-    the stream, and divided at the ends of sequences."""
+#: Bytes of ids whose pieces are cut at once.
+SLICE = 64 << 20
 
+
+def pieces(start: np.ndarray, size: np.ndarray, place: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``doc, start, length, place`` of the pieces of documents' cuts: cuts
+    that follow each other in the stream are one, and pieces end where
+    sequences do.  Pieces come by document and start."""
+    order = np.lexsort((start, doc))
+    start, size, place, doc = start[order], size[order], place[order], doc[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + size[:-1])
+    at = np.flatnonzero(new)
+    start, place, doc, size = start[at], place[at], doc[at], np.add.reduceat(size, at) if len(at) else size
+    first = place // length
+    count = (place + size - 1) // length - first + 1
+    of = np.repeat(np.arange(len(doc)), count)
+    seq = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    lo, hi = np.maximum(place[of], seq * length), np.minimum(place[of] + size[of], (seq + 1) * length)
+    return doc[of], start[of] + lo - place[of], hi - lo, lo
+
+
+def _cut(length: int, with_ids: bool):
     def cut(batches):
         for b in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for d, n, raw, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "ids", "cuts"))):
-                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
-                cuts = sorted((c["start"], c["size"], c["place"]) for c in cuts)
-                i = 0
-                while i < len(cuts):
-                    start, size, place = cuts[i]
-                    i += 1
-                    while i < len(cuts) and cuts[i][2] == place + size:
-                        size += cuts[i][1]
-                        i += 1
-                    while size:
-                        take = min(size, length - place % length)
-                        piece = ids[4 * start:4 * (start + take)]
-                        for column, value in zip(out, (d, start, take, zlib.crc32(piece), n, place // length, place % length, piece)):
-                            column.append(value)
-                        start, place, size = start + take, place + take, size - take
-                if len(out[0]) >= 5000:
-                    yield _batch(out, PIECES)
-                    out = [[] for _ in range(8)]
-            yield _batch(out, PIECES)
+            width = pc.binary_length(b.column("ids")).to_numpy(zero_copy_only=False).astype(np.int64)
+            n = b.column("n").to_numpy(zero_copy_only=False)
+            ends = np.cumsum(width)
+            at = 0
+            while at < b.num_rows:
+                end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, "right")))
+                yield _piece_batch(b.slice(at, end - at), n[at:end], width[at:end], length, with_ids)
+                at = end
 
     return cut
+
+
+def _piece_batch(b: pa.RecordBatch, n: np.ndarray, width: np.ndarray, length: int, with_ids: bool) -> pa.RecordBatch:
+    cuts = b.column("cuts")
+    doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(cuts).to_numpy(zero_copy_only=False))
+    flat = cuts.flatten()
+    doc, start, size, place = pieces(*(flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "size", "place")), doc, length)
+    kind = np.dtype("<u2" if width.sum() == 2 * n.sum() else "<u4")
+    ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), kind).astype("<u4")
+    # the pieces of a document cover it in order, so together they are all ids in order
+    stops = 4 * np.cumsum(size)
+    view, spans = memoryview(ids).cast("B"), zip((stops - 4 * size).tolist(), stops.tolist())
+    sums = [zlib.crc32(view[i:j]) for i, j in spans]
+    rows = pa.array(doc)
+    columns = [b.column("doc_id").take(rows), pa.array(start), pa.array(size), pa.array(sums, pa.int64()), b.column("n").take(rows),
+               pa.array(place // length), pa.array(place % length)]
+    names = [c.split()[0] for c in PIECES.split(", ")]
+    if with_ids:
+        offsets = np.concatenate([[0], stops]).astype(np.int32)
+        columns.append(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]))
+    return pa.RecordBatch.from_arrays(columns, names[:len(columns)])

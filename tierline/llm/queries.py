@@ -48,7 +48,7 @@ def op8_quality_rules(spark, sf_dir):
 
 
 def op9_mixture_packing(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1).drop("ids")
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, with_ids=False)
 
 
 def op10_site_bayes(spark, sf_dir):

@@ -261,7 +261,7 @@ class UnitEncoder:
             at = m.start()
         yield text[at:]
 
-    def encode_rows(self, texts: pa.Array, most: int = 12_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def encode_rows(self, texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(first row, rows, ids, ids per row)`` over slices of about
         ``most`` bytes; a longer text is encoded in pieces."""
         size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
