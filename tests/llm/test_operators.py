@@ -393,7 +393,7 @@ def test_native_operators_have_no_python_in_their_plans(spark):
 
 
 WORDS = ["Plain", "word.", "don't", "it's", "'s", "(a)", "x1y22", "naïve", "ÀÉÎ", "straße", "İstanbul", "cafe\u0301", "ﬁn", "µm", "\u00a0a", "a\u2009b", "1,000.50",
-         "<|endoftext|>", "a<|endoftext|>b", "</w>", "</w></w>", "漢字", "🙂🙂", "\u0301", "Ω", "ǅ", "\x7f", "a\x00b", "×÷", "E=mc²", "…", "'", "''", "I'LL", "we'Ll", "Word,", "WORD!", "end.'s", "a.b", "É!", "ÿ;", "ß?", "ªb.", "º,", "x..", ".,", "!", "don't.", "'s.", "a.'ll"]
+         "<|endoftext|>", "a<|endoftext|>b", "</w>", "</w></w>", "漢字", "🙂🙂", "\u0301", "Ω", "ǅ", "\x7f", "a\x00b", "×÷", "E=mc²", "…", "'", "''", "I'LL", "we'Ll", "Word,", "WORD!", "end.'s", "a.b", "É!", "ÿ;", "ß?", "ªb.", "º,", "x..", ".,", "!", "don't.", "'s.", "a.'ll", "w$$$", "w,%%%", "w\"", "w)'s", "w\\", "w^]", "w-", "a-b-", "_x_", "x__", "w<", "w|", "w.\n\nW.\n", "\nw", "w~`"]
 
 
 @pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])

@@ -28,10 +28,11 @@ _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029
 _PLAIN = re.compile(r" [^\s\x00-\x1f\x7f-\xa0]+")
 #: Characters that keep their number of bytes when a word tokenizer normalises them.
 _PLAIN_WORD = re.compile(r"[!-~\xc0-\xff]+")
-#: Letters that both patterns take as one piece, and a mark that is a piece of its own (RE2 syntax).
-_PIECE = r"^ [A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+[.,;:!?]?$"
-_MARK = r"[.,;:!?]$"
-_MARKS = frozenset(".,;:!?")
+#: Letters that both patterns take as one piece, and the run of marks after them that is a piece of its own: no
+#: apostrophe, which may start a contraction, and nothing that special tokens are made of (RE2 syntax).
+_LETTERS = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+"
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_MARK = "[" + re.escape(_MARKS) + "]"
 _NONE, _SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -156,21 +157,23 @@ class UnitEncoder:
 
     def _table(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, first id, ids) per unit.  A unit of letters with or
-        without one mark after them is taken apart in Arrow, and where the
+        without marks after them is taken apart in Arrow, and where the
         tokenizer lowers words, so are its letters; the others go to the
-        library by way of the cache."""
+        library by way of the cache, as do the marks."""
         n = len(units)
-        plain = pc.match_substring_regex(units, _PIECE if self.spaces else _PIECE.replace("^ ", "^")).to_numpy(zero_copy_only=False)
+        lead = "^ " if self.spaces else "^"
+        plain = pc.match_substring_regex(units, f"{lead}{_LETTERS}{_MARK}*$").to_numpy(zero_copy_only=False)
         which = np.flatnonzero(plain)
         part = units.take(pa.array(which))
-        marked = pc.match_substring_regex(part, _MARK).to_numpy(zero_copy_only=False)
-        stems = pc.utf8_rtrim(part, ".,;:!?")
+        marked = pc.match_substring_regex(part, f"{_MARK}$").to_numpy(zero_copy_only=False)
+        stems = pc.utf8_rtrim(part, _MARKS)
         stems = (pc.utf8_lower(stems) if self.lowers else stems).dictionary_encode()
         got = self._stems(stems.dictionary)
         if got is None:
             which, marked = which[:0], marked[:0]
         rest = np.setdiff1d(np.arange(n), which, assume_unique=True)
-        marks = sorted(_MARKS)
+        tails = pc.replace_substring_regex(part.filter(pa.array(marked)), lead + _LETTERS, "").dictionary_encode()
+        marks = tails.dictionary.to_pylist()
         runs = self._cached(marks + units.take(pa.array(rest)).to_pylist())
         size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         tail = np.frombuffer(b"".join(runs), np.uint32)
@@ -183,15 +186,16 @@ class UnitEncoder:
             flat = np.concatenate([tail, ids])
             code = stems.indices.to_numpy(zero_copy_only=False)
             first[which, 0], count[which, 0] = len(tail) + starts[code], lens[code]
-            last = pc.index_in(pc.utf8_slice_codeunits(part.filter(pa.array(marked)), -1), pa.array(marks, pa.large_string())).to_numpy(zero_copy_only=False).astype(np.int64)
+            last = tails.indices.to_numpy(zero_copy_only=False)
             first[which[marked], 1], count[which[marked], 1] = at[last], size[last]
         first[rest, 0], count[rest, 0] = at[len(marks):], size[len(marks):]
         lens = count.sum(1)
         return gather_runs(flat, first.ravel(), count.ravel()), np.cumsum(lens) - lens, lens
 
     def _split(self, texts: pa.Array):
-        """(flat ids, ids per text) of texts that may be cut at every space."""
-        lists = pc.split_pattern(texts, " ")
+        """(flat ids, ids per text) of texts that may be cut at every space;
+        where spaces are dropped, a line end is as good as one."""
+        lists = pc.split_pattern(texts if self.spaces else pc.replace_substring(texts, "\n", " "), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         dic = lists.values.dictionary_encode()
         code = dic.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -261,7 +265,7 @@ class UnitEncoder:
             at = m.start()
         yield text[at:]
 
-    def encode_rows(self, texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def encode_rows(self, texts: pa.Array, most: int = 12_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(first row, rows, ids, ids per row)`` over slices of about
         ``most`` bytes; a longer text is encoded in pieces."""
         size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
