@@ -43,6 +43,8 @@ PHASE = [("start", "double"), ("stop", "double"), ("first", "long"), ("rounds",
 REST = ""
 #: Fixed value: a queue is served whole runs of so many tokens, its last one excepted.
 RUN = 256
+#: Bytes of ids whose pieces are cut at once, and four times those of the texts encoded at once.
+SLICE = 16 << 20
 #: Rounds whose starts one task sums up.
 BLOCK = 4096
 
@@ -61,7 +63,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str
         kind = id_type(enc.vocab)
         for b in batches:
             texts, ids_col, src = b.column("text"), b.column("doc_id").to_pylist(), b.column("queue").to_pylist()
-            for at, n, ids, counts in enc.encode_rows(texts):
+            for at, n, ids, counts in enc.encode_rows(texts, SLICE // 4):
                 ends = np.cumsum(counts)
                 raw = np.insert(ids, ends, end_id).astype(kind).tobytes()
                 sizes = (counts + 1).tolist()
@@ -76,6 +78,8 @@ def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str
                     first = stop
                 yield _batch([[part] * n, list(range(row, row + n)), names, ids_col[at:at + n], sizes, starts, cells], IDS)
                 row += n
+        # workers stay for later stages, whose memory this one's caches would take
+        enc.release()
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("queue"))
@@ -210,10 +214,6 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, length: int = 2048, wind
         _cut(length, with_ids), PIECES if with_ids else PIECES.removesuffix(", ids binary"))
 
 
-#: Bytes of ids whose pieces are cut at once.
-SLICE = 64 << 20
-
-
 def pieces(start: np.ndarray, size: np.ndarray, place: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """``doc, start, length, place`` of the pieces of documents' cuts: cuts
     that follow each other in the stream are one, and pieces end where

@@ -88,6 +88,11 @@ class UnitEncoder:
             self.cache, self.older = {}, self.cache
         self.cache.update((u, r) for u, r in zip(units, runs) if len(u) <= self.unit_chars)
 
+    def release(self) -> None:
+        """Give back what the next task of this worker need not find."""
+        self.cache, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _joined(self, units: list[str]) -> list[bytes] | None:
         """Ids of units without white space, but for the space that a unit of
         byte level starts with, encoded as one text and parted where the bytes
