@@ -113,6 +113,23 @@ def test_bpe_chunks(spark, docs, empty):
     assert bpe_chunks.encode_decode(empty, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
 
 
+def test_bpe_chunks_stitch_at_true_boundaries_only(spark):
+    rng = random.Random(5)
+    parts = ["a", "b ", "'", "ll", "'re", " ", "  ", "\n", "12", "345", "!", "é", "漢", "😀 ", "word ", " the"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 120))) for _ in range(400)] + ["x" * 700 + " y" * 200, "7" * 500 + " 1234567 " * 40 + "end", "漢字。" * 300]
+    grouped = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] + [(1, texts[1]), (1, texts[2])], "doc_id long, text string").repartition(4)
+    # a chunk of 24 keeps the phase of digits in threes, so false boundaries agree
+    for pattern, chunk, overlap in ((P.PATTERN, 20, 8), (grouped, 24, 9)):
+        c = bpe_chunks.codec(P.path("byte_bpe_50k.tiktoken"), pattern)
+        want = sorted((i, len(ids := c.encode(x)), hashlib.sha256(c.decimal(ids)).hexdigest(), hashlib.sha256(x.encode()).hexdigest())
+                      for i, x in [*enumerate(texts), (1, texts[1]), (1, texts[2])])
+        got = bpe_chunks.encode_decode(t, P.path("byte_bpe_50k.tiktoken"), pattern, chunk, overlap).collect()
+        assert sorted(map(tuple, got)) == want
+    with pytest.raises(ValueError):
+        bpe_chunks.encode_decode(t, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, 40, 3)
+
+
 def test_main_text_of_held_out_layouts(spark):
     trees, rng, right = html_extract.fit(), random.Random(77), []
     for _ in range(80):
