@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.shared import ship
 
-CHUNKS = "doc_id long, d long, h long, chunk_no int, own int, last boolean, n long, body string"
+CHUNKS = "doc_id long, d long, h long, chunk_no int, own int, n long, body string"
 CUTS = "d long, h long, chunk_no int, n long, head array<int>, tail array<int>"
 RUNS = "doc_id long, d long, h long, run long, copies long, ids binary"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -97,7 +97,7 @@ def chunked(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
             for key, (i, n) in first.items():
                 t = b.column("text")[i].as_py()
                 for k, lo in enumerate(range(0, len(t), chunk)):
-                    rows.append((*key, k, min(chunk, len(t) - lo), lo + chunk + overlap >= len(t), n, t[lo:lo + chunk + overlap]))
+                    rows.append((*key, k, min(chunk, len(t) - lo), n, t[lo:lo + chunk + overlap]))
                     held += len(rows[-1][-1])
                     if held > 4_000_000:
                         yield _batch(rows, CHUNKS)
@@ -105,25 +105,27 @@ def chunked(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
             if rows:
                 yield _batch(rows, CHUNKS)
 
-    return texts.mapInArrow(cut, CHUNKS)
+    # the condition that a join on them would add, put here so that all readers share one exchange
+    return (texts.mapInArrow(cut, CHUNKS).where("d is not null and h is not null and chunk_no is not null")
+            .repartition("d", "h", "chunk_no"))
 
 
 def stitched(chunks: DataFrame, pattern: str, overlap: int) -> DataFrame:
     """Chunk rows with the runs they belong to and, in each, the characters
-    that are its part: ``(doc_id, d, h, run, alone, copies, chunk_no, part)``.
+    that are its part: ``(doc_id, d, h, run, alone, copies, chunk_no, n, part)``.
     ``alone`` tells that a run has one chunk."""
 
     def cuts(batches):
         for b in batches:
             rows = []
-            for d, h, k, own, last, n, t in zip(*(b.column(c).to_pylist() for c in ("d", "h", "chunk_no", "own", "last", "n", "body"))):
+            for d, h, k, own, n, t in zip(*(b.column(c).to_pylist() for c in ("d", "h", "chunk_no", "own", "n", "body"))):
                 # a boundary before a space is given as a negative number
-                every = [-x if t[x:x + 1] == " " else x for x in boundaries(t, pattern, last)]
+                every = [-x if t[x:x + 1] == " " else x for x in boundaries(t, pattern, len(t) < own + overlap)]
                 rows.append((d, h, k, n, [x for x in every if abs(x) <= overlap], [x - own if x > 0 else x + own for x in every if abs(x) > own]))
             if rows:
                 yield _batch(rows, CUTS)
 
-    found = (chunks.mapInArrow(cuts, CUTS).groupBy("d", "h", "chunk_no")
+    found = (chunks.mapInArrow(cuts, CUTS).repartition("d", "h").groupBy("d", "h", "chunk_no")
              .agg(F.sum("n").alias("copies"), F.any_value("head").alias("head"), F.any_value("tail").alias("tail")))
     order = Window.partitionBy("d", "h").orderBy("chunk_no")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -141,10 +143,10 @@ def stitched(chunks: DataFrame, pattern: str, overlap: int) -> DataFrame:
                   F.coalesce("sync", F.lit(0)).alias("lo"), F.coalesce("next", F.lit(0)).alias("hi")))
     same = (F.col("d") == F.col("d_")) & (F.col("h") == F.col("h_")) & (F.col("chunk_no") == F.col("k_"))
     return (chunks.join(at.hint("shuffle_hash"), same)
-            .select("doc_id", "d", "h", "run", "alone", "copies", "chunk_no", F.expr("substring(body, lo + 1, own + hi - lo)").alias("part")))
+            .select("doc_id", "d", "h", "run", "alone", "copies", "chunk_no", "n", F.expr("substring(body, lo + 1, own + hi - lo)").alias("part")))
 
 
-def encode_decode(docs: DataFrame, vocab_path: str, pattern: str, chunk: int = 4096, overlap: int = 512) -> DataFrame:
+def encode_decode(docs: DataFrame, vocab_path: str, pattern: str, chunk: int = 4096, overlap: int = 256) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: number of ids, SHA-256 of their
     decimal text and of the decoded bytes.  A null text is empty.  Repeated
     rows give repeated results; a long text that occurs in several rows with
@@ -216,8 +218,9 @@ def encode_decode(docs: DataFrame, vocab_path: str, pattern: str, chunk: int = 4
     is_long = F.length("text") > chunk
     small = d.where(~is_long).mapInArrow(short, DIGEST)
     big = d.where(is_long).select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("d"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"), "text")
-    parts = stitched(chunked(big, chunk, overlap).repartition("d", "h", "chunk_no"), pattern, overlap)
-    cols = ["doc_id", "d", "h", "run", "copies", "chunk_no", "part"]
+    parts = stitched(chunked(big, chunk, overlap), pattern, overlap)
+    # n is not needed any more, but a reader without it would shuffle the chunks again
+    cols = ["doc_id", "d", "h", "run", "copies", "chunk_no", "n", "part"]
     one = parts.where("alone").select(*cols).mapInArrow(runs, RUNS)
     many = (parts.where("not alone").select(*cols).repartition("d", "h", "run").sortWithinPartitions("d", "h", "run", "chunk_no").mapInArrow(runs, RUNS))
     whole = one.unionAll(many).repartition("d", "h").sortWithinPartitions("d", "h", "run").mapInArrow(joined, DIGEST)
