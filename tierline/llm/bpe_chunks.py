@@ -22,6 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,7 +174,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, pattern: str, chunk: int = 4
         key, no, parts = None, -1, []
 
         def done():
-            return (*key, np.array(c.encode("".join(parts)), c.wire).tobytes())
+            return (*key, zstandard.compress(np.array(c.encode("".join(parts)), c.wire).tobytes(), 1))
 
         for b in batches:
             rows, held = [], 0
@@ -204,7 +205,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, pattern: str, chunk: int = 4
                     key, own, many, no, total, a, z = (d, h), doc, copies, -1, 0, hashlib.sha256(), hashlib.sha256()
                 if run == no:
                     continue
-                no, ids = run, np.frombuffer(raw, c.wire).tolist()
+                no, ids = run, np.frombuffer(zstandard.decompress(raw), c.wire).tolist()
                 if ids:
                     a.update((b" " if total else b"") + c.decimal(ids))
                     z.update(c.decode(ids))
