@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import (bpe_chunks, embed_dedup, html_extract, license_scan, ngram_join, packing, periodic_runs, quality_rules, site_bayes,
+from tierline.llm import (bpe_chunks, embed_dedup, html_extract, license_scan, ngram_join, oracles, packing, periodic_runs, quality_rules, site_bayes,
                           sphere_kmeans, token_files, url_reputation, warc)
 
 
@@ -72,4 +72,5 @@ def op13_sphere_kmeans(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_collision_counting, op3_warc_chunks, op4_bpe_chunks, op5_html_trees,
                                    op6_license_scan, op7_ngram_join, op8_quality_rules, op9_mixture_packing, op10_site_bayes,
                                    op11_host_reputation, op12_periodic_runs, op13_sphere_kmeans)}
-ORACLE: dict[str, str] = {"op11_host_reputation": url_reputation.oracle_sql(), "op13_sphere_kmeans": sphere_kmeans.oracle_sql()}
+ORACLE: dict[str, str] = {"op2_collision_counting": oracles.VECTORS, "op3_warc_chunks": oracles.WARC, "op7_ngram_join": oracles.shingles_sql(),
+                          "op11_host_reputation": url_reputation.oracle_sql(), "op13_sphere_kmeans": sphere_kmeans.oracle_sql()}
