@@ -76,6 +76,8 @@ class Plan:
 
 def _units(raw: list[list[float]]) -> np.ndarray:
     x = np.array(raw, np.float64)
+    # by powers of two first, which rounds nothing, so that no square over- or underflows
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
