@@ -4,6 +4,7 @@ repeated rows, empty tables and extra columns."""
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -87,6 +88,25 @@ def test_collision_counting(spark):
     assert embed_dedup.near_vectors(t.limit(0)).count() == 0
 
 
+def test_collision_counting_takes_any_norm(spark):
+    rows = [(0, [1e-200, 1e-200]), (1, [1e200, 1e200]), (2, [1.0, 1.0]), (3, [1e200, 0.0]), (4, [5e-324, 0.0]), (5, [1e308, -1e308])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
+def test_collision_counting_recall_at_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=(2, 1500, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cos = rng.uniform(0.9001, 0.91, 1500)[:, None]
+    x = np.concatenate([a, cos * a + np.sqrt(1 - cos * cos) * b])
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in embed_dedup.near_vectors(t).collect()}
+    assert np.mean([got[i + 1500] == i for i in range(1500)]) >= 0.99
+
+
 def test_warc(spark):
     rows = [(3, "http://a/\r\nx", "p" * 500, 1), (1, None, "p" * 500, 2), (2, "u", "q" * 50, 3), (4, "u", "q" * 50, 4), (5, "u", None, 5),
             (6, "u", "WARC/1.1\r\n\r\né" * 90_000, 6), (1, None, "p" * 500, 2)]
@@ -161,6 +181,15 @@ def test_main_text_outside_blocks():
                                                   f"A title {one} Take x+1, then see the film.", f"A title {one}"]
 
 
+def test_main_text_of_deep_pages_and_stray_end_tags():
+    deep = "<div>" * 100_000 + "text" + "</section></p>" * 100_000
+    started = time.monotonic()
+    nodes = html_extract.parse(deep)
+    assert len(nodes) == 100_001 and nodes[-1].kids == [("text", False)] and time.monotonic() - started < 20
+    one = html_extract.parse("<p>fo<img src=a>o bar<br>baz</div></p><p>next</section> end")
+    assert html_extract.blocks(one, np.ones(len(one), int)) == ["foo bar baz", "next end"]
+
+
 def test_decoding_is_consistent():
     nodes = html_extract.parse("<div><p>a</p><div class='ad'><p>b</p></div></div>")
     kept = html_extract.decode(nodes, np.array([-9.0, 9, 9, -9, 1]))

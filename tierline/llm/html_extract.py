@@ -37,6 +37,7 @@ _SILENT = set("script style noscript template title head textarea select svg ifr
 #: A head stays open before these.
 _HEAD = set("script style noscript template title".split())
 _CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+_BLOCKS = _CLOSES_P - {"p"}
 _SELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = set("ul ol dl table body div article section main".split())
 #: Attribute tokens that tell what a node is for.
@@ -71,42 +72,51 @@ class _Tree(HTMLParser):
         self.links = self.silent = 0
         #: the node that took text outside html and body
         self.loose: Node | None = None
+        #: open nodes by tag, so that an end tag without a partner costs nothing
+        self.open: dict[str, int] = {}
+
+    def _enter(self, n: Node) -> None:
+        self.at.kids.append(n)
+        self.at = n
+        self.open[n.tag] = self.open.get(n.tag, 0) + 1
+
+    def _leave(self, n: Node) -> None:
+        """Close the open nodes up to and with ``n``."""
+        while True:
+            at = self.at
+            self.open[at.tag] -= 1
+            self.at = at.parent
+            if at is n:
+                return
 
     def _imply(self) -> None:
         self.loose = Node("#text", "", self.at)
-        self.at.kids.append(self.loose)
-        self.at = self.loose
+        self._enter(self.loose)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "head", "body") and self.at is self.loose or self.at.tag == "head" and tag not in _HEAD | _VOID:
-            self.at = self.at.parent
+            self._leave(self.at)
         if tag in _VOID or tag in _INLINE:
-            if tag in ("br", "img", "wbr", "hr") and tag != "wbr":
+            if tag in ("br", "hr"):
                 self.at.kids.append((" ", False))
             if tag == "a":
                 self.links = 1
             return
         if tag in _CLOSES_P:
-            self._close("p", _CLOSES_P - {"p"})
+            self._close({"p"}, _BLOCKS)
         if tag in _SELF:
-            self._close_any(_SELF[tag])
+            self._close(_SELF[tag], _SCOPE)
         words = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "itemprop", "aria-label"))
-        self.at.kids.append(n := Node(tag, words.lower(), self.at))
-        self.at, self.links = n, 0
+        self._enter(Node(tag, words.lower(), self.at))
+        self.links = 0
 
-    def _close(self, tag, stop):
+    def _close(self, tags, stop):
+        if not any(self.open.get(t) for t in tags):
+            return
         n = self.at
         while n.parent is not None and n.tag not in stop:
-            if n.tag == tag:
-                self.at = n.parent
-                return
-            n = n.parent
-
-    def _close_any(self, tags):
-        n = self.at
-        while n.parent is not None and n.tag not in _SCOPE:
             if n.tag in tags:
-                self.at = n.parent
+                self._leave(n)
                 return
             n = n.parent
 
@@ -118,17 +128,17 @@ class _Tree(HTMLParser):
         if tag in ("html", "body"):
             # what follows still belongs to the page's open nodes
             return
-        n = self.at
-        while n.parent is not None:
-            if n.tag == tag:
-                self.at, self.links = n.parent, 0
-                return
-            n = n.parent
+        if self.open.get(tag):
+            n = self.at
+            while n.tag != tag:
+                n = n.parent
+            self._leave(n)
+            self.links = 0
 
     def handle_data(self, data):
         if self.at.tag in ("#root", "html", "head") and data.strip().strip("\ufeff").strip():
             if self.at.tag == "head":
-                self.at = self.at.parent
+                self._leave(self.at)
             self._imply()
         self.at.kids.append((data, bool(self.links)))
 
