@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.contracts import WINDOW_MONTHS
+from tierline.contracts import PARTITIONS, WINDOW_MONTHS
 from tierline.functions.columns import code_label, stamp_to_timestamp, timestamp_to_stamp
 from tierline.operators.asof import asof_join
 from tierline.operators.decode import decode_envelope, envelope_parts, header_drift
@@ -28,6 +28,7 @@ from tierline.operators.sampling import first_groups, groups_where, keep_groups
 from tierline.operators.stints import stints as build_stints
 from tierline.plans.gold import season_rankings
 from tierline.quality import checks as qc
+from tierline.quality.suite import manifest_matches_payload
 from tierline.sources.tables import Tables
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -489,7 +490,32 @@ def league_context(spark: SparkSession, sf: str) -> DataFrame:
                          "league_avg", "z_score")
 
 
+def manifest_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-20 over whole orders and lineitem.  Orders are the payload files of
+    their date's capture and lines their rows.  The audit rows stand for an
+    earlier state: orders whose key 16 divides had another content, those 23
+    divides a longer one, and lines of quantity 50 were not there."""
+    t = Tables(spark, sf)
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.array(F.col("l_linenumber").cast("string"))).alias("rowSet"),
+                                                 F.count_if(F.col("l_quantity") != 50).alias("declared"))
+    key = F.col("o_orderkey")
+    o = (t.orders.join(lines, key == F.col("l_orderkey"), "left")
+         .select(F.date_format("o_orderdate", "yyyy").alias("season"), F.lit("order").alias("grain"), F.lit("regular").alias("season_type"),
+                 F.date_format("o_orderdate", "yyyyMMdd'T000000Z'").alias("capture"), "rowSet", "declared",
+                 F.concat_ws("|", key, "o_custkey").alias("body"),
+                 F.when(key % 23 == 0, F.concat_ws("|", key, "o_custkey", F.lit("old"))).when(key % 16 == 0, F.concat_ws("/", key, "o_custkey"))
+                 .otherwise(F.concat_ws("|", key, "o_custkey")).alias("earlier")))
+    digests = o.select(*PARTITIONS, F.sha2("body", 256).alias("sha256"), F.octet_length("body").alias("bytes"))
+    envelopes = o.select(*PARTITIONS, F.array(F.struct("rowSet")).alias("resultSets"))
+    audits = o.groupBy(*PARTITIONS).agg(F.sort_array(F.collect_list(F.sha2("earlier", 256))).alias("payload_sha256s"),
+                                        F.sum(F.octet_length("earlier")).alias("payload_bytes"),
+                                        F.sum(F.coalesce("declared", F.lit(0))).alias("row_count"))
+    none = audits.where("false").withColumn("payload_sha256", F.lit(None).cast("string"))
+    return manifest_matches_payload(none, digests, envelopes, audits)
+
+
 QUERIES = {
+    "manifest_check": manifest_check,
     "envelope_roundtrip": envelope_roundtrip,
     "header_drift": header_drift_q,
     "bronze_model": bronze_model,

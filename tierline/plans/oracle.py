@@ -147,6 +147,13 @@ def _fk_orphans() -> str:
 ORACLE = {
     "envelope_roundtrip": f"""
 select {', '.join(LINE_COLS)}, max(l_shipdate) over (partition by l_orderkey) as captured_at from lineitem""",
+    "manifest_check": """
+with o as (select strftime(o_orderdate, '%Y') as season, strftime(o_orderdate, '%Y%m%dT000000Z') as capture, o_orderkey % 23 = 0 as longer,
+                  o_orderkey % 16 = 0 as other, exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity = 50) as fewer
+           from orders),
+v as (select distinct season, capture, unnest(['sha256_mismatch', 'bytes_mismatch', 'row_count_mismatch']) as violation,
+             unnest([longer or other, longer, fewer]) as found from o)
+select season, 'order' as grain, 'regular' as season_type, capture, violation from v where found""",
     "header_drift": """
 select 'lineitem/order=' || l_orderkey as source_file, strftime(max(l_shipdate), '%Y%m%dT%H%M%SZ') as capture, cast(0 as bigint) as n_missing,
        cast(0 as bigint) as n_extra, cast(11 as bigint) as width, false as same_order
