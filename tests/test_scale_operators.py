@@ -48,6 +48,19 @@ def test_dyadic_asof_matches_a_range_join(spark, how):
     assert asof_join(left, iv.limit(0), ["k"], "d", "lo", "hi", bucket="dyadic").count() == left.count()
 
 
+def test_dyadic_asof_keeps_the_pieces_out_of_the_driver(spark):
+    far, day = dt.date(9999, 12, 31), lambda n: DAY + dt.timedelta(days=n)
+    iv = spark.createDataFrame([(k, day(1 + 40 * i), day(40 * i + 40) if i < 9 else far, 10 * k + i) for k in range(3) for i in range(10)],
+                               "k int, lo date, hi date, v int")
+    left = spark.createDataFrame([(k, day(n)) for k in range(3) for n in range(0, 500, 7)], "k int, d date")
+    got = asof_join(left, iv, ["k"], "d", "lo", "hi", bucket="dyadic")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pieces = plan[:plan.index("Generate")]
+    assert "SortMergeJoin" in pieces.splitlines()[max(i for i, ln in enumerate(pieces.splitlines()) if "Join" in ln)]
+    want = {(k, day(n)): (10 * k + min((n - 1) // 40, 9) if n else None) for k in range(3) for n in range(0, 500, 7)}
+    assert {(r.k, r.d): r.v for r in got.collect()} == want
+
+
 def test_dyadic_asof_with_times(spark):
     left = spark.sql("select 1 as k, timestamp_ntz'2024-03-05 09:00' as t union all select 1, timestamp_ntz'2024-03-05 11:00'")
     iv = spark.sql("select 1 as k, timestamp_ntz'2024-03-05 10:00' as lo, timestamp_ntz'9999-01-01 00:00' as hi, 'x' as v")

@@ -10,12 +10,15 @@ interval appears once per bucket and each left row has one bucket, so the
 result is exact — no duplicates, no misses.
 
 ``dyadic`` serves intervals of any length, such as open ones that end in the
-year 9999.  An interval is cut into aligned blocks of 1, 4, 16, 64, … days,
-at most six of a size, so its number of pieces grows with the logarithm of its
-length.  The distinct (entity, day) pairs of the left side look up the block
-of each size that holds their day; exactly one piece of an interval does.  The
-left rows then meet what their own (entity, day) found, so an entity with a
-very large share of them is spread over its days.
+year 9999.  An interval, as far as it reaches into the days of the left side,
+is cut into aligned blocks of 16, 64, 256, … days that cover it, at most six of
+a size, so its number of pieces grows with the logarithm of its length.  The
+distinct (entity, day) pairs of the left side look up the block of each size
+that holds their day; at most one piece of an interval does.  The left rows
+then meet what their own (entity, day) found, so an entity with a very large
+share of them is spread over its days.  Spark takes the pieces for as few as
+the intervals, so that join names the merge: a broadcast would bring every
+piece to the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ _STEP = {"week": "1 week", "month": "1 month", "year": "1 year"}
 
 #: Days of a block of one size, as a power of two, per block of the next smaller.
 _BITS = 2
+#: Days of the smallest block, as a power of two.
+_UNIT = 4
 
 
 def dyadic_pieces(lower: str, upper: str, top: int) -> Column:
@@ -50,16 +55,24 @@ def _dyadic(left: DataFrame, iv: DataFrame, keys: list[str], at: str, lower: str
     """For the distinct keys and days of ``left``, the intervals that touch
     the day; with the condition by which left rows meet them."""
     iv = iv.where(F.col(f"__r_{lower}") <= F.col(f"__r_{upper}"))
-    lo, hi = F.unix_date(F.col(f"__r_{lower}").cast("date")), F.unix_date(F.col(f"__r_{upper}").cast("date"))
-    days = iv.agg(F.max(hi - lo + 1)).first()[0] or 1
-    top = max(0, (int(days).bit_length() + _BITS - 1) // _BITS)
-    cut = iv.withColumns({"__lo": lo, "__hi": hi}).withColumn("__piece", F.explode(dyadic_pieces("__lo", "__hi", top))).drop("__lo", "__hi")
     day = F.unix_date(F.col(f"__l_{at}").cast("date"))
+    ends = left.agg(F.min(day), F.max(day)).first()
+    first, last = (0, -1) if ends[0] is None else ends
+    lo = F.greatest(F.unix_date(F.col(f"__r_{lower}").cast("date")), F.lit(first))
+    hi = F.least(F.unix_date(F.col(f"__r_{upper}").cast("date")), F.lit(last))
+    units = (last >> _UNIT) - (first >> _UNIT) + 1
+    top = max(0, (units.bit_length() + _BITS - 1) // _BITS)
+    cut = iv.withColumns({"__lo": lo, "__hi": hi}).where("__lo <= __hi")
+    cut = cut.withColumns({"__ulo": F.shiftright("__lo", _UNIT), "__uhi": F.shiftright("__hi", _UNIT)})
+    cut = cut.withColumn("__piece", F.explode(dyadic_pieces("__ulo", "__uhi", top))).drop("__ulo", "__uhi")
     probes = left.select(*[F.col(f"__l_{k}").alias(f"__p_{k}") for k in keys], day.alias("__p_day")).where("__p_day is not null").distinct()
     probes = probes.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-    block = F.floor(F.col("__p_day") / F.pow(F.lit(1 << _BITS), F.col("__level")))
-    met = cut.join(probes, [*[F.col(f"__r_{k}") == F.col(f"__p_{k}") for k in keys], F.col("__piece.level") == F.col("__level"), F.col("__piece.block") == block])
-    return met.drop("__piece", "__level", *[f"__r_{k}" for k in keys]), [*[F.col(f"__l_{k}") == F.col(f"__p_{k}") for k in keys], day == F.col("__p_day")]
+    block = F.floor(F.shiftright("__p_day", _UNIT) / F.pow(F.lit(1 << _BITS), F.col("__level")))
+    # the blocks at an interval's ends reach beyond it
+    met = cut.hint("merge").join(probes.hint("merge"), [
+        *[F.col(f"__r_{k}") == F.col(f"__p_{k}") for k in keys], F.col("__piece.level") == F.col("__level"), F.col("__piece.block") == block,
+        F.col("__p_day").between(F.col("__lo"), F.col("__hi"))])
+    return met.drop("__piece", "__level", "__lo", "__hi", *[f"__r_{k}" for k in keys]), [*[F.col(f"__l_{k}") == F.col(f"__p_{k}") for k in keys], day == F.col("__p_day")]
 
 
 def asof_join(left: DataFrame, intervals: DataFrame, on: Sequence[str], at: str,

@@ -449,8 +449,9 @@ def asof_open_ended(spark: SparkSession, sf: str) -> DataFrame:
     days = t.orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("valid_from")).agg(F.min("o_orderkey").alias("latest_order"))
     nxt = F.lead("valid_from").over(Window.partitionBy("o_custkey").orderBy("valid_from"))
     iv = days.withColumn("valid_to", F.coalesce(F.date_sub(nxt, 1), F.to_date(F.lit("9999-12-31"))))
+    # both grow with the data; the size of the orders' file tells little of the memory that its rows take in the driver
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day")).join(
-        t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+        t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").hint("merge"), "l_orderkey")
     j = asof_join(lines, iv, on=["o_custkey"], at="day", bucket="dyadic")
     return j.select("l_orderkey", "l_linenumber", "day", "latest_order", F.col("valid_from").alias("since"))
 
