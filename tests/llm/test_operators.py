@@ -39,6 +39,21 @@ def test_bit_packing_round_trip(width):
     assert (token_files.unpack(data, 1003, width) == ids).all()
 
 
+def test_token_files_leave_no_cache_with_the_worker(spark, docs):
+    path = P.path("byte_bpe_50k.json")
+    token_files.write_token_files(docs, path, token_files.work_dir(spark, "cache"))
+
+    def held(batches):
+        import pyarrow as pa
+
+        from tierline.llm.units import _LOADED
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(len(e.cache) + len(e.older) for (p, _), e in _LOADED.items() if p == path)], pa.int64())})
+
+    assert {r.n for r in spark.range(0, 32, 1, 32).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 

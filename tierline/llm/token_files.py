@@ -139,6 +139,8 @@ class TokenFile:
             yield None if null else d, s, have[s - k0 * self.block:][:n] if n else have[:0]
 
 
+#: Bytes of text that a task encodes at once; the arrays made of them take some twenty times as much.
+SLICE = 2_000_000
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -158,7 +160,7 @@ def write_token_files(docs: DataFrame, vocab_path: str, folder: str, end_id: int
         enc, out, writer, path = encoder(vocab_path, True), None, None, None
         for b in batches:
             ids_col, texts = b.column("doc_id"), b.column("text")
-            for at, n, ids, counts in enc.encode_rows(texts):
+            for at, n, ids, counts in enc.encode_rows(texts, SLICE):
                 if writer is None:
                     path = attempt_file(folder, ".tkid")
                     out = open_output(path)
@@ -167,6 +169,8 @@ def write_token_files(docs: DataFrame, vocab_path: str, folder: str, end_id: int
                 col = ids_col.slice(at, n)
                 writer.add(col.fill_null(0).to_numpy(zero_copy_only=False), col.is_null().to_numpy(zero_copy_only=False),
                            counts + 1, np.insert(ids, ends, end_id))
+        # what the task met would stay with the worker, beside the JVM that needs the memory next
+        enc.release()
         if writer is not None:
             writer.close()
             from pyspark import TaskContext
