@@ -139,6 +139,16 @@ def test_version_diff_finds_exactly_the_changed_cells(spark):
     assert version_diff(a, b, ["k"], ["p", "q"]).count() == 2
 
 
+def test_version_diff_deals_sides_laid_out_by_key_no_further(spark):
+    from tierline.operators.latest import latest_per_key
+
+    rows = spark.createDataFrame([(None if i == 7 else i % 40, i % 4, i) for i in range(200)], "k int, v int, at int")
+    diff = version_diff(latest_per_key(rows, ["k"], [("at", False)]), latest_per_key(rows, ["k"], ["at"]), ["k"], ["v", "at"])
+    assert "SortMergeJoin [__b_k" in diff._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.value_before, r.value_after) for r in diff.where("column_name = 'at'").collect()} == {
+        (k, str(k + 40 * (k == 7)), str(k + 160)) for k in range(40)}
+
+
 def test_plan_arguments_are_checked(spark):
     landed = spark.createDataFrame([], "season string, grain string, season_type string, capture string")
     for bad in (dict(seasons=[], grains=["team"]), dict(seasons=["2003"], grains=["team"]), dict(seasons=["2003-04", "2003-04"], grains=["team"]),
