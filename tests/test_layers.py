@@ -242,6 +242,26 @@ def test_refresh_equals_build_after_restatements(spark, landing, monkeypatch):
     assert refresh(spark, wh).changed == {}  # nothing new
 
 
+def test_merge_takes_the_keys_of_its_rows_once(spark):
+    layer = Layer(spark, os.path.join(tempfile.mkdtemp(), "layer"))
+    change = layer.begin()
+    change.put("t", spark.range(100).selectExpr("id as k", "0 as v"), TableSpec(["k"]))
+    change.commit()
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.range(50, 150).selectExpr("id as k", "1 as v").mapInArrow(seen, "k long, v int")
+    change = layer.begin()
+    change.merge("t", rows, ["k"], ["v"])
+    change.commit()
+    assert read.value == 200  # for the keys, and with the old rows
+    assert {r.k: r.v for r in layer.read("t").collect()} == {k: int(k >= 50) for k in range(150)}
+
+
 def test_refresh_gate_keeps_the_published_version(spark, landing):
     root, wh = tempfile.mkdtemp(prefix="tierline-delta-"), tempfile.mkdtemp(prefix="tierline-wh-")
     shutil.copytree(landing["root"], root, dirs_exist_ok=True)

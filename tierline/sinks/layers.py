@@ -223,10 +223,14 @@ class Change:
         (w.partitionBy(*spec.partition_by) if spec.partition_by else w).parquet(f"{root}/write={write}")
         full = T.StructType([*df.schema.fields, T.StructField("write", T.StringType())])
         written = self.spark.read.schema(full).option("basePath", root).parquet(f"{root}/write={write}")
-        path = F.regexp_extract(F.col("_metadata.file_path"), f"/({table}/write={write}/.*)$", 1)
-        keys = written.select(F.substring(path, len(table) + 2, 1 << 20).alias("path"), *spec.key)
-        key_summary(keys, spec).write.parquet(f"{self.layer.path}/_keys/{table}-{write}")
-        return write, keys.groupBy("path").agg(F.lit(write).alias("write"), F.count(F.lit(1)).alias("n_rows"))
+        file = F.col("_metadata.file_path")
+
+        def path(file: Column) -> Column:
+            return F.concat(F.lit(f"write={write}/"), F.substring_index(file, f"/{table}/write={write}/", -1)).alias("path")
+
+        key_summary(written.select(path(file), *spec.key), spec).write.parquet(f"{self.layer.path}/_keys/{table}-{write}")
+        files = written.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+        return write, files.select(path(F.col("file")), F.lit(write).alias("write"), "n_rows")
 
     def _list(self, table: str, files: DataFrame, schema: T.StructType, spec: TableSpec, writes: dict[str, int]) -> None:
         name = f"_files/{table}-{uuid.uuid4().hex}"
@@ -289,7 +293,7 @@ class Change:
         columns: equals a refresh over old and new rows together.  ``rows``
         should be materialised; they are read several times."""
         spec = self.spec(table)
-        changed = rows.select(*spec.key).distinct()
+        changed = rows.select(*spec.key).distinct().checkpoint()
         touched = self.touched(table, changed).checkpoint()
         old = self.rows_of(table, changed, touched)
         new = latest_per_key(old.unionByName(rows.select(*old.columns)), keys, order)
