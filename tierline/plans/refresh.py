@@ -72,7 +72,7 @@ def refresh(spark: SparkSession, warehouse: str, seed: DataFrame | None = None)
     diff = {g: changed_rows(bronze, f"bronze_{g}", before, after, columns[g]).checkpoint() for g in back}
     report.changed = {f"bronze_{g}": d.count() for g, d in diff.items()}
     if not any(report.changed.values()):
-        change.commit(bronze=after)
+        report.result.versions["silver"] = change.commit(bronze=after)
         return report
     games = diff["player"].select("game_id").unionByName(diff["team"].select("game_id")).distinct().checkpoint()
     current = bronze.begin()
