@@ -562,6 +562,31 @@ def test_units_encode_as_the_library_does(name, spaces):
         assert at == len(ids)
 
 
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_is_encoded_once_over_slices_and_line_ends(name, spaces):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tierline.llm.units import UnitEncoder
+
+    rng, tok, enc = random.Random(9), Tokenizer.from_file(P.path(name)), UnitEncoder(P.path(name), spaces)
+    model, seen = enc.model, []
+
+    class Counted:
+        def tokenize(self, word):
+            seen.append(word)
+            return model.tokenize(word)
+
+    enc.model = Counted()
+    words = ["plain", "Word", "straße", "Élan", "end.", "so!!", "x1", "漢字", "don't", "<|endoftext|>"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", "\n", "\n\n", " \n", "\x1c\n", "\u2003\n"]) for _ in range(30)) for _ in range(200)]
+    for at, n, ids, counts in enc.encode_rows(pa.array([*texts, None, "plain", "\n", "a\n"], pa.string()), 2000):
+        ends = np.cumsum(counts)
+        for t, a, b in zip([*texts, "", "plain", "\n", "a\n"][at:at + n], ends - counts, ends):
+            assert ids[a:b].tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    assert len(seen) == len(set(seen)) and {"plain", enc.as_bytes.normalize_str(" straße" if spaces else "straße")} <= set(seen)
+
+
 @pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_special_tokens_in_texts_as_the_untouched_library(name, spaces):
     from tokenizers import Tokenizer

@@ -16,7 +16,7 @@ import gc
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ _MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _MARK = "[" + re.escape(_MARKS) + "]"
 _NONE, _SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+#: A line end that byte level takes as a piece of its own.
+_LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
 
 
 def gather_runs(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -46,6 +48,11 @@ def gather_runs(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.nd
     return flat[np.repeat(starts - (ends - lens), lens) + np.arange(total)]
 
 
+def strings(arr: pa.Array) -> list[str]:
+    """The strings of an array without nulls, without a scalar object for each."""
+    return arr.to_numpy(zero_copy_only=False).tolist()
+
+
 class UnitEncoder:
     """``spaces`` tells whether a leading space is part of a unit's ids (byte
     level) or dropped by the tokenizer (word ends)."""
@@ -53,13 +60,11 @@ class UnitEncoder:
     def __init__(self, path: str, spaces: bool, cache_units: int = 250_000, unit_chars: int = 64):
         # Spark already runs a task per core; the library's own threads only add to the CPU time
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers
 
         self.tok = Tokenizer.from_file(path)
-        #: the same model for words of letters, which the normaliser and the pattern leave whole
-        self.words = Tokenizer(self.tok.model)
-        cut = pre_tokenizers.Split(" ", "merged_with_next") if spaces else pre_tokenizers.WhitespaceSplit()
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([cut, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        #: what the library does with a word of letters, which the normaliser and the pattern leave whole
+        self.as_bytes, self.model = normalizers.ByteLevel(), self.tok.model
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.spaces, self.cache_units, self.unit_chars = spaces, cache_units, unit_chars
         #: units met lately and those met before them; a unit met again moves up
@@ -123,80 +128,84 @@ class UnitEncoder:
                 out[i] = array("I", enc.ids).tobytes()
         return out
 
-    def _cached(self, units: list[str]) -> list[bytes]:
+    def _letters(self, units: list[str]) -> list[bytes]:
+        """Ids of units of letters alone, or a space and letters, that no cache
+        holds: each is one piece, given to the model as it is."""
+        out: list[bytes] = []
+        tokenize, end = self.model.tokenize, self.as_bytes.normalize_str("\n")
+        for k in range(0, len(units), 4000):
+            words = self.as_bytes.normalize_str("\n".join(units[k:k + 4000])).split(end)
+            out += [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words]
+        return out
+
+    def _cached(self, units: list[str], fresh: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         got = list(map(self.cache.get, units))
         miss = [i for i, r in enumerate(got) if r is None]
         if miss and self.older:
-            again = [(i, r) for i in miss if (r := self.older.get(units[i])) is not None]
-            for i, r in again:
+            old = list(map(self.older.get, [units[i] for i in miss]))
+            again = [i for i, r in zip(miss, old) if r is not None]
+            old = [r for r in old if r is not None]
+            for i, r in zip(again, old):
                 got[i] = r
-            self._keep([units[i] for i, _ in again], [r for _, r in again])
+            self._keep([units[i] for i in again], old)
             miss = [i for i in miss if got[i] is None]
         names = [units[i] for i in miss]
-        runs = self._fresh(names)
+        runs = fresh(names)
         for i, r in zip(miss, runs):
             got[i] = r
         self._keep(names, runs)
         return got
 
-    def _stems(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """(flat ids, first id, ids) of units of letters alone, each distinct
-        one encoded once: joined, and parted where their bytes end."""
-        sep = "" if self.spaces else " "
-        flat, starts, lens, base = [], [], [], 0
-        for k in range(0, len(units), 4000):
-            part = units.slice(k, 4000)
-            ids = np.array(self.words.encode_batch_fast([sep.join(part.to_pylist())], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False))
-            done = np.cumsum(self.id_bytes[ids])
-            cut = np.searchsorted(done, ends) + 1
-            if not len(ids) or done[-1] != ends[-1] or (done[cut - 1] != ends).any():
-                return None
-            flat.append(ids)
-            first = np.concatenate([[0], cut[:-1]])
-            starts.append(base + first)
-            lens.append(cut - first)
-            base += len(ids)
-        empty = np.zeros(0, np.int64)
-        return np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([empty, *starts]), np.concatenate([empty, *lens])
-
     def _table(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, first id, ids) per unit.  A unit of letters with or
         without marks after them is taken apart in Arrow, and where the
-        tokenizer lowers words, so are its letters; the others go to the
-        library by way of the cache, as do the marks."""
+        tokenizer lowers words, so are its letters; letters, marks and the
+        other units go to the library by way of the cache."""
         n = len(units)
-        lead = "^ " if self.spaces else "^"
+        lead = "^ ?" if self.spaces else "^"
         plain = pc.match_substring_regex(units, f"{lead}{_LETTERS}{_MARK}*$").to_numpy(zero_copy_only=False)
-        which = np.flatnonzero(plain)
+        which, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
         part = units.take(pa.array(which))
         marked = pc.match_substring_regex(part, f"{_MARK}$").to_numpy(zero_copy_only=False)
         stems = pc.utf8_rtrim(part, _MARKS)
         stems = (pc.utf8_lower(stems) if self.lowers else stems).dictionary_encode()
-        got = self._stems(stems.dictionary)
-        if got is None:
-            which, marked = which[:0], marked[:0]
-        rest = np.setdiff1d(np.arange(n), which, assume_unique=True)
         tails = pc.replace_substring_regex(part.filter(pa.array(marked)), lead + _LETTERS, "").dictionary_encode()
-        marks = tails.dictionary.to_pylist()
-        runs = self._cached(marks + units.take(pa.array(rest)).to_pylist())
+        letters, marks = strings(stems.dictionary), strings(tails.dictionary)
+        others = units.take(pa.array(rest)).dictionary_encode()
+        runs = self._cached(letters, self._letters) + self._cached(marks + strings(others.dictionary), self._fresh)
         size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-        tail = np.frombuffer(b"".join(runs), np.uint32)
+        flat = np.frombuffer(b"".join(runs), np.uint32)
         at = np.cumsum(size) - size
         # two runs a unit: its letters or all of it, and its mark or nothing
         first, count = np.zeros((n, 2), np.int64), np.zeros((n, 2), np.int64)
-        flat = tail
-        if len(which):
-            ids, starts, lens = got
-            flat = np.concatenate([tail, ids])
-            code = stems.indices.to_numpy(zero_copy_only=False)
-            first[which, 0], count[which, 0] = len(tail) + starts[code], lens[code]
-            last = tails.indices.to_numpy(zero_copy_only=False)
-            first[which[marked], 1], count[which[marked], 1] = at[last], size[last]
-        first[rest, 0], count[rest, 0] = at[len(marks):], size[len(marks):]
+        code = stems.indices.to_numpy(zero_copy_only=False)
+        first[which, 0], count[which, 0] = at[code], size[code]
+        last = len(letters) + tails.indices.to_numpy(zero_copy_only=False)
+        first[which[marked], 1], count[which[marked], 1] = at[last], size[last]
+        whole = len(letters) + len(marks) + others.indices.to_numpy(zero_copy_only=False)
+        first[rest, 0], count[rest, 0] = at[whole], size[whole]
         lens = count.sum(1)
         return gather_runs(flat, first.ravel(), count.ravel()), np.cumsum(lens) - lens, lens
 
+    def _lines(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_table``, with units of byte level cut before and after a line
+        end between other characters than white space."""
+        some = pc.match_substring(units, "\n")
+        cut = np.flatnonzero(some.to_numpy(zero_copy_only=False))
+        if not len(cut):
+            return self._table(units)
+        parts = [_LINE.split(u) for u in strings(units.take(pa.array(cut)))]
+        sizes = np.array([len(p) for p in parts])
+        n = len(units) - len(cut)
+        flat, starts, lens = self._table(pa.concat_arrays([units.filter(pc.invert(some)), pa.array([u for p in parts for u in p], units.type)]))
+        # the parts of a unit have their ids one after the other
+        first, count = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        whole = np.setdiff1d(np.arange(len(units)), cut, assume_unique=True)
+        at = n + np.cumsum(sizes) - sizes
+        first[whole], count[whole] = starts[:n], lens[:n]
+        first[cut], count[cut] = starts[at], np.add.reduceat(lens, at)
+        return flat, first, count
+
     def _split(self, texts: pa.Array):
         """(flat ids, ids per text) of texts that may be cut at every space;
         where spaces are dropped, a line end is as good as one."""
@@ -217,7 +226,7 @@ class UnitEncoder:
             code = (np.cumsum(used) - 1)[code]
         else:
             units = words
-        flat, starts, lens = self._table(units)
+        flat, starts, lens = self._lines(units) if self.spaces else self._table(units)
         per = lens[code]
         ids = gather_runs(flat, starts[code], per)
         total = np.concatenate([[0], np.cumsum(per)])
