@@ -445,6 +445,39 @@ def test_packing_32_bit_ids(spark, docs, monkeypatch):
     assert sorted(packing.pack(docs, path, 1).collect(), key=str) == sorted(narrow, key=str)
 
 
+def test_packing_tasks_hold_little_at_once(monkeypatch):
+    """Arrays of a task's encoding and cutting, over 6 MB of texts and 12 MB of ids in one batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    def most(batches):
+        tracemalloc.start()
+        rows = [r for b in batches for r in zip(b.column("doc_id").to_pylist(), b.column(names[1]).to_pylist())]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return rows, peak / 1e6
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(TaskContext, "get", Task)
+    text = "so many plain words that stand in a row " * 50
+    texts = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(3000), pa.int64()), "text": pa.array([text] * 3000), "queue": pa.array(["s"] * 3000)})
+    names = ["doc_id", "n"]
+    rows, mb = most(packing._encode(P.path("word_bpe_49k.json"), 1)([texts]))
+    assert [r[0] for r in rows] == list(range(3000)) and len({r[1] for r in rows}) == 1
+    assert mb < 30
+    ids = bytes(4000)
+    cut = pa.array([[{"start": 0, "size": 2000, "place": 2000 * i}] for i in range(3000)], pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "size", "place")])))
+    packed = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(3000), pa.int64()), "n": pa.array([2000] * 3000, pa.int64()), "ids": pa.array([ids] * 3000), "cuts": cut})
+    names = ["doc_id", "length"]
+    rows, mb = most(packing._cut(2048, True)([packed]))
+    assert sum(n for _, n in rows) == 3000 * 2000
+    assert mb < 28
+
+
 def test_native_operators_have_no_python_in_their_plans(spark):
     from tierline.llm.queries import QUERIES
 

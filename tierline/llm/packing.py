@@ -43,8 +43,9 @@ PHASE = [("start", "double"), ("stop", "double"), ("first", "long"), ("rounds",
 REST = ""
 #: Fixed value: a queue is served whole runs of so many tokens, its last one excepted.
 RUN = 256
-#: Bytes of ids whose pieces are cut at once, and four times those of the texts encoded at once.
-SLICE = 16 << 20
+#: Bytes of ids whose pieces are cut at once, and four times those of the texts encoded at once.  A task's arrays take
+#: some twenty times the texts, twice per executor and beside a JVM that earlier stages have filled.
+SLICE = 4 << 20
 #: Rounds whose starts one task sums up.
 BLOCK = 4096
 
@@ -55,7 +56,12 @@ def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str
     ``local_start`` counts the tokens of the same source before it in the same
     part.  Null text is empty; a null source is a queue."""
     ship(docs.sparkSession)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                    F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("queue"))
+    return staged(d.mapInArrow(_encode(vocab_path, end_id), IDS), "packed-ids")
+
 
+def _encode(vocab_path: str, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -81,9 +87,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, end_id: int, source: str
         # workers stay for later stages, whose memory this one's caches would take
         enc.release()
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                    F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("queue"))
-    return staged(d.mapInArrow(run, IDS), "packed-ids")
+    return run
 
 
 def id_type(vocab: int) -> np.dtype:
